@@ -83,7 +83,8 @@ class WarcReader(DataSourceReader):
     def partitions(self) -> list[FilePartition]:
         fs, root = pyarrow.fs.FileSystem.from_uri(self.path)
         found = fs.get_file_info(pyarrow.fs.FileSelector(root, recursive=True))
-        return [FilePartition(f.path) for f in sorted(found, key=lambda f: f.path) if f.is_file and f.size and not f.base_name.startswith(("_", "."))]
+        files = [f.path for f in found if f.is_file and f.size and not f.base_name.startswith(("_", "."))]
+        return [FilePartition(p) for p in sorted(files) or [""]]
 
     def _passes(self, heads: dict[str, str]) -> bool:
         for f in self.wanted:
@@ -95,6 +96,8 @@ class WarcReader(DataSourceReader):
         return True
 
     def read(self, partition: FilePartition) -> Iterator[pa.RecordBatch]:
+        if not partition.path:
+            return
         fs, _ = pyarrow.fs.FileSystem.from_uri(self.path)
         names = [n for n, _ in self.columns]
         kinds = [_KINDS[k] for _, k in self.columns]
