@@ -6,9 +6,9 @@ language families, and between the languages of each family. A text goes to the
 family that wins most of its duels, then to the language of that family that
 wins most of its own; summed margins break ties.
 
-Learning reads at most ``LANGUAGE_ROWS`` documents of each language and ``LANGUAGE_BYTES``
-bytes of their text, drawn by a hash of doc_id over all documents, and adds
-short excerpts of them so that short texts are met in training too. Predictions
+Learning reads at most ``SAMPLE_ROWS`` documents and ``SAMPLE_BYTES`` bytes of text, in
+equal parts for each of at most ``LANGUAGES`` languages, drawn by a hash of doc_id over all
+documents, and adds short excerpts of them so that short texts are met in training too. Predictions
 read every whole text.
 
 Defined results: ``und`` with score 0 for null texts and texts without a letter;
@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LANGUAGE_ROWS = 1500
-LANGUAGE_BYTES = 6 << 20
+SAMPLE_ROWS = 3200
+SAMPLE_BYTES = 24 << 20
 LANGUAGES = 200
-BUCKETS = 4096
+BUCKETS = 2048
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 1 << 20
@@ -69,7 +69,7 @@ def counts(text: str) -> np.ndarray:
         if len(b) > 2:
             h = (b[:-2] * np.uint32(0x9E3779B1)) ^ (b[1:-1] * np.uint32(0x85EBCA77)) ^ (b[2:] * np.uint32(0xC2B2AE3D))
             h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-            out += np.bincount(h >> np.uint32(20), minlength=BUCKETS)
+            out += np.bincount(h >> np.uint32(21), minlength=BUCKETS)
     return out
 
 
@@ -127,7 +127,7 @@ def _excerpts(text: str, seed: int) -> Iterator[str]:
     """The text, and short runs of its words."""
     yield text
     words = text.split()
-    for i, n in enumerate((1, 2, 4, 8, 16)):
+    for i, n in enumerate((1, 3, 8)):
         if len(words) > n:
             at = (seed * 31 + i * 7919) % (len(words) - n)
             yield " ".join(words[at : at + n])
@@ -150,7 +150,8 @@ def learn(rows: list[tuple[str, str, int]]) -> Model:
         weights = []
         for a, b in pairs:
             mine = (label == names[a]) | (label == names[b])
-            weights.append(_svm(x[mine], np.where(label[mine] == names[a], 1, -1).astype(np.float32)))
+            rows = x if mine.all() else x[mine]
+            weights.append(_svm(rows, np.where(label[mine] == names[a], 1, -1).astype(np.float32)))
         return names, pairs, np.array(weights)
 
     if len(model.families) > 1:
@@ -170,13 +171,15 @@ def train(docs: DataFrame) -> Model:
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.octet_length("text").alias("n"))
     # A hash threshold for each language thins to about twice the bound before any row is ranked.
     sizes = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
-    share = F.lit(2.0 * LANGUAGE_ROWS) / F.col("rows")
+    langs = max(1, sizes.count())
+    most_rows, most_bytes = SAMPLE_ROWS // langs, SAMPLE_BYTES // langs
+    share = F.lit(2.0 * most_rows) / F.col("rows")
     draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 32))
     thin = known.join(F.broadcast(sizes), "lang").withColumn("draw", draw).where(F.col("draw") < share * (1 << 32) + 1)
     order = Window.partitionBy("lang").orderBy("draw", "doc_id")
     drawn = thin.withColumn("rank", F.row_number().over(order)).withColumn("sum_to", F.sum("n").over(order))
-    drawn = drawn.where((F.col("rank") <= LANGUAGE_ROWS) & (F.col("sum_to") <= LANGUAGE_BYTES)).select("doc_id", "draw")
-    picked = docs.select("doc_id", "lang", "text").join(F.broadcast(drawn), "doc_id").where("lang IS NOT NULL AND text IS NOT NULL")  # LANGUAGE_ROWS x LANGUAGES ids at most
+    drawn = drawn.where((F.col("rank") <= most_rows) & (F.col("sum_to") <= most_bytes)).select("doc_id", "draw")
+    picked = docs.select("doc_id", "lang", "text").join(F.broadcast(drawn), "doc_id").where("lang IS NOT NULL AND text IS NOT NULL")  # SAMPLE_ROWS ids at most
     rows = sorted((r["draw"], r["text"], r["lang"]) for r in picked.toLocalIterator())
     return learn([(text, lang, h) for h, text, lang in rows])
 
