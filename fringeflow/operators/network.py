@@ -189,3 +189,69 @@ def connected_network(edges: list[tuple[int, int, float]], start: list[tuple[int
     rest = [(i, j) for i, j, _ in sorted(edges, key=lambda e: (e[2], e[0], e[1])) if (i, j) not in set(start)]
     kept = spanning_tree(links + rest)
     return links + [rest[e - len(links)] for e in kept if e >= len(links)]
+
+
+def tree_weights(links: list[tuple[int, int]], epochs: int) -> np.ndarray:
+    """Weights ``[epoch, edge]`` that integrate a spanning tree of the edges from epoch 0."""
+    tree = spanning_tree(links)
+    out = np.zeros((epochs, len(links)))
+    known, grown = {0}, True
+    while grown:
+        grown = False
+        for e in tree:
+            i, j = links[e]
+            if (i in known) != (j in known):
+                new, old, sign = (j, i, 1) if i in known else (i, j, -1)
+                out[new] = out[old]
+                out[new, e] += sign
+                known.add(new)
+                grown = True
+    return out
+
+
+def degree_capped_tree(edges: list[tuple[int, int, float]], nodes: int, cap: int) -> list[tuple[int, int]]:
+    """A cheap spanning tree within a cap on degrees: Kruskal, then single swaps that lower the cost.
+
+    A heuristic in place of an exact integer program; it fails loudly where it finds no tree.
+    """
+    ranked = sorted(edges, key=lambda e: (e[2], e[0], e[1]))
+    links = [(i, j) for i, j, _ in ranked]
+    kept = spanning_tree(links, cap)
+    if len(kept) < nodes - 1:
+        raise ValueError("no spanning tree within the cap was found")
+    tree, cost = {links[e] for e in kept}, {(i, j): s for i, j, s in ranked}
+    improved = True
+    while improved:
+        improved = False
+        for new in links:
+            if new in tree:
+                continue
+            for old in sorted(tree, key=lambda e: -cost[e]):
+                if cost[old] <= cost[new]:
+                    break
+                trial = sorted((tree - {old}) | {new})
+                if len(spanning_tree(trial, cap)) == nodes - 1:
+                    tree, improved = set(trial), True
+                    break
+    return sorted(tree)
+
+
+def add_redundancy(tree: list[tuple[int, int]], edges: list[tuple[int, int, float]], cap: int) -> list[tuple[int, int]]:
+    """The tree with the best further edges that keep every degree within the cap; a greedy stand-in for an integer program."""
+    kept = list(tree)
+    degree: dict[int, int] = {}
+    for i, j in kept:
+        degree[i], degree[j] = degree.get(i, 0) + 1, degree.get(j, 0) + 1
+    for i, j, _ in sorted(edges, key=lambda e: (e[2], e[0], e[1])):
+        if (i, j) not in tree and degree.get(i, 0) < cap and degree.get(j, 0) < cap:
+            kept.append((i, j))
+            degree[i], degree[j] = degree.get(i, 0) + 1, degree.get(j, 0) + 1
+    return sorted(kept)
+
+
+def acceptance(edges: DataFrame) -> DataFrame:
+    """One row on a network: nodes, edges, edges in no 3- or 4-cycle, and the longest of the edges' shortest cycles."""
+    counts = cycle_counts(edges)
+    nodes = edges.select(F.explode(F.array("i", "j")).alias("node")).agg(F.count_distinct("node").alias("nodes"))
+    rows = counts.agg(F.count("*").alias("edges"), F.count_if((F.col("c3") == 0) & (F.col("c4") == 0)).alias("uncovered"), F.max("shortest").alias("longest_shortest"))
+    return nodes.crossJoin(rows)  # one row each

@@ -75,3 +75,30 @@ def vector_similarity(vectors: DataFrame, reach: int) -> DataFrame:
     met = a.join(b, "b").select("a", "b", (dot / (F.col("na") * F.col("nb"))).alias("cosine"))
     both = met.select("cosine", F.explode(F.array("a", "b")).alias("vec_id"))
     return both.groupBy("vec_id").agg(F.count("*").alias("neighbors"), F.median("cosine").alias("median_similarity"))
+
+
+def partial_fit(values: DataFrame, key: str, x: str, s: str, y: str) -> DataFrame:
+    """``key, n, k, k_se, rms_before, rms_after``: the slope of y on s with a trend over x taken from both.
+
+    Closed forms of the second moments, so one aggregation does. ``k_se`` has n - 3 degrees of freedom.
+    """
+    c = lambda a, b: F.covar_pop(a, b)
+    m = values.groupBy(key).agg(F.count("*").alias("n"), c(x, x).alias("xx"), c(s, s).alias("ss"), c(x, s).alias("xs"), c(x, y).alias("xy"), c(s, y).alias("sy"), c(y, y).alias("yy"))
+    m = m.where("n > 3 AND xx > 0").withColumn("rs", F.col("ss") - F.col("xs") * F.col("xs") / F.col("xx")).where("rs > 1e-12")
+    m = m.withColumn("k", (F.col("sy") - F.col("xs") * F.col("xy") / F.col("xx")) / F.col("rs")).withColumn("before", F.greatest(F.col("yy") - F.col("xy") * F.col("xy") / F.col("xx"), F.lit(0.0)))
+    m = m.withColumn("after", F.greatest(F.col("before") - F.col("k") * F.col("k") * F.col("rs"), F.lit(0.0)))
+    return m.select(key, "n", "k", F.sqrt(F.col("after") / (F.col("n") - 3) / F.col("rs")).alias("k_se"), F.sqrt("before").alias("rms_before"), F.sqrt("after").alias("rms_after"))
+
+
+def agreement(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
+    """``key, agreement, median_abs``: length of the mean unit vector of phase differences, and their median size."""
+    off = F.col(a) - F.col(b)
+    return pairs.groupBy(key).agg(F.hypot(F.avg(F.cos(off)), F.avg(F.sin(off))).alias("agreement"), F.median(F.abs(F.atan2(F.sin(off), F.cos(off)))).alias("median_abs"))
+
+
+def neighbour_similarity(edges: DataFrame, wide: DataFrame, epochs: int) -> DataFrame:
+    """``point_id, neighbors, similarity``: median over a point's edges of the mean cosine of phase differences."""
+    at = lambda name: wide.select(F.col("point_id").alias(name), *[F.col(f"th{t}").alias(f"{name}{t}") for t in range(epochs)])
+    mean = sum((F.cos(F.col(f"v{t}") - F.col(f"u{t}")) for t in range(epochs)), F.lit(0.0)) / epochs
+    rows = edges.select("u", "v").join(at("u"), "u").join(at("v"), "v").select("u", "v", mean.alias("mean"))
+    return rows.select("mean", F.explode(F.array("u", "v")).alias("point_id")).groupBy("point_id").agg(F.count("*").alias("neighbors"), F.median("mean").alias("similarity"))

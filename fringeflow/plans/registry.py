@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import tidy
-from fringeflow.operators import amplitude, coherence, components, linking, network, series, spatial, support, unwrap
+from fringeflow.operators import amplitude, coherence, components, corrections, linking, network, sequential, series, similarity, spatial, support, unwrap
 from fringeflow.plans import oracle, temporal
 from fringeflow.plans import scene as S
 from fringeflow.plans.oracle import build, x6
+from fringeflow.streaming import windows
 
 PAIRS = [(i, j) for i in range(S.EPOCHS) for j in (i + 1, i + 2) if j < S.EPOCHS]
 TRIANGLES = [(PAIRS.index((a, a + 1)), PAIRS.index((a + 1, a + 2)), PAIRS.index((a, a + 2))) for a in range(S.EPOCHS - 2)]
@@ -469,3 +470,157 @@ def reference_candidates(spark, d):
 def vector_similarity(spark, d):
     rows = series.vector_similarity(spark.read.parquet(f"{d}/embeddings.parquet"), 5)
     return rows.select("vec_id", "neighbors", tidy(F.col("median_similarity")).alias("median_similarity"))
+
+
+# Sequences, gauges, corrections and audits.
+
+CYCLES = network.cycle_basis(PAIRS)
+_CYCLE_ROWS = ", ".join(f"({k}, {e}, {s})" for k, cycle in enumerate(CYCLES) for e, s in cycle)
+_CYCLE_SQL = f"""
+, cyc AS (SELECT * FROM (VALUES {_CYCLE_ROWS}) v(triangle_id, pair_id, sign)),
+cints AS (SELECT triangle_id, point_id, CAST(round_even(sum(sign * phase) / {oracle.TAU}::DOUBLE, 0) AS INT) AS k FROM ifg JOIN cyc USING (pair_id) GROUP BY ALL),
+cmodes AS (SELECT triangle_id, k AS modal_k FROM (SELECT triangle_id, k, row_number() OVER (PARTITION BY triangle_id ORDER BY count(*) DESC, k) AS rank FROM cints GROUP BY 1, 2) WHERE rank = 1)"""
+
+
+def _cycle_integers(spark, d) -> DataFrame:
+    return unwrap.integer_closures(corrections.cycle_closures(_ifgs(spark, d), CYCLES))
+
+
+@query()
+def prior_counts(spark, d):
+    return similarity.prior_counts(S.samples(spark, d), S.EPOCHS, 1, 1)
+
+
+@query()
+def sequential_phase_linking(spark, d):
+    """Ministacks of three epochs over the scene, each carrying what earlier ones compressed."""
+    return sequential.run_plan(_support(_stats(spark, d)), _pixels(spark, d), temporal.sequential_plan(S.EPOCHS, 3))
+
+
+@query()
+def sequential_quality(spark, d):
+    """Full-span temporal coherence of the sequential phases of points that every stage linked."""
+    linked = sequential.run_plan(_support(_stats(spark, d)), _pixels(spark, d), temporal.sequential_plan(S.EPOCHS, 3))
+    return coherence.temporal_coherence(_coherence(spark, d), sequential.complete_only(linked, S.EPOCHS), S.EPOCHS)
+
+
+_TREE = network.tree_weights(PAIRS, S.EPOCHS)
+
+
+@query(build(f"SELECT point_id, round(max(abs(d)), 6) + 0.0 AS tree_gap FROM (SELECT point_id, t, sum(w * phase) AS d FROM ifg JOIN (VALUES {', '.join(f'({e}, {t}, {float(_WEIGHTS[t, e] - _TREE[t, e])!r}::DOUBLE)' for e in range(len(PAIRS)) for t in range(S.EPOCHS))}) v(pair_id, t, w) USING (pair_id) GROUP BY ALL) GROUP BY 1", "ifg"))
+def tree_parity(spark, d):
+    """How far the least-squares series is from the one integrated along a spanning tree."""
+    gap = series.invert(_ifgs(spark, d), _WEIGHTS - _TREE)
+    return gap.groupBy("point_id").agg(tidy(F.max(F.abs("phase"))).alias("tree_gap"))
+
+
+@query(build(f"{_CYCLE_SQL} SELECT p.pair_id, CAST(coalesce(-modal_k, 0) AS INT) AS delta FROM pairs p LEFT JOIN (VALUES {', '.join(f'({k}, {cycle[0][0]})' for k, cycle in enumerate(CYCLES))}) v(triangle_id, pair_id) USING (pair_id) LEFT JOIN cmodes USING (triangle_id)", "ifg"))
+def integer_gauge(spark, d):
+    return corrections.gauge(unwrap.modal_closures(_cycle_integers(spark, d)), CYCLES, len(PAIRS))
+
+
+@query()
+def sparse_corrections(spark, d):
+    return corrections.sparse_corrections(unwrap.correction_patterns(_cycle_integers(spark, d)), CYCLES)
+
+
+@query(build(f"""{_CYCLE_SQL},
+off AS (SELECT point_id FROM cints JOIN cmodes USING (triangle_id) WHERE k <> modal_k GROUP BY 1 HAVING count(*) > 2),
+bad AS (SELECT p AS point_id FROM (SELECT u AS p, g FROM grad UNION ALL SELECT v, g FROM grad) GROUP BY 1 HAVING avg(CAST(abs(g) > pi() / 2 AS INT)) > 0.5)
+SELECT point_id, r, c FROM stats WHERE point_id NOT IN (SELECT point_id FROM off) AND point_id NOT IN (SELECT point_id FROM bad)""", "grad", "ifg"))
+def strict_points(spark, d):
+    ifgs = _ifgs(spark, d)
+    ints = unwrap.integer_closures(corrections.cycle_closures(ifgs, CYCLES))
+    ends = unwrap.gradients(ifgs, _knn(spark, d)).select("g", F.explode(F.array("u", "v")).alias("point_id"))
+    bad = ends.groupBy("point_id").agg(F.avg((F.abs("g") > unwrap.SAFE).cast("double")).alias("share")).where("share > 0.5").select("point_id")
+    return corrections.strict_points(_stats(spark, d).select("point_id", "r", "c"), ifgs, len(PAIRS), ints, unwrap.modal_closures(ints), bad, 2)
+
+
+def _closing(spark, d) -> DataFrame:
+    """The correction that puts a cycle's first pair right where a point is off the cycle's mode."""
+    ints = _cycle_integers(spark, d)
+    first = spark.createDataFrame([(k, cycle[0][0]) for k, cycle in enumerate(CYCLES)], "triangle_id int, pair_id int")
+    off = ints.join(F.broadcast(unwrap.modal_closures(ints)), "triangle_id").where("k <> modal_k").join(F.broadcast(first), "triangle_id")  # a row a cycle
+    return off.select("pair_id", "point_id", (F.col("modal_k") - F.col("k")).alias("correction"))
+
+
+_CLOSING_SQL = _CYCLE_SQL + f", fix AS (SELECT pair_id, point_id, modal_k - k AS correction FROM cints JOIN cmodes USING (triangle_id) JOIN (VALUES {', '.join(f'({k}, {cycle[0][0]})' for k, cycle in enumerate(CYCLES))}) v(triangle_id, pair_id) USING (triangle_id) WHERE k <> modal_k)"
+
+
+@query(build(f"""{_CLOSING_SQL},
+w AS (SELECT i.pair_id, i.point_id, phase, coalesce(correction, 0) AS add FROM ifg i LEFT JOIN fix USING (pair_id, point_id)),
+e AS (SELECT g.pair_id, CAST(round_even((b.phase - a.phase - g) / {oracle.TAU}::DOUBLE, 0) AS INT) AS jump, b.add - a.add AS moved FROM grad g JOIN w a ON a.pair_id = g.pair_id AND a.point_id = u JOIN w b ON b.pair_id = g.pair_id AND b.point_id = v)
+SELECT pair_id, count(*) AS edges, count(*) FILTER (jump <> 0) AS before, count(*) FILTER (jump + moved <> 0) AS after, count(*) FILTER (jump <> 0 AND jump + moved = 0) AS resolved, count(*) FILTER (jump = 0 AND jump + moved <> 0) AS created FROM e GROUP BY 1""", "grad", "ifg"))
+def correction_effect(spark, d):
+    ifgs = _ifgs(spark, d)
+    return corrections.boundary_effect(unwrap.gradients(ifgs, _knn(spark, d)), ifgs.withColumnRenamed("phase", "value"), _closing(spark, d))
+
+
+@query(build(f"""{_CLOSING_SQL}
+SELECT i.pair_id, CAST(r // 4 AS BIGINT) AS piece, count(*) AS size, count(correction) AS hit, CASE WHEN count(correction) = 0 THEN 'none' WHEN count(correction) = count(*) AND count(DISTINCT correction) = 1 THEN 'full' WHEN count(DISTINCT correction) > 1 THEN 'mixed' ELSE 'partial' END AS status
+FROM ifg i LEFT JOIN fix USING (pair_id, point_id) GROUP BY 1, 2""", "ifg"))
+def piece_coverage(spark, d):
+    bands = _stats(spark, d).select("point_id", F.expr("r div 4").alias("piece"))
+    return corrections.piece_coverage(_ifgs(spark, d).join(bands, "point_id").select("pair_id", "point_id", "piece"), _closing(spark, d))
+
+
+@query(oracle.cycle_counts_sql().replace("SELECT net.i, net.j,", ", cc AS (SELECT net.i, net.j,", 1) + ") SELECT (SELECT count(DISTINCT i) FROM twoway) AS nodes, count(*) AS edges, count(*) FILTER (c3 = 0 AND c4 = 0) AS uncovered, max(shortest) AS longest_shortest FROM cc")
+def network_acceptance(spark, d):
+    return network.acceptance(_net(spark, d))
+
+
+@query(build(f"SELECT threshold, count(*) FILTER (k >= threshold) AS direct, count(*) FILTER (k < threshold) AS fallback FROM counts, (SELECT CAST(unnest([4, 8, 12, 16, 20]) AS DOUBLE) AS threshold) GROUP BY 1", "counts"))
+def state_sweep(spark, d):
+    stats = _stats(spark, d)
+    return amplitude.two_way_threshold_counts(support.shp_count(stats, _support(stats)), "k", [4, 8, 12, 16, 20])
+
+
+@query(build("SELECT DISTINCT neighbor_id AS point_id FROM support", "support"))
+def support_footprint(spark, d):
+    return _support(_stats(spark, d)).select(F.col("neighbor_id").alias("point_id")).distinct()
+
+
+@query(build(f", th AS (SELECT center_id AS point_id, t, atan2(sum(im), sum(re)) AS a FROM support JOIN full_z ON point_id = neighbor_id GROUP BY ALL), x AS (SELECT point_id, z.phase - a AS off FROM th JOIN full_z z USING (point_id, t)) SELECT point_id, {x6('sqrt(pow(avg(cos(off)), 2) + pow(avg(sin(off)), 2))')} AS agreement, round(median(abs(atan2(sin(off), cos(off)))), 5) + 0.0 AS median_abs FROM x GROUP BY 1", "support", "full_z"))
+def phase_agreement(spark, d):
+    full = _full(spark, d)
+    sums = _support(_stats(spark, d)).join(full.withColumnRenamed("point_id", "neighbor_id"), "neighbor_id").groupBy("center_id", "t").agg(F.atan2(F.sum("im"), F.sum("re")).alias("around"))
+    both = full.select("point_id", "t", "phase").join(sums.withColumnRenamed("center_id", "point_id"), ["point_id", "t"])
+    return series.agreement(both, "point_id", "phase", "around").select("point_id", tidy(F.col("agreement")).alias("agreement"), tidy(F.col("median_abs"), 5).alias("median_abs"))
+
+
+@query(build(f", m AS (SELECT u, v, avg(cos(b.phase - a.phase)) AS mean FROM knn JOIN full_z a ON a.point_id = u JOIN full_z b ON b.point_id = v AND a.t = b.t GROUP BY 1, 2) SELECT point_id, count(*) AS neighbors, {x6('median(mean)')} AS similarity FROM (SELECT u AS point_id, mean FROM m UNION ALL SELECT v, mean FROM m) GROUP BY 1", "knn", "full_z"))
+def neighbour_similarity(spark, d):
+    rows = series.neighbour_similarity(_knn(spark, d), _own_phase(_pixels(spark, d)), S.EPOCHS)
+    return rows.select("point_id", "neighbors", tidy(F.col("similarity")).alias("similarity"))
+
+
+@query(build(f"""
+, s AS (SELECT t, avg(amp) AS s FROM full_z GROUP BY t),
+m AS (SELECT point_id, count(*) AS n, covar_pop(t, t) AS xx, covar_pop(s, s) AS ss, covar_pop(t, s) AS xs, covar_pop(t, phase) AS xy, covar_pop(s, phase) AS sy, covar_pop(phase, phase) AS yy FROM full_z JOIN s USING (t) GROUP BY 1),
+k AS (SELECT *, ss - xs * xs / xx AS rs, (sy - xs * xy / xx) / (ss - xs * xs / xx) AS k, greatest(yy - xy * xy / xx, 0) AS before FROM m)
+SELECT point_id, n, {x6('k')} AS k, {x6('sqrt(greatest(before - k * k * rs, 0) / (n - 3) / rs)')} AS k_se, {x6('sqrt(before)')} AS rms_before, {x6('sqrt(greatest(before - k * k * rs, 0))')} AS rms_after FROM k""", "full_z"))
+def partial_fit(spark, d):
+    full = _full(spark, d).select("point_id", "t", "phase", "amp")
+    level = full.groupBy("t").agg(F.avg("amp").alias("s"))
+    rows = series.partial_fit(full.join(F.broadcast(level), "t"), "point_id", "t", "s", "phase")  # a row an epoch
+    return rows.select("point_id", "n", *[tidy(F.col(x)).alias(x) for x in ("k", "k_se", "rms_before", "rms_after")])
+
+
+@query(build(", n AS (SELECT u, v, count(*) FILTER (abs(g) > pi() / 2) AS hits FROM grad GROUP BY 1, 2) SELECT threshold, count(*) FILTER (hits >= threshold) AS direct, count(*) FILTER (hits < threshold) AS fallback FROM n, (SELECT CAST(unnest([2, 3, 4, 5, 6, 7, 8]) AS DOUBLE) AS threshold) GROUP BY 1", "grad"))
+def conflict_recurrence(spark, d):
+    hits = _grads(spark, d).groupBy("u", "v").agg(F.count_if(F.abs("g") > unwrap.SAFE).alias("hits"))
+    return amplitude.two_way_threshold_counts(hits, "hits", [2, 3, 4, 5, 6, 7, 8])
+
+
+@query("WITH RECURSIVE " + build("", "grad").removeprefix("WITH ").rstrip() + f", e AS (SELECT u, v FROM grad WHERE pair_id = 0 AND abs(g) > 0.95::DOUBLE * {oracle.PI}::DOUBLE), b AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e), w AS (SELECT u AS node, u AS root FROM b UNION SELECT b.v, w.root FROM w JOIN b ON b.u = w.node), l AS (SELECT node, min(root) AS component FROM w GROUP BY 1) SELECT component, count(*) AS size FROM l GROUP BY 1")
+def conflict_clusters(spark, d):
+    """Points joined by the steepest edges of the first interferogram."""
+    steep = _grads(spark, d).where((F.col("pair_id") == 0) & (F.abs("g") > 0.95 * 3.141592653589793)).select("u", "v")
+    return spatial.component_sizes(components.connected_components(steep))
+
+
+@query("SELECT CAST(time_bucket(INTERVAL 6 HOUR, ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n, round(sum(value), 4) + 0.0 AS total FROM events GROUP BY 1, 2")
+def event_windows(spark, d):
+    """An extension: the event table read as a stream in six-hour windows."""
+    sums = windows.window_sums(windows.read_events(spark, d), "6 hours", "2 days")
+    return windows.run_available(sums, "event-windows").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", tidy(F.col("total"), 4).alias("total"))
