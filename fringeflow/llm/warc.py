@@ -1,9 +1,9 @@
 """WARC archives: written by Spark's text writer, read by a Python data source.
 
-The reader plans one partition a file. Predicates on the record type and on header
-columns are pushed down; a record's headers are parsed first, and the block of a
-record that is not wanted, or whose payload column is not asked for, is skipped
-unread.
+The reader plans one partition a file, plain or gzip. Predicates on the record type
+and on header columns are pushed down; a record's headers are parsed first, and the
+block of a record that is not wanted, or whose payload column is not asked for, is
+skipped: by a seek in plain files, undecoded in gzip files.
 
 Writing marks records with equal payloads of at least ``least_bytes`` bytes: the one
 with the smallest page_id is a response, the others are revisits of it without a
@@ -204,10 +204,13 @@ def page_records(pages: DataFrame, least_bytes: int = 0, date: str = "2024-01-01
     return met.withColumn("block", block).select(F.concat(F.lit(f"WARC/1.1{_END}"), heads, F.lit(_END), F.col("block")).alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, records_per_file: int = 20_000) -> None:
-    """Archives of all pages under ``path``, in any file system that Spark writes to."""
+def write_warc(pages: DataFrame, path: str, least_bytes: int = 0, records_per_file: int = 20_000, gzip_files: bool = True) -> None:
+    """Archives of all pages under ``path``, in any file system that Spark writes to.
+
+    Plain files let the reader seek past blocks; gzip files take less disk.
+    """
     out = page_records(pages, least_bytes).write.option("lineSep", _END * 2).option("maxRecordsPerFile", records_per_file)
-    out.text(path)
+    out.option("compression", "gzip" if gzip_files else "none").text(path)
 
 
 def read_warc(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -222,11 +225,11 @@ def _page(urn: str) -> Column:
     return F.nullif(F.regexp_extract(urn, r"<urn:page:(-?\d*)>", 1), F.lit("")).cast("long")
 
 
-def archive_round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def archive_round_trip(pages: DataFrame, least_bytes: int = 0, gzip_files: bool = True) -> DataFrame:
     """What the archives say of each page after they are written and read back."""
     spark = pages.sparkSession
     path = shared_path(spark, "warc")
-    write_warc(pages, path, least_bytes)
+    write_warc(pages, path, least_bytes, gzip_files=gzip_files)
     full = read_warc(spark, path).where("warc_type = 'response'").select(_page("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"))
     full = settle(full, "warc-response")
     light = read_warc(spark, path, ["warc_type", "record_id", "refers_to"]).where("warc_type = 'revisit'")

@@ -318,11 +318,11 @@ def test_winnowing_meets_any_shared_run():
 PAGES = "page_id long, url string, html string, digest string, first long"
 
 
-@pytest.mark.parametrize("least", [0, 10])
-def test_warc(spark, least):
+@pytest.mark.parametrize("least, packed", [(0, True), (10, False)])
+def test_warc(spark, least, packed):
     html = ["<p>one</p>", "<p>one</p>", None, "", "é" * 40, "WARC/1.1\r\nWARC-Type: response\r\n\r\n", "é" * 40, "x" * 3_000_000, "<p>one</p>"]
     pages = spark.createDataFrame([(10 - i, None if i == 2 else f"http://h/{i}\r\nX: y", h, "d", 1) for i, h in enumerate(html)], PAGES)
-    got = {r.page_id: r for r in warc.archive_round_trip(pages, least).collect()}
+    got = {r.page_id: r for r in warc.archive_round_trip(pages, least, packed).collect()}
     bodies = {10 - i: (h or "").encode() for i, h in enumerate(html)}
     assert len(got) == len(bodies)
     for p, raw in bodies.items():
