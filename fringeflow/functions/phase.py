@@ -80,3 +80,13 @@ def years(days: Column) -> Column:
 def tidy(x: Column, digits: int = 6) -> Column:
     """Rounded, without a negative zero."""
     return F.round(x, digits) + F.lit(0.0)
+
+
+def ground_range(slant: Column, incidence_degrees: Column) -> Column:
+    """Ground spacing of a slant-range spacing at an incidence angle."""
+    return slant / F.sin(F.radians(incidence_degrees))
+
+
+def half_window(radius: Column, spacing: Column) -> Column:
+    """Cells that reach at least ``radius`` metres from a cell's centre, one at least."""
+    return F.greatest(F.ceil(radius / spacing).cast("int"), F.lit(1))

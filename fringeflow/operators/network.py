@@ -255,3 +255,15 @@ def acceptance(edges: DataFrame) -> DataFrame:
     nodes = edges.select(F.explode(F.array("i", "j")).alias("node")).agg(F.count_distinct("node").alias("nodes"))
     rows = counts.agg(F.count("*").alias("edges"), F.count_if((F.col("c3") == 0) & (F.col("c4") == 0)).alias("uncovered"), F.max("shortest").alias("longest_shortest"))
     return nodes.crossJoin(rows)  # one row each
+
+
+def requirements(candidate_edges: DataFrame, chosen: DataFrame, per_side: int) -> DataFrame:
+    """``node, left, right, need_left, need_right, met``: links a side against the lesser of its candidates and the target."""
+    have, could = degrees(chosen), degrees(candidate_edges).select("node", F.col("left").alias("l"), F.col("right").alias("r"))
+    rows = could.join(have, "node", "left").select("node", F.coalesce("left", F.lit(0)).alias("left"), F.coalesce("right", F.lit(0)).alias("right"), F.least("l", F.lit(per_side)).alias("need_left"), F.least("r", F.lit(per_side)).alias("need_right"))
+    return rows.withColumn("met", (F.col("left") >= F.col("need_left")) & (F.col("right") >= F.col("need_right")))
+
+
+def epoch_baselines(pairs: list[tuple[int, int]], values: list[float], epochs: int) -> np.ndarray:
+    """Baselines of epochs from those of pairs by least squares, with epoch 0 at zero."""
+    return inversion_weights(pairs, epochs) @ np.asarray(values, float)

@@ -102,3 +102,17 @@ def neighbour_similarity(edges: DataFrame, wide: DataFrame, epochs: int) -> Data
     mean = sum((F.cos(F.col(f"v{t}") - F.col(f"u{t}")) for t in range(epochs)), F.lit(0.0)) / epochs
     rows = edges.select("u", "v").join(at("u"), "u").join(at("v"), "v").select("u", "v", mean.alias("mean"))
     return rows.select("mean", F.explode(F.array("u", "v")).alias("point_id")).groupBy("point_id").agg(F.count("*").alias("neighbors"), F.median("mean").alias("similarity"))
+
+
+def quadrants(values: DataFrame, row: int, col: int, half_rows: int, half_cols: int) -> DataFrame:
+    """``t, q0..q3, spread``: medians of a window's four quarters by epoch, and how far apart they are."""
+    inside = values.where((F.abs(F.col("r") - row) <= half_rows) & (F.abs(F.col("c") - col) <= half_cols))
+    quarter = 2 * (F.col("r") > row).cast("int") + (F.col("c") > col).cast("int")
+    rows = inside.withColumn("q", quarter).groupBy("t").agg(*[F.median(F.when(F.col("q") == q, F.col("phase"))).alias(f"q{q}") for q in range(4)])
+    names = [f"q{q}" for q in range(4)]
+    return rows.withColumn("spread", F.greatest(*names) - F.least(*names))
+
+
+def seeded_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """The n rows with the least hash of key and seed: the same rows on every run and layout."""
+    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)

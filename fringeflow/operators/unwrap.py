@@ -209,3 +209,60 @@ def registration(anchors: DataFrame, ifgs: DataFrame) -> DataFrame:
     diff = F.col("phase_q") - F.col("phase_p")
     shift = ambiguity(diff - wrap(diff))
     return met.groupBy("pair_id", "component").agg(F.min(shift).alias("shift"), (F.min(shift) == F.max(shift)).alias("agree"), F.count("*").alias("anchors"))
+
+
+def gates(stats: DataFrame, most_steep: float, most_middle: float) -> DataFrame:
+    """``pair_id, reasons, verdict``: why an interferogram wants a review, from ``gradient_stats``."""
+    reasons = F.array_compact(F.array(F.when(F.col("frac_pi2") > most_steep, "steep"), F.when(F.col("mean_abs") > most_middle, "rough"), F.when(F.col("edges") == 0, "empty")))
+    return stats.select("pair_id", F.array_join(reasons, "+").alias("reasons"), F.when(F.size(reasons) > 0, "REVIEW").otherwise("PASS").alias("verdict"))
+
+
+def worst_pair(stats: DataFrame) -> DataFrame:
+    """The one pair with the largest share of steep edges, then the larger upper percentile, then the smaller number."""
+    return stats.orderBy(F.desc("frac_pi2"), F.desc("p90"), "pair_id").limit(1)
+
+
+def antisymmetry(phases: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pair_id, worst``: largest wrapped sum of a difference and its reverse; zero up to rounding."""
+    back = pairs.select("pair_id", F.col("j").alias("i"), F.col("i").alias("j"))
+    both = virtual_ifgs(phases, pairs).join(virtual_ifgs(phases, back).withColumnRenamed("phase", "reverse"), ["pair_id", "point_id"])
+    return both.groupBy("pair_id").agg(F.max(F.abs(wrap(F.col("phase") + F.col("reverse")))).alias("worst"))
+
+
+def piece_shifts(votes: DataFrame, least_ratio: float = 0.0) -> DataFrame:
+    """``pair_id, piece, root, shift, against``: whole turns that bring each piece to its root, along the surest votes.
+
+    Votes are what is left of an interferogram once its edges are counted, a row for two pieces that touch;
+    one interferogram's votes are one group. ``against`` counts the votes of a piece that the shifts do not obey.
+    """
+
+    def settle_votes(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows[rows["ratio"] >= least_ratio].sort_values(["ratio", "edge_count", "median_abs", "median_dist", "frag_a", "frag_b"], ascending=[False, False, True, True, True, True])
+        parent: dict[int, int] = {}
+        offset: dict[int, int] = {}
+
+        def root(x: int) -> tuple[int, int]:
+            total = 0
+            while parent.setdefault(x, x) != x:
+                total += offset[x]
+                x = parent[x]
+            return x, total
+
+        for a, b, k in zip(rows["frag_a"], rows["frag_b"], rows["mode_shift"]):
+            (ra, sa), (rb, sb) = root(a), root(b)
+            if ra != rb:  # k more turns in b than in a, so b moves down by k
+                low, high, move = (ra, rb, sa - k - sb) if ra < rb else (rb, ra, sb + k - sa)
+                parent[high], offset[high] = low, move
+        found = {p: root(p) for p in sorted(parent)}
+        against = dict.fromkeys(found, 0)
+        for a, b, k in zip(rows["frag_a"], rows["frag_b"], rows["mode_shift"]):
+            if found[b][1] + k != found[a][1]:
+                against[a] += 1
+                against[b] += 1
+        out = [(p, r, s, against[p]) for p, (r, s) in found.items()]
+        table = pd.DataFrame(out, columns=["piece", "root", "shift", "against"]).astype("int64")
+        table.insert(0, "pair_id", np.int32(rows["pair_id"].iloc[0]) if len(rows) else np.int32(0))
+        return table
+
+    columns = ["pair_id", "frag_a", "frag_b", "mode_shift", "ratio", "edge_count", "median_abs", "median_dist"]
+    return votes.select(*columns).groupBy("pair_id").applyInPandas(settle_votes, "pair_id int, piece long, root long, shift long, against long")

@@ -619,6 +619,44 @@ def conflict_clusters(spark, d):
     return spatial.component_sizes(components.connected_components(steep))
 
 
+_GRAD_STATS = f", gs AS (SELECT pair_id, count(*) AS edges, avg(abs(g)) AS mean_abs, avg(CAST(abs(g) > {oracle.PI}::DOUBLE / 2 AS INT)) AS frac_pi2, quantile_cont(abs(g), 0.9) AS p90 FROM grad GROUP BY 1)"
+
+
+@query(build(f"{_GRAD_STATS} SELECT pair_id, concat_ws('+', CASE WHEN frac_pi2 > 0.5 THEN 'steep' END, CASE WHEN mean_abs > 1.57 THEN 'rough' END) AS reasons, CASE WHEN frac_pi2 > 0.5 OR mean_abs > 1.57 THEN 'REVIEW' ELSE 'PASS' END AS verdict FROM gs", "grad"))
+def ifg_gates(spark, d):
+    return unwrap.gates(unwrap.gradient_stats(_grads(spark, d)), 0.5, 1.57)
+
+
+@query(build(f"{_GRAD_STATS} SELECT pair_id, {x6('frac_pi2')} AS frac_pi2, {x6('p90')} AS p90 FROM gs ORDER BY frac_pi2 DESC, p90 DESC, pair_id LIMIT 1", "grad"))
+def worst_pair(spark, d):
+    return unwrap.worst_pair(unwrap.gradient_stats(_grads(spark, d))).select("pair_id", tidy(F.col("frac_pi2")).alias("frac_pi2"), tidy(F.col("p90")).alias("p90"))
+
+
+@query(build(f"SELECT pair_id, {x6('max(abs(atan2(sin(f + b), cos(f + b))))')} AS worst FROM (SELECT pair_id, atan2(sin(b.phase - a.phase), cos(b.phase - a.phase)) AS f, atan2(sin(a.phase - b.phase), cos(a.phase - b.phase)) AS b FROM pairs JOIN full_z a ON a.t = i JOIN full_z b ON b.t = j AND b.point_id = a.point_id) GROUP BY 1", "pairs", "full_z"))
+def antisymmetry(spark, d):
+    rows = unwrap.antisymmetry(_full(spark, d).select("point_id", "t", "phase"), unwrap.pair_table(spark, PAIRS))
+    return rows.select("pair_id", tidy(F.col("worst")).alias("worst"))
+
+
+@query()
+def piece_shifts(spark, d):
+    """Bands of four rows brought to a common whole turn along the surest votes."""
+    ifgs, edges = _ifgs(spark, d), _knn(spark, d)
+    labelled = ifgs.join(_stats(spark, d).select("point_id", F.expr("r div 4").alias("piece")), "point_id").withColumnRenamed("phase", "value")
+    return unwrap.piece_shifts(unwrap.fragment_votes(unwrap.gradients(ifgs, edges), labelled, edges))
+
+
+@query(build(", c AS (SELECT node, count(*) FILTER (side = 'l') AS l, count(*) FILTER (side = 'r') AS r FROM (SELECT i AS node, 'r' AS side FROM cand UNION ALL SELECT j, 'l' FROM cand) GROUP BY 1), h AS (SELECT node, count(*) FILTER (side = 'l') AS l, count(*) FILTER (side = 'r') AS r FROM (SELECT i AS node, 'r' AS side FROM net UNION ALL SELECT j, 'l' FROM net) GROUP BY 1) SELECT c.node, coalesce(h.l, 0) AS left, coalesce(h.r, 0) AS right, least(c.l, 3) AS need_left, least(c.r, 3) AS need_right, coalesce(h.l, 0) >= least(c.l, 3) AND coalesce(h.r, 0) >= least(c.r, 3) AS met FROM c LEFT JOIN h USING (node)", "net"))
+def network_requirements(spark, d):
+    return network.requirements(_candidates(spark, d), _net(spark, d), 3)
+
+
+@query(build(f", w AS (SELECT t, phase, 2 * CAST(r > 2 AS INT) + CAST(c > 20 AS INT) AS q FROM full_z WHERE abs(r - 2) <= 2 AND abs(c - 20) <= 15), m AS (SELECT t, {', '.join(f'median(phase) FILTER (q = {q}) AS q{q}' for q in range(4))} FROM w GROUP BY t) SELECT t, {', '.join(f'{x6(f'q{q}')} AS q{q}' for q in range(4))}, {x6('greatest(q0, q1, q2, q3) - least(q0, q1, q2, q3)')} AS spread FROM m", "full_z"))
+def quadrant_consistency(spark, d):
+    rows = series.quadrants(_full(spark, d), 2, 20, 2, 15)
+    return rows.select("t", *[tidy(F.col(x)).alias(x) for x in ("q0", "q1", "q2", "q3", "spread")])
+
+
 @query("SELECT CAST(time_bucket(INTERVAL 6 HOUR, ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n, round(sum(value), 4) + 0.0 AS total FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
     """An extension: the event table read as a stream in six-hour windows."""

@@ -223,3 +223,7 @@ def test_unwrapping_a_ramp(spark):
     votes = unwrap.fragment_votes(grads, got.select("pair_id", "point_id", F.col("root").alias("piece"), F.col("unwrapped").alias("value")), edges).collect()
     assert len(votes) == 4 and all(v.exact and v.ratio == 1 for v in votes)
     assert unwrap.strong_votes(unwrap.fragment_votes(grads, got.select("pair_id", "point_id", F.col("root").alias("piece"), F.col("unwrapped").alias("value")), edges)).count() == 4
+    by_vote = unwrap.fragment_votes(grads, got.select("pair_id", "point_id", F.col("root").alias("piece"), F.col("unwrapped").alias("value")), edges)
+    shifts = {s.piece: (s.root, s["shift"], s.against) for s in unwrap.piece_shifts(by_vote).collect()}
+    assert {s[0] for s in shifts.values()} == {0} and all(s[2] == 0 for s in shifts.values())
+    assert len({round(r.unwrapped + 2 * math.pi * shifts[r.root][1] - truth[r.point_id], 6) for r in rows}) == 1
