@@ -1,11 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on the same
-ordinary text and the passages of toxic documents that set them apart. A window
-of a text is compressed with both; the bytes that the toxic dictionary saves are
-its distance. A document's counts of windows beyond each of ``LEVELS`` saved bytes
-are compared with thresholds calibrated on labelled documents that trained
-neither dictionary (a logistic model of the counts).
+Two zstandard dictionaries are made: one trained on ordinary text, one with the same
+ordinary text and, behind it, the words and stems that far more toxic documents
+hold than ordinary ones. A window of a text is compressed with both; the bytes that
+the toxic dictionary saves are its distance. A document's counts of windows beyond
+each of ``LEVELS`` saved bytes are weighed by a logistic model, whose threshold is
+calibrated so that at most ``MOST_FALSE`` of clean documents pass it, on labelled
+documents that trained neither dictionary. Copies and near-copies are taken once in
+training, or their chance words would pass for toxic ones.
 
 Windows are words (cut at ``WINDOW_BYTES``), followed by a carrier that both dictionaries
 hold, so that even a short window is compressed and not stored. Most words come
@@ -22,6 +24,7 @@ gives every text the share of toxic labels; an empty table gives an empty result
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -36,10 +39,15 @@ CLASS_ROWS = 5000
 CLASS_BYTES = 24 << 20
 DICTIONARY_BYTES = 16384
 TOXIC_BYTES = 8192
-GRAM = 4
+GRAM = 5
 WINDOW_BYTES = 48
 LEVELS = (1, 2, 3, 4, 5, 6, 8)
 CARRIER = b"\x01carrier of one framed window of text\x02"
+LEAST_Z = 5.0
+LEAST_SHARE = 0.01
+LEAST_RATE = 3.0
+MOST_FALSE = 0.01
+_MARKS = b".,;:!?\"'()[]*&%$#"
 _CACHE = 400_000
 
 
@@ -91,7 +99,7 @@ class Distance:
 
 
 def _gram_sets(text: bytes) -> np.ndarray:
-    """Distinct byte grams inside words (a word's first gram starts with a blank)."""
+    """Distinct byte grams inside words, with the blank before a word and the one after it."""
     b = np.frombuffer(b" " + b" ".join(windows(text)) + b" ", np.uint8).astype(np.uint64)
     if len(b) < GRAM:
         return np.zeros(0, np.uint64)
@@ -100,29 +108,56 @@ def _gram_sets(text: bytes) -> np.ndarray:
     for i in range(GRAM):
         part = b[i : len(b) - GRAM + 1 + i]
         code = (code << np.uint64(8)) | part
-        if i:
+        if 0 < i < GRAM - 1:
             inner &= part != 32
     return np.unique(code[inner])
 
 
+def _over(n_toxic: np.ndarray, n_plain: np.ndarray, toxic: int, plain: int) -> np.ndarray:
+    """Whether far more toxic documents hold something than their share of all documents says."""
+    share = toxic / (toxic + plain)
+    z = (n_toxic - (n_toxic + n_plain) * share) / np.sqrt((n_toxic + n_plain) * share * (1 - share) + 0.25)
+    rate = (n_toxic / toxic) / ((n_plain + 0.5) / (plain + 1))
+    return (z >= LEAST_Z) & (n_toxic >= max(3, LEAST_SHARE * toxic)) & (rate >= LEAST_RATE)
+
+
+def _once(rows: list[tuple[bytes, int, int]]) -> list[tuple[bytes, int, int]]:
+    """``rows`` without copies and near-copies, which share the two least hashes of their runs of five words."""
+    seen, kept = set(), []
+    for text, label, h in rows:
+        w = text.split()
+        runs = {zlib.crc32(b" ".join(w[i : i + 5])) for i in range(max(1, len(w) - 4))}
+        mark = (label, *sorted(runs)[:2])
+        if mark not in seen:
+            seen.add(mark)
+            kept.append((text, label, h))
+    return kept
+
+
 def _salient(toxic: list[bytes], plain: list[bytes]) -> np.ndarray:
-    """Grams that far more toxic documents hold than their share of all documents says."""
+    """Grams of which that holds."""
     a, n_a = np.unique(np.concatenate([_gram_sets(t) for t in toxic]), return_counts=True)
     b, n_b = np.unique(np.concatenate([_gram_sets(t) for t in plain]), return_counts=True)
     if not len(a):
         return a
     at = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
     other = np.where(b[at] == a, n_b[at], 0) if len(b) else np.zeros(len(a), int)
-    share = len(toxic) / (len(toxic) + len(plain))
-    z = (n_a - (n_a + other) * share) / np.sqrt((n_a + other) * share * (1 - share) + 0.25)
-    rate = (n_a / len(toxic)) / ((other + 0.5) / (len(plain) + 1))
-    return a[(z >= 4) & (n_a >= 3) & (rate >= 3)]
+    return a[_over(n_a, other, len(toxic), len(plain))]
+
+
+def _salient_words(toxic: list[bytes], plain: list[bytes]) -> list[bytes]:
+    """Windows without outer punctuation of which that holds, the most frequent last."""
+    bare = lambda t: {w.strip(_MARKS) for w in windows(t)}
+    a, b = Counter(w for t in toxic for w in bare(t)), Counter(w for t in plain for w in bare(t))
+    words = sorted((w for w, n in a.items() if n >= 3 and len(w) > 2), key=lambda w: (a[w], w))
+    over = _over(np.array([a[w] for w in words], float), np.array([b[w] for w in words], float), len(toxic), len(plain)) if words else []
+    return [w for w, ok in zip(words, over) if ok]
 
 
 def _passages(text: bytes, salient: set[int]) -> Iterator[bytes]:
     """The runs of a text's words that salient grams cover."""
     for w in windows(text):
-        b = b" " + w
+        b = b" " + w + b" "
         hit = [i for i in range(len(b) - GRAM + 1) if int.from_bytes(b[i : i + GRAM], "big") in salient]
         if hit:
             start = last = hit[0]
@@ -144,6 +179,7 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
 
 def learn(rows: list[tuple[bytes, int, int]], share: float) -> Model:
     """``rows``: text, toxic 0/1, and a hash; two thirds train dictionaries and the rest calibrates. share: of toxic labels."""
+    rows = _once(rows)
     halves = [[(t, x) for t, x, h in rows if (h % 3 == 0) == half] for half in (False, True)]
     if any({x for _, x in half} != {0, 1} for half in halves):
         return Model(base=share)
@@ -152,13 +188,16 @@ def learn(rows: list[tuple[bytes, int, int]], share: float) -> Model:
     ordinary = [w for t in plain for w in windows(t)]
     content = _dictionary(ordinary[:: max(1, len(ordinary) // 400_000)], DICTIONARY_BYTES)
     passages = Counter(p for t in toxic for p in set(_passages(t, salient)))
-    common = [p for p, n in passages.most_common() if n > 1][: TOXIC_BYTES // 6]
-    trained = b" ".join(reversed(common))[-TOXIC_BYTES:]
+    common = [p for p, n in passages.most_common() if n > 1][: TOXIC_BYTES // 12]
+    trained = b" ".join(_salient_words(toxic, plain))[-TOXIC_BYTES:] + b" " + b" ".join(reversed(common))[-TOXIC_BYTES:]
     model = Model(base=share, ordinary=content + b" " + CARRIER, toxic=content + b" " + trained + b" " + CARRIER)
     distance = Distance(model.ordinary, model.toxic)
     x = np.array([distance.features(t) for t, _ in halves[1]])
     y = np.array([c for _, c in halves[1]], float)
-    model.weights = _logistic(x, y, share).tolist()
+    weights = _logistic(x, y, share)
+    # The threshold: at most MOST_FALSE of the calibration's clean documents may score one half or more.
+    weights[0] -= max(0.0, float(np.quantile(x[y == 0] @ weights, 1 - MOST_FALSE)))
+    model.weights = weights.tolist()
     return model
 
 
