@@ -18,6 +18,7 @@ def run_plan(support: DataFrame, pixels: DataFrame, plan: list[Stage]) -> DataFr
     tied to epoch 0 through their oldest input. Points that a stage can't link leave the following stages.
     Each stage is written to the shared folder, so a lost executor costs a reread.
     """
+    support = settle(support.select("center_id", "neighbor_id"), "support")
     inputs: dict[str, DataFrame] = {}
     out = None
     for stage in plan:

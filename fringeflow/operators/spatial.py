@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fringeflow.functions.phase import metres
 from fringeflow.operators.components import connected_components
 from fringeflow.operators.support import half_window, neighbour_pairs
+from fringeflow.plans.lineage import settle
 
 
 def nearest(points: DataFrame, radius: int, k: int, azimuth: float, ground_range: float) -> DataFrame:
@@ -38,7 +39,7 @@ def grid_components(points: DataFrame, radius: int, four: bool = False) -> DataF
     offsets = [(0, 1), (1, 0)] if four else half_window(radius, radius)
     pairs = neighbour_pairs(points, offsets, ["point_id"]).select(F.col("a_point_id").alias("u"), F.col("b_point_id").alias("v"))
     alone = points.select(F.col("point_id").alias("u"), F.col("point_id").alias("v"))
-    return connected_components(pairs.union(alone)).withColumnRenamed("node", "point_id")
+    return settle(connected_components(pairs.union(alone)).withColumnRenamed("node", "point_id"), "labels")
 
 
 def component_sizes(labels: DataFrame) -> DataFrame:

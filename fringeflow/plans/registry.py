@@ -11,6 +11,7 @@ from fringeflow.functions.phase import tidy
 from fringeflow.operators import amplitude, coherence, components, corrections, linking, network, sequential, series, similarity, spatial, support, unwrap
 from fringeflow.plans import oracle, temporal
 from fringeflow.plans import scene as S
+from fringeflow.plans.lineage import settle
 from fringeflow.plans.oracle import build, x6
 from fringeflow.streaming import windows
 
@@ -146,7 +147,7 @@ def support_bitset(spark, d):
 @query(oracle.state_core_sql() + "\nSELECT point_id, effective_k FROM s14")
 def state_core(spark, d):
     stats = _stats(spark, d)
-    edges = _support(stats)
+    edges = settle(_support(stats), "support")
     return support.state_core(edges, support.shp_count(stats, edges), S.STATE_K)
 
 
@@ -155,8 +156,8 @@ def state_core(spark, d):
 SELECT f.point_id, CASE WHEN NOT ps AND coalesce(k, 0) >= {S.FORMAL_K} AND coalesce(effective_k, 0) >= {S.FORMAL_K} THEN 'sequential' WHEN NOT ps AND coalesce(k, 0) >= {S.FORMAL_K} THEN 'fallback' ELSE 'outside' END AS route
 FROM flagged f LEFT JOIN counts ON counts.center_id = f.point_id LEFT JOIN eff ON eff.center_id = f.point_id""")
 def routing(spark, d):
-    stats = _stats(spark, d)
-    edges = _support(stats)
+    stats = settle(_stats(spark, d), "stats")
+    edges = settle(_support(stats), "support")
     counts = support.shp_count(stats, edges)
     effective = support.effective_counts(edges, support.state_core(edges, counts, S.STATE_K))
     return support.routing(stats, counts, effective, S.FORMAL_K)
@@ -204,8 +205,8 @@ def emi_phase_linking(spark, d):
 @query()
 def linked_quality(spark, d):
     """Temporal coherence of the linked phases over all epochs, with the estimator that gave them."""
-    rows = _coherence(spark, d)
-    linked = linking.link_phases(rows, S.EPOCHS)
+    rows = settle(_coherence(spark, d), "coherence")
+    linked = settle(linking.link_phases(rows, S.EPOCHS), "linked")
     theta = linked.select(F.col("center_id").alias("point_id"), *[F.col("phase")[t].alias(f"th{t}") for t in range(S.EPOCHS)])
     return coherence.temporal_coherence(rows, theta, S.EPOCHS).join(linked.select("center_id", "estimator"), "center_id")
 
@@ -221,7 +222,7 @@ def sequential_plan(spark, d):
 
 def _ds(spark, d) -> DataFrame:
     stats = _stats(spark, d)
-    rows = coherence.coherence_wide(_support(stats), _pixels(spark, d), S.EPOCHS)
+    rows = settle(coherence.coherence_wide(_support(stats), _pixels(spark, d), S.EPOCHS), "coherence")
     tc = coherence.temporal_coherence(rows, _own_phase(_pixels(spark, d)), S.EPOCHS)
     quality = tc.join(coherence.median_coherence(rows, S.EPOCHS), "center_id").withColumnRenamed("center_id", "point_id")
     points = stats.join(quality, "point_id").withColumn("estimator", F.lit(linking.EMI))
@@ -237,9 +238,9 @@ def ds_selection(spark, d):
 , p AS (SELECT point_id, r, c, 1 AS point_type, CAST(NULL AS DOUBLE) AS tc FROM flagged WHERE ps UNION ALL SELECT point_id, r, c, 2, {x6('tc')} FROM ds WHERE point_id NOT IN (SELECT point_id FROM flagged WHERE ps))
 SELECT row_number() OVER (ORDER BY r, c) - 1 AS point_no, point_id, r, c, point_type, tc FROM p""", "flagged", "ds"))
 def point_stack(spark, d):
-    ps = _stats(spark, d).where("ps").select("point_id", "r", "c", F.lit(1).alias("point_type"), F.lit(None).cast("double").alias("tc"))
+    ps = settle(_stats(spark, d).where("ps"), "ps").select("point_id", "r", "c", F.lit(1).alias("point_type"), F.lit(None).cast("double").alias("tc"))
     ds = _ds(spark, d).join(ps.select("r", "c"), ["r", "c"], "left_anti").select("point_id", "r", "c", F.lit(2).alias("point_type"), tidy(F.col("tc")).alias("tc"))
-    return amplitude.point_numbers(ps.unionByName(ds)).select("point_no", "point_id", "r", "c", "point_type", "tc")
+    return amplitude.point_numbers(settle(ps.unionByName(ds), "points")).select("point_no", "point_id", "r", "c", "point_type", "tc")
 
 
 # The epoch network.
@@ -310,7 +311,7 @@ def correction_patterns(spark, d):
 bad AS (SELECT DISTINCT point_id FROM ints JOIN modes USING (triangle_id) WHERE k <> modal_k AND triangle_id >= 2)
 SELECT signature, count(*) AS size, count(bad.point_id) AS bad_points, CASE WHEN count(bad.point_id) = 0 THEN 'good' WHEN count(bad.point_id) = count(*) THEN 'bad' ELSE 'mixed' END AS status FROM p LEFT JOIN bad USING (point_id) GROUP BY 1""", "modes"))
 def signature_groups(spark, d):
-    ints = _integers(spark, d)
+    ints = settle(_integers(spark, d), "integers")
     off = ints.join(F.broadcast(unwrap.modal_closures(ints)), "triangle_id").where("k <> modal_k AND triangle_id >= 2")  # a row a triangle
     labels = ints.where("triangle_id < 2").select("point_id", F.col("triangle_id").alias("pair_id"), F.col("k").alias("label"))
     return unwrap.signature_groups(labels, off)
@@ -347,13 +348,13 @@ def occupancy_degrees(spark, d):
 
 @query(build("SELECT component, CAST(rank AS INT) AS rank, p, q, radius2, class FROM anchor", "anchor"))
 def anchors(spark, d):
-    points = _some(spark, d)
+    points = settle(_some(spark, d), "points")
     return spatial.anchors(points, spatial.grid_components(points, 1), 30)
 
 
 @query(build("SELECT radius, count(*) FILTER (radius2 <= radius * radius) AS covered FROM anchor, (SELECT unnest([1, 2, 3, 5, 10, 20, 30]) AS radius) WHERE rank = 2 GROUP BY 1", "anchor"))
 def anchor_coverage(spark, d):
-    points = _some(spark, d)
+    points = settle(_some(spark, d), "points")
     found = spatial.anchors(points, spatial.grid_components(points, 1), 30).where("rank = 2")
     radii = [1, 2, 3, 5, 10, 20, 30]
     sums = found.agg(*[F.count_if(F.col("radius2") <= r * r).alias(f"n{r}") for r in radii])
@@ -362,7 +363,7 @@ def anchor_coverage(spark, d):
 
 @query(build(f"SELECT a.pair_id, component, CAST(min(round_even((b.phase - a.phase - atan2(sin(b.phase - a.phase), cos(b.phase - a.phase))) / {oracle.TAU}::DOUBLE, 0)) AS INT) AS shift, min(round_even((b.phase - a.phase - atan2(sin(b.phase - a.phase), cos(b.phase - a.phase))) / {oracle.TAU}::DOUBLE, 0)) = max(round_even((b.phase - a.phase - atan2(sin(b.phase - a.phase), cos(b.phase - a.phase))) / {oracle.TAU}::DOUBLE, 0)) AS agree, count(*) AS anchors FROM anchor JOIN ifg a ON a.point_id = p JOIN ifg b ON b.point_id = q AND a.pair_id = b.pair_id GROUP BY 1, 2", "anchor", "ifg"))
 def residual_registration(spark, d):
-    points = _some(spark, d)
+    points = settle(_some(spark, d), "points")
     return unwrap.registration(spatial.anchors(points, spatial.grid_components(points, 1), 30), _ifgs(spark, d))
 
 
@@ -400,7 +401,7 @@ SELECT v.pair_id, v.frag_a, v.frag_b, count(*) AS edge_count, any_value(m.shift)
 FROM votes v JOIN m ON m.pair_id = v.pair_id AND m.frag_a = v.frag_a AND m.frag_b = v.frag_b AND rank = 1 GROUP BY 1, 2, 3""", "grad", "ifg"))
 def fragment_votes(spark, d):
     """Votes between bands of four rows, each taken as one piece."""
-    ifgs, edges = _ifgs(spark, d), _knn(spark, d)
+    ifgs, edges = _ifgs(spark, d), settle(_knn(spark, d), "knn")
     bands = _stats(spark, d).select("point_id", F.expr("r div 4").alias("piece"))
     labelled = ifgs.join(bands, "point_id").withColumnRenamed("phase", "value")
     rows = unwrap.fragment_votes(unwrap.gradients(ifgs, edges), labelled, edges)
@@ -411,7 +412,7 @@ def fragment_votes(spark, d):
 def unwrap_single_ifg(spark, d):
     """Every interferogram unwrapped along safe edges, inside fragments and tiles."""
     ifgs, points = _ifgs(spark, d), _stats(spark, d).select("point_id", "r", "c")
-    grads = unwrap.gradients(ifgs, _knn(spark, d))
+    grads = settle(unwrap.gradients(ifgs, _knn(spark, d)), "gradients")
     return unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points).select("pair_id", "point_id", "fragment", "root", "unwrapped")
 
 
@@ -530,7 +531,7 @@ bad AS (SELECT p AS point_id FROM (SELECT u AS p, g FROM grad UNION ALL SELECT v
 SELECT point_id, r, c FROM stats WHERE point_id NOT IN (SELECT point_id FROM off) AND point_id NOT IN (SELECT point_id FROM bad)""", "grad", "ifg"))
 def strict_points(spark, d):
     ifgs = _ifgs(spark, d)
-    ints = unwrap.integer_closures(corrections.cycle_closures(ifgs, CYCLES))
+    ints = settle(unwrap.integer_closures(corrections.cycle_closures(ifgs, CYCLES)), "integers")
     ends = unwrap.gradients(ifgs, _knn(spark, d)).select("g", F.explode(F.array("u", "v")).alias("point_id"))
     bad = ends.groupBy("point_id").agg(F.avg((F.abs("g") > unwrap.SAFE).cast("double")).alias("share")).where("share > 0.5").select("point_id")
     return corrections.strict_points(_stats(spark, d).select("point_id", "r", "c"), ifgs, len(PAIRS), ints, unwrap.modal_closures(ints), bad, 2)
@@ -538,7 +539,7 @@ def strict_points(spark, d):
 
 def _closing(spark, d) -> DataFrame:
     """The correction that puts a cycle's first pair right where a point is off the cycle's mode."""
-    ints = _cycle_integers(spark, d)
+    ints = settle(_cycle_integers(spark, d), "integers")
     first = spark.createDataFrame([(k, cycle[0][0]) for k, cycle in enumerate(CYCLES)], "triangle_id int, pair_id int")
     off = ints.join(F.broadcast(unwrap.modal_closures(ints)), "triangle_id").where("k <> modal_k").join(F.broadcast(first), "triangle_id")  # a row a cycle
     return off.select("pair_id", "point_id", (F.col("modal_k") - F.col("k")).alias("correction"))
@@ -640,9 +641,9 @@ def antisymmetry(spark, d):
 
 @query()
 def piece_shifts(spark, d):
-    """Bands of four rows brought to a common whole turn along the surest votes."""
-    ifgs, edges = _ifgs(spark, d), _knn(spark, d)
-    labelled = ifgs.join(_stats(spark, d).select("point_id", F.expr("r div 4").alias("piece")), "point_id").withColumnRenamed("phase", "value")
+    """Bands of two rows brought to a common whole turn along the surest votes."""
+    ifgs, edges = _ifgs(spark, d), settle(_knn(spark, d), "knn")
+    labelled = ifgs.join(_stats(spark, d).select("point_id", F.expr("r div 2").alias("piece")), "point_id").withColumnRenamed("phase", "value")
     return unwrap.piece_shifts(unwrap.fragment_votes(unwrap.gradients(ifgs, edges), labelled, edges))
 
 
