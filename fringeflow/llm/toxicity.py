@@ -38,12 +38,12 @@ from pyspark.sql import functions as F
 CLASS_ROWS = 5000
 CLASS_BYTES = 24 << 20
 DICTIONARY_BYTES = 16384
-TOXIC_BYTES = 8192
+TOXIC_BYTES = 3072
 GRAM = 5
 WINDOW_BYTES = 48
 LEVELS = (1, 2, 3, 4, 5, 6, 8)
 CARRIER = b"\x01carrier of one framed window of text\x02"
-LEAST_Z = 5.0
+LEAST_Z = 6.0
 LEAST_SHARE = 0.01
 LEAST_RATE = 3.0
 MOST_FALSE = 0.01
@@ -73,7 +73,7 @@ class Distance:
     """Bytes that the toxic dictionary saves on a window."""
 
     def __init__(self, ordinary: bytes, toxic: bytes) -> None:
-        params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=15, chain_log=15, search_log=5, min_match=3, target_length=48, strategy=zstandard.STRATEGY_BTOPT, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+        params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=15, chain_log=15, search_log=5, min_match=3, target_length=48, strategy=zstandard.STRATEGY_GREEDY, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
         self._sides = []
         for content in (ordinary, toxic):
             held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -155,15 +155,15 @@ def _salient_words(toxic: list[bytes], plain: list[bytes]) -> list[bytes]:
 
 
 def _passages(text: bytes, salient: set[int]) -> Iterator[bytes]:
-    """The runs of a text's words that salient grams cover."""
+    """The runs of a text's words that salient grams cover, from the beginning of the word where they are near it."""
     for w in windows(text):
         b = b" " + w + b" "
         hit = [i for i in range(len(b) - GRAM + 1) if int.from_bytes(b[i : i + GRAM], "big") in salient]
         if hit:
-            start = last = hit[0]
-            for i in [*hit[1:], len(b) + GRAM]:
-                if i > last + 1:
-                    yield b[start : last + GRAM].strip()
+            start = last = hit[0] if hit[0] > 2 else 0
+            for i in [*hit, len(b) + GRAM]:
+                if i > max(last, hit[0]) + 1:
+                    yield b[start : max(last, hit[0]) + GRAM].strip()
                     start = i
                 last = i
 
@@ -188,7 +188,7 @@ def learn(rows: list[tuple[bytes, int, int]], share: float) -> Model:
     ordinary = [w for t in plain for w in windows(t)]
     content = _dictionary(ordinary[:: max(1, len(ordinary) // 400_000)], DICTIONARY_BYTES)
     passages = Counter(p for t in toxic for p in set(_passages(t, salient)))
-    common = [p for p, n in passages.most_common() if n > 1][: TOXIC_BYTES // 12]
+    common = [p for p, n in sorted(passages.items(), key=lambda x: (-x[1], x[0])) if n > 1][: TOXIC_BYTES // 12]
     trained = b" ".join(_salient_words(toxic, plain))[-TOXIC_BYTES:] + b" " + b" ".join(reversed(common))[-TOXIC_BYTES:]
     model = Model(base=share, ordinary=content + b" " + CARRIER, toxic=content + b" " + trained + b" " + CARRIER)
     distance = Distance(model.ordinary, model.toxic)
