@@ -658,8 +658,8 @@ def quadrant_consistency(spark, d):
     return rows.select("t", *[tidy(F.col(x)).alias(x) for x in ("q0", "q1", "q2", "q3", "spread")])
 
 
-@query("SELECT CAST(time_bucket(INTERVAL 6 HOUR, ts) AS TIMESTAMP) AS window_start, event_type, count(*) AS n, round(sum(value), 4) + 0.0 AS total FROM events GROUP BY 1, 2")
+@query("SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type, count(*) AS n, round(sum(value), 4) + 0.0 AS total FROM events GROUP BY 1, 2")
 def event_windows(spark, d):
     """An extension: the event table read as a stream in six-hour windows."""
     sums = windows.window_sums(windows.read_events(spark, d), "6 hours", "2 days")
-    return windows.run_available(sums, "event-windows").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", tidy(F.col("total"), 4).alias("total"))
+    return windows.run_available(sums, "event-windows").select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n", tidy(F.col("total"), 4).alias("total"))
