@@ -1,17 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made: one trained on ordinary text, one with the same
-ordinary text and, behind it, the words and stems that far more toxic documents
-hold than ordinary ones. A window of a text is compressed with both; the bytes that
-the toxic dictionary saves are its distance. A document's counts of windows beyond
-each of ``LEVELS`` saved bytes are weighed by a logistic model, whose threshold is
-calibrated so that at most ``MOST_FALSE`` of clean documents pass it, on labelled
-documents that trained neither dictionary. Copies and near-copies are taken once in
-training, or their chance words would pass for toxic ones.
-
-Windows are words (cut at ``WINDOW_BYTES``), followed by a carrier that both dictionaries
-hold, so that even a short window is compressed and not stored. Most words come
-back again and again, so a worker keeps the distances of recent windows.
+Two pairs of zstandard dictionaries are made. The passage pair is trained, one on each
+class, on its passages: ``WINDOW_BYTES`` bytes of several words, every ``WINDOW_BYTES // 2`` bytes; both are
+a hundredth of the toxic passages in size. The word pair is one trained on ordinary
+words, and the same with a lexicon behind it: all words and stems that far more
+toxic documents hold than ordinary ones. A window of a text is compressed with both of
+a pair; the bytes that the toxic side saves are its distance. A document's counts of
+words beyond each of ``LEVELS`` saved bytes and of passages beyond each of ``PASSAGE_LEVELS``
+are weighed by a logistic model, whose threshold is calibrated so that at most
+``MOST_FALSE`` of clean documents pass it, on labelled documents that trained no
+dictionary. Copies and near-copies are taken once in training, or their chance words
+would pass for toxic ones.
+
+Words are cut at ``WINDOW_BYTES``, with an overlap of half, and followed by a carrier that both sides
+hold, so that even a short one is compressed and not stored. Most words come
+back again and again, so a worker keeps the distances of recent ones.
 
 Learning reads at most ``CLASS_ROWS`` labelled documents and ``CLASS_BYTES`` bytes of
 text of each class, drawn by a hash of doc_id over all labels. Scoring reads every
@@ -38,10 +41,11 @@ from pyspark.sql import functions as F
 CLASS_ROWS = 5000
 CLASS_BYTES = 24 << 20
 DICTIONARY_BYTES = 16384
-TOXIC_BYTES = 3072
+LEAST_BYTES = 8192
 GRAM = 5
 WINDOW_BYTES = 48
 LEVELS = (1, 2, 3, 4, 5, 6, 8)
+PASSAGE_LEVELS = (4, 8, 12, 16)
 CARRIER = b"\x01carrier of one framed window of text\x02"
 LEAST_Z = 6.0
 LEAST_SHARE = 0.01
@@ -58,26 +62,44 @@ class Model:
     base: float
     ordinary: bytes = b""
     toxic: bytes = b""
+    ordinary_passages: bytes = b""
+    toxic_passages: bytes = b""
     weights: list[float] = field(default_factory=list)
 
 
 def windows(text: bytes) -> list[bytes]:
-    """Words of the lower-cased text, long ones in pieces."""
+    """Words of the lower-cased text, long ones in overlapping pieces."""
     found = text.lower().split()
     if max(map(len, found), default=0) > WINDOW_BYTES:
-        found = [w[i : i + WINDOW_BYTES] for w in found for i in range(0, len(w), WINDOW_BYTES)]
+        found = [p for w in found for p in _pieces(w)]
     return found
 
 
+def _pieces(text: bytes) -> list[bytes]:
+    """``WINDOW_BYTES`` bytes of the text, every half of that."""
+    step = WINDOW_BYTES // 2
+    return [text[i : i + WINDOW_BYTES] for i in range(0, max(1, len(text) - step), step)]
+
+
+def passages(text: bytes) -> list[bytes]:
+    """Overlapping pieces of the lower-cased text, blanks made alike."""
+    joined = b" ".join(text.lower().split())
+    return _pieces(joined) if joined else []
+
+
+def _compressor(content: bytes) -> "callable":
+    log = max(15, len(content).bit_length())  # the tables hold every place of the content
+    params = zstandard.ZstdCompressionParameters(window_log=max(17, log), hash_log=log, chain_log=log, search_log=5, min_match=3, target_length=48, strategy=zstandard.STRATEGY_GREEDY, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
+    held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    return zstandard.ZstdCompressor(compression_params=params, dict_data=held).compress
+
+
 class Distance:
-    """Bytes that the toxic dictionary saves on a window."""
-
-    def __init__(self, ordinary: bytes, toxic: bytes) -> None:
-        params = zstandard.ZstdCompressionParameters(window_log=17, hash_log=15, chain_log=15, search_log=5, min_match=3, target_length=48, strategy=zstandard.STRATEGY_GREEDY, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_checksum=False, write_dict_id=False)
-        self._sides = []
-        for content in (ordinary, toxic):
-            held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self._sides.append(zstandard.ZstdCompressor(compression_params=params, dict_data=held).compress)
+    """Bytes that the toxic dictionaries save on a window."""
+
+    def __init__(self, model: Model) -> None:
+        self._sides = [_compressor(x) for x in (model.ordinary, model.toxic)]
+        self._passage_sides = [_compressor(x) for x in (model.ordinary_passages, model.toxic_passages)]
         self._known: dict[bytes, int] = {}
 
     def __call__(self, words: list[bytes]) -> list[int]:
@@ -90,12 +112,16 @@ class Distance:
         return [known[w] for w in words]
 
     def features(self, text: bytes | None) -> np.ndarray:
-        """Counts of windows at each level of saved bytes (log), their shares, and the log of all."""
+        """Counts of words and passages at each level of saved bytes (log), their shares, the log of all words, and the passages' mean."""
         found = windows(text) if text else []
         n = len(found)
         saved = np.array(self(found), np.int64)
         over = np.array([(saved >= k).sum() for k in LEVELS], float)
-        return np.array([1.0, *np.log1p(over), *np.sqrt(over / max(n, 1)), np.log1p(n)])
+        plain, toxic = self._passage_sides
+        gained = np.array([len(plain(p)) - len(toxic(p)) for p in passages(text)] if text else [], np.int64)
+        m = max(len(gained), 1)
+        beyond = np.array([(gained >= k).sum() for k in PASSAGE_LEVELS], float)
+        return np.array([1.0, *np.log1p(over), *np.sqrt(over / max(n, 1)), np.log1p(n), *np.log1p(beyond), *np.sqrt(beyond / m), gained.sum() / m])
 
 
 def _gram_sets(text: bytes) -> np.ndarray:
@@ -168,10 +194,10 @@ def _passages(text: bytes, salient: set[int]) -> Iterator[bytes]:
                 last = i
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
+def _dictionary(samples: list[bytes], size: int, together: int = 16) -> bytes:
     """Content of a trained zstandard dictionary, or the most frequent samples where too few are given to train."""
     try:
-        joined = [b" ".join(samples[i : i + 16]) for i in range(0, len(samples), 16)]
+        joined = [b" ".join(samples[i : i + together]) for i in range(0, len(samples), together)]
         return zstandard.train_dictionary(size, joined).as_bytes()
     except zstandard.ZstdError:
         return b" ".join(w for w, _ in Counter(samples).most_common())[-size:]
@@ -187,11 +213,16 @@ def learn(rows: list[tuple[bytes, int, int]], share: float) -> Model:
     salient = set(_salient(toxic, plain).tolist())
     ordinary = [w for t in plain for w in windows(t)]
     content = _dictionary(ordinary[:: max(1, len(ordinary) // 400_000)], DICTIONARY_BYTES)
-    passages = Counter(p for t in toxic for p in set(_passages(t, salient)))
-    common = [p for p, n in sorted(passages.items(), key=lambda x: (-x[1], x[0])) if n > 1][: TOXIC_BYTES // 12]
-    trained = b" ".join(_salient_words(toxic, plain))[-TOXIC_BYTES:] + b" " + b" ".join(reversed(common))[-TOXIC_BYTES:]
-    model = Model(base=share, ordinary=content + b" " + CARRIER, toxic=content + b" " + trained + b" " + CARRIER)
-    distance = Distance(model.ordinary, model.toxic)
+    stems = Counter(p for t in toxic for p in set(_passages(t, salient)))
+    common = [p for p, n in sorted(stems.items(), key=lambda x: (x[1], x[0])) if n > 1]
+    lexicon = b" ".join([*_salient_words(toxic, plain), *common])
+    model = Model(base=share, ordinary=content + b" " + CARRIER, toxic=content + b" " + lexicon + b" " + CARRIER)
+    sides = [[p for t in texts for p in passages(t)] for texts in (plain, toxic)]
+    size = max(LEAST_BYTES, sum(map(len, sides[1])) // 100)
+    trained = [_dictionary(side, size, 1) for side in sides]
+    least = min(map(len, trained))  # neither side may save more by its size alone
+    model.ordinary_passages, model.toxic_passages = (x[len(x) - least :] for x in trained)
+    distance = Distance(model)
     x = np.array([distance.features(t) for t, _ in halves[1]])
     y = np.array([c for _, c in halves[1]], float)
     weights = _logistic(x, y, share)
@@ -250,7 +281,7 @@ def score(model: Model) -> "callable":
     """An Arrow function of UTF-8 bytes that gives the score of each text."""
 
     def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        distance = Distance(model.ordinary, model.toxic) if model.weights else None
+        distance = Distance(model) if model.weights else None
         for batch in texts:
             yield pa.array([probability(model, distance, t.as_py()) for t in batch], pa.float64())
 

@@ -392,3 +392,32 @@ def test_empty_tables(spark, none):
     assert packing.pack_documents(none).count() == media.media_columns(none).count() == licenses.license_matches(none).count() == 0
     assert langid.identify(none).count() == toxicity.toxicity(none, labels).count() == 0
     assert warc.archive_round_trip(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_toxicity_passages():
+    rng = random.Random(4)
+    phrase = "people of your sort should never have been let in here"
+    rows = []
+    for i in range(600):
+        own = rng.choices(WORDS, k=60) + phrase.split()  # every text holds the words
+        rng.shuffle(own)
+        at = rng.randrange(len(own))
+        rows.append((" ".join(own[:at] + (phrase.split() if i % 2 else phrase.split()[::-1]) + own[at:]).encode(), i % 2, rng.getrandbits(40)))
+    model = toxicity.learn(rows[:400], 0.5)
+    distance = toxicity.Distance(model)
+    assert np.mean([(toxicity.probability(model, distance, t) >= 0.5) == x for t, x, _ in rows[400:]]) > 0.9
+    assert len(model.ordinary_passages) == len(model.toxic_passages)
+
+
+def test_toxicity_lexicon_is_whole():
+    rng = random.Random(5)
+    bad = ["".join(rng.choices("bcdfghjklmnpqrstvwxz", k=9)) for _ in range(600)]  # 6 KB of toxic words
+    rows = [(" ".join(rng.choices(WORDS, k=40) + (rng.sample(bad, 200) if i % 2 else [])).encode(), i % 2, rng.getrandbits(40)) for i in range(600)]
+    model = toxicity.learn(rows, 0.5)
+    assert all(w.encode() in model.toxic for w in bad)
+
+
+def test_toxicity_windows_overlap():
+    unspaced = "".join(random.Random(6).choices("abcdefghij", k=500)).encode()
+    assert all(any(unspaced[i : i + 24] in w for w in toxicity.windows(unspaced)) for i in range(477))
+    assert all(any(unspaced[i : i + 24] in w for w in toxicity.passages(unspaced)) for i in range(477))
