@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import ambiguity, wrap
 from fringeflow.operators.components import connected_components
+from fringeflow.plans.lineage import settle
 
 SAFE = math.pi / 2
 
@@ -232,37 +233,58 @@ def antisymmetry(phases: DataFrame, pairs: DataFrame) -> DataFrame:
 def piece_shifts(votes: DataFrame, least_ratio: float = 0.0) -> DataFrame:
     """``pair_id, piece, root, shift, against``: whole turns that bring each piece to its root, along the surest votes.
 
-    Votes are what is left of an interferogram once its edges are counted, a row for two pieces that touch;
-    one interferogram's votes are one group. ``against`` counts the votes of a piece that the shifts do not obey.
+    All interferograms are tied in one run of rounds over (pair, piece) nodes: every component takes its surest
+    vote to another one, and steps to the end of those votes are doubled, so no group holds an interferogram.
+    The root is the smallest piece. ``against`` counts the votes of a piece that the shifts do not obey.
     """
-
-    def settle_votes(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[rows["ratio"] >= least_ratio].sort_values(["ratio", "edge_count", "median_abs", "median_dist", "frag_a", "frag_b"], ascending=[False, False, True, True, True, True])
-        parent: dict[int, int] = {}
-        offset: dict[int, int] = {}
-
-        def root(x: int) -> tuple[int, int]:
-            total = 0
-            while parent.setdefault(x, x) != x:
-                total += offset[x]
-                x = parent[x]
-            return x, total
-
-        for a, b, k in zip(rows["frag_a"], rows["frag_b"], rows["mode_shift"]):
-            (ra, sa), (rb, sb) = root(a), root(b)
-            if ra != rb:  # k more turns in b than in a, so b moves down by k
-                low, high, move = (ra, rb, sa - k - sb) if ra < rb else (rb, ra, sb + k - sa)
-                parent[high], offset[high] = low, move
-        found = {p: root(p) for p in sorted(parent)}
-        against = dict.fromkeys(found, 0)
-        for a, b, k in zip(rows["frag_a"], rows["frag_b"], rows["mode_shift"]):
-            if found[b][1] + k != found[a][1]:
-                against[a] += 1
-                against[b] += 1
-        out = [(p, r, s, against[p]) for p, (r, s) in found.items()]
-        table = pd.DataFrame(out, columns=["piece", "root", "shift", "against"]).astype("int64")
-        table.insert(0, "pair_id", np.int32(rows["pair_id"].iloc[0]) if len(rows) else np.int32(0))
-        return table
-
-    columns = ["pair_id", "frag_a", "frag_b", "mode_shift", "ratio", "edge_count", "median_abs", "median_dist"]
-    return votes.select(*columns).groupBy("pair_id").applyInPandas(settle_votes, "pair_id int, piece long, root long, shift long, against long")
+    node = lambda p: F.call_function("shiftleft", F.col("pair_id").cast("long"), F.lit(40)) + F.col(p)
+    order = F.struct((-F.col("ratio")).alias("r"), (-F.col("edge_count")).alias("n"), "median_abs", "median_dist", "frag_a", "frag_b")
+    own = votes.where(F.col("ratio") >= least_ratio)
+    own = settle(own.select(node("frag_a").alias("a"), node("frag_b").alias("b"), F.col("mode_shift").cast("long").alias("k"), order.alias("order")), "votes")
+    at = own.select(F.col("a").alias("node")).union(own.select(F.col("b").alias("node"))).distinct()
+    at = settle(at.select("node", F.col("node").alias("root"), F.lit(0).cast("long").alias("shift")), "pieces")
+
+    def ends() -> DataFrame:
+        end = lambda name: at.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"), F.col("shift").alias(f"shift_{name}"))
+        return own.join(end("a"), "a").join(end("b"), "b")
+
+    while True:
+        # k more turns in b than in a, so b's component moves by that much against a's.
+        move = F.col("shift_a") - F.col("k") - F.col("shift_b")
+        met = ends().where("root_a <> root_b").select("root_a", "root_b", move.alias("move"), "order")
+        both = met.select(F.col("root_b").alias("c"), F.col("root_a").alias("p"), F.col("move").alias("add"), "order")
+        both = both.union(met.select(F.col("root_a").alias("c"), F.col("root_b").alias("p"), (-F.col("move")).alias("add"), "order"))
+        best = settle(both.groupBy("c").agg(F.min_by(F.struct("p", "add"), "order").alias("to")).select("c", "to.p", "to.add"), "best")
+        if best.isEmpty():
+            break
+        back = best.select(F.col("c").alias("p"), F.col("p").alias("back"))
+        top = (F.col("back") == F.col("c")) & (F.col("c") < F.col("p"))  # the lower of two that chose each other
+        up = settle(best.join(back, "p").select("c", F.when(top, F.col("c")).otherwise(F.col("p")).alias("p"), F.when(top, 0).otherwise(F.col("add")).cast("long").alias("add")), "up")
+        while True:
+            over = up.select(F.col("c").alias("p"), F.col("p").alias("q"), F.col("add").alias("more"))
+            far = settle(up.join(over, "p").select("c", F.col("q").alias("p"), (F.col("add") + F.col("more")).alias("add"), (F.col("q") != F.col("p")).alias("moved")), "far")
+            up = far.drop("moved")
+            if far.where("moved").isEmpty():
+                break
+        moved = at.join(up, F.col("root") == F.col("c"), "left")
+        at = settle(moved.select("node", F.coalesce("p", "root").alias("root"), (F.col("shift") + F.coalesce("add", F.lit(0))).alias("shift")), "pieces")
+
+    low = at.groupBy("root").agg(F.min("node").alias("low"), F.min_by("shift", "node").alias("base"))
+    at = settle(at.join(low, "root").select("node", F.col("low").alias("root"), (F.col("shift") - F.col("base")).alias("shift")), "pieces")
+    off = ends().where("shift_b + k <> shift_a")
+    off = off.select(F.col("a").alias("node")).union(off.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("against"))
+    mask = F.lit((1 << 40) - 1)
+    piece = lambda name: F.col(name).bitwiseAND(mask)
+    return at.join(off, "node", "left").select(F.call_function("shiftright", "node", F.lit(40)).cast("int").alias("pair_id"), piece("node").alias("piece"), piece("root").alias("root"), "shift", F.coalesce("against", F.lit(0)).cast("long").alias("against"))
+
+
+def piece_votes(pieces: DataFrame, grads: DataFrame, edges: DataFrame) -> DataFrame:
+    """Votes between the pieces that ``unwrap_fragments`` gives, by their unwrapped values."""
+    return fragment_votes(grads, pieces.select("pair_id", "point_id", F.col("root").alias("piece"), F.col("unwrapped").alias("value")), edges)
+
+
+def tie_pieces(pieces: DataFrame, shifts: DataFrame) -> DataFrame:
+    """``pieces`` with the whole turns of ``piece_shifts`` added and the root they lead to."""
+    turns = shifts.select("pair_id", F.col("piece").alias("root"), F.col("root").alias("tied"), "shift")
+    tied = pieces.join(turns, ["pair_id", "root"], "left").withColumn("unwrapped", F.col("unwrapped") + 2 * math.pi * F.coalesce("shift", F.lit(0)))
+    return tied.withColumn("root", F.coalesce("tied", "root")).drop("tied", "shift")

@@ -408,12 +408,19 @@ def fragment_votes(spark, d):
     return rows.select("pair_id", "frag_a", "frag_b", "edge_count", "mode_shift", "mode_count", tidy(F.col("ratio")).alias("ratio"), "exact", *[tidy(F.col(x)).alias(x) for x in ("median_abs", "min_abs", "median_dist")])
 
 
+def _pieces(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Interferograms unwrapped inside fragments and tiles, and the votes between those pieces."""
+    ifgs, points, edges = _ifgs(spark, d), _stats(spark, d).select("point_id", "r", "c"), settle(_knn(spark, d), "knn")
+    grads = settle(unwrap.gradients(ifgs, edges), "gradients")
+    pieces = settle(unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points), "pieces")
+    return pieces, unwrap.piece_votes(pieces, grads, edges)
+
+
 @query()
 def unwrap_single_ifg(spark, d):
-    """Every interferogram unwrapped along safe edges, inside fragments and tiles."""
-    ifgs, points = _ifgs(spark, d), _stats(spark, d).select("point_id", "r", "c")
-    grads = settle(unwrap.gradients(ifgs, _knn(spark, d)), "gradients")
-    return unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points).select("pair_id", "point_id", "fragment", "root", "unwrapped")
+    """Every interferogram unwrapped along safe edges inside fragments and tiles, whose pieces are tied by votes."""
+    pieces, votes = _pieces(spark, d)
+    return unwrap.tie_pieces(pieces, unwrap.piece_shifts(votes)).select("pair_id", "point_id", "fragment", "root", "unwrapped")
 
 
 @query()
@@ -641,10 +648,14 @@ def antisymmetry(spark, d):
 
 @query()
 def piece_shifts(spark, d):
-    """Bands of two rows brought to a common whole turn along the surest votes."""
-    ifgs, edges = _ifgs(spark, d), settle(_knn(spark, d), "knn")
-    labelled = ifgs.join(_stats(spark, d).select("point_id", F.expr("r div 2").alias("piece")), "point_id").withColumnRenamed("phase", "value")
-    return unwrap.piece_shifts(unwrap.fragment_votes(unwrap.gradients(ifgs, edges), labelled, edges))
+    """Pieces of safe fragments brought to a common whole turn along the surest votes."""
+    return unwrap.piece_shifts(_pieces(spark, d)[1])
+
+
+@query()
+def piece_votes(spark, d):
+    """Votes between the pieces of safe fragments."""
+    return _pieces(spark, d)[1]
 
 
 @query(build(", c AS (SELECT node, count(*) FILTER (side = 'l') AS l, count(*) FILTER (side = 'r') AS r FROM (SELECT i AS node, 'r' AS side FROM cand UNION ALL SELECT j, 'l' FROM cand) GROUP BY 1), h AS (SELECT node, count(*) FILTER (side = 'l') AS l, count(*) FILTER (side = 'r') AS r FROM (SELECT i AS node, 'r' AS side FROM net UNION ALL SELECT j, 'l' FROM net) GROUP BY 1) SELECT c.node, coalesce(h.l, 0) AS left, coalesce(h.r, 0) AS right, least(c.l, 3) AS need_left, least(c.r, 3) AS need_right, coalesce(h.l, 0) >= least(c.l, 3) AND coalesce(h.r, 0) >= least(c.r, 3) AS met FROM c LEFT JOIN h USING (node)", "net"))

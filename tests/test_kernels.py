@@ -227,3 +227,47 @@ def test_unwrapping_a_ramp(spark):
     shifts = {s.piece: (s.root, s["shift"], s.against) for s in unwrap.piece_shifts(by_vote).collect()}
     assert {s[0] for s in shifts.values()} == {0} and all(s[2] == 0 for s in shifts.values())
     assert len({round(r.unwrapped + 2 * math.pi * shifts[r.root][1] - truth[r.point_id], 6) for r in rows}) == 1
+
+
+def test_pieces_are_tied_whatever_the_tile(spark):
+    from fringeflow.operators import spatial
+
+    side = 12
+    points = [(r * side + c, r, c) for r in range(side) for c in range(side)]
+    frame = spark.createDataFrame(points, "point_id long, r int, c int")
+    edges = spatial.nearest(frame, 1, 4, 1.0, 1.0)
+    wrapped = [(e, p, math.atan2(math.sin(s * (r + c)), math.cos(s * (r + c)))) for e, s in enumerate((0.7, -0.9)) for p, r, c in points]
+    ifgs = spark.createDataFrame(wrapped, "pair_id int, point_id long, phase double")
+    grads = unwrap.gradients(ifgs, edges)
+    found = []
+    for tile in ((4, 5), (128, 256)):
+        pieces = unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), frame, tile=tile)
+        tied = unwrap.tie_pieces(pieces, unwrap.piece_shifts(unwrap.piece_votes(pieces, grads, edges)))
+        found.append({(r.pair_id, r.point_id): (r.root, round(r.unwrapped, 6)) for r in tied.collect()})
+    assert found[0] == found[1] and len(found[0]) == 2 * side * side
+
+
+def test_piece_shifts_take_the_surest_forest(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for pair in range(3):
+        for a in range(40):
+            for b in range(a + 1, 40):
+                if rng.random() < 0.06:
+                    rows.append((pair, a, b, int(rng.integers(-2, 3)), float(rng.integers(1, 4)) / 4, int(rng.integers(1, 4)), float(rng.integers(1, 3)), 1.0))
+    votes = spark.createDataFrame(rows, "pair_id int, frag_a long, frag_b long, mode_shift long, ratio double, edge_count long, median_abs double, median_dist double")
+    got = {(r.pair_id, r.piece): (r.root, r["shift"], r.against) for r in unwrap.piece_shifts(votes).collect()}
+    want = {}
+    for pair in range(3):
+        own = sorted((r[1:] for r in rows if r[0] == pair), key=lambda r: (-r[3], -r[4], r[5], r[6], r[0], r[1]))
+        at = {p: (p, 0) for r in own for p in r[:2]}  # component, shift
+        for a, b, k, *_ in own:
+            (ca, sa), (cb, sb) = at[a], at[b]
+            if ca != cb:
+                at |= {p: (ca, s + sa - k - sb) for p, (c, s) in at.items() if c == cb}
+        for c in {c for c, _ in at.values()}:
+            held = sorted(p for p in at if at[p][0] == c)
+            for p in held:
+                against = sum(at[b][1] + k != at[a][1] for a, b, k, *_ in own if p in (a, b))
+                want[pair, p] = (held[0], at[p][1] - at[held[0]][1], against)
+    assert got == want
