@@ -2,8 +2,9 @@
 
 A payload is stored as the samples of an 8-bit mono WAV file written by the wave
 module, so the column is the file. Features come from the bytes read back:
-windowed Fourier transforms of ``FRAME`` samples every ``HOP``, the strongest peaks
-of each frame, and pairs of a peak with the next peaks within ``REACH`` frames, each
+windowed Fourier transforms of ``FRAME`` samples every ``HOP`` (half a frame, so that a sample
+at the end of one frame is in the middle of another), the strongest peaks
+of each frame, and pairs of a peak with all later peaks within ``REACH`` frames, each
 kept as a time code and a hash of both frequencies and their distance in time.
 
 Defined results: null and empty texts are stored as 64 zero samples; a payload of
@@ -29,9 +30,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, Stri
 UNIT = 64
 RATE = 8000
 FRAME = 256
-HOP = 256
+HOP = FRAME // 2
 PEAKS = 3
-FAN = 3
 REACH = 8
 _BLOCK = 4096
 _TAPER = np.hanning(FRAME).astype(np.float32)
@@ -63,15 +63,15 @@ def from_wav(media: bytes) -> bytes:
         return r.readframes(r.getnframes())
 
 
-def peaks(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+def peaks(samples: np.ndarray, hop: int = FRAME) -> tuple[np.ndarray, np.ndarray, int]:
     """Frame and frequency of the local maxima that stand out most in each frame; the number of frames."""
-    n = max(1, -(-(len(samples) - FRAME) // HOP) + 1)
-    x = np.zeros((n - 1) * HOP + FRAME, np.float32)
+    n = max(1, -(-(len(samples) - FRAME) // hop) + 1)
+    x = np.zeros((n - 1) * hop + FRAME, np.float32)
     x[: len(samples)] = samples.astype(np.float32) - np.float32(128)
     times, freqs = [], []
     for at in range(0, n, _BLOCK):
         m = min(_BLOCK, n - at)
-        frames = np.lib.stride_tricks.sliding_window_view(x[at * HOP : (at + m - 1) * HOP + FRAME], FRAME)[::HOP]
+        frames = np.lib.stride_tricks.sliding_window_view(x[at * hop : (at + m - 1) * hop + FRAME], FRAME)[::hop]
         power = np.abs(np.fft.rfft(frames * _TAPER, axis=1))[:, 1:]
         inner = power[:, 1:-1]
         top = np.where((inner > power[:, :-2]) & (inner >= power[:, 2:]) & (inner > 2 * power.mean(axis=1, keepdims=True)), inner, 0)
@@ -84,9 +84,9 @@ def peaks(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 def pair_fingerprints(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Time codes and hashes of peak pairs, in order of time; the number of frames."""
-    t, f, n = peaks(samples)
+    t, f, n = peaks(samples, HOP)
     codes, hashes = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
-    for step in range(1, FAN * PEAKS + 1):
+    for step in range(1, PEAKS * (REACH + 1)):  # no more peaks lie within REACH frames
         gap = t[step:] - t[:-step]
         ok = (gap > 0) & (gap <= REACH)
         codes.append(t[:-step][ok].astype(np.int32))

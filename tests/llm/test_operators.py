@@ -279,6 +279,19 @@ def test_peaks_of_a_tone_pair():
         media._BLOCK = old
 
 
+def test_pairs_reach_all_frames_and_samples():
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 256, 6000).astype(np.uint8)
+    t, f, _ = media.peaks(x, media.HOP)
+    codes, hashes, n = media.pair_fingerprints(x)
+    want = sorted((int(t[i]), int(f[i]) << 12 | int(f[j]) << 4 | int(t[j] - t[i])) for i in range(len(t)) for j in range(len(t)) if 0 < t[j] - t[i] <= media.REACH)
+    assert sorted(zip(codes.tolist(), hashes.tolist())) == want
+    weight = np.zeros((n - 1) * media.HOP + media.FRAME)
+    for k in range(n):
+        weight[k * media.HOP : k * media.HOP + media.FRAME] += media._TAPER
+    assert weight[media.HOP : -media.HOP].min() > 0.9
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["MIT-grant"]
     half = " ".join(mit.split()[: len(mit.split()) // 2])
