@@ -1,7 +1,8 @@
 """License scans: winnowed fingerprints pick candidates, banded alignment measures them.
 
 Templates are cut into grams of ``GRAM`` words and winnowed: of each ``WINDOW`` grams in a
-row the least hash is kept, with its place, in an inverted index. A document's
+row the least hash is kept, with its place, in an inverted index. Of templates under
+``SHORT`` words all pairs of words are kept, as one changed word may hit every longer gram. A document's
 grams are looked up in it. Hits that agree on where a template would start make a
 candidate, and the words there are aligned with the template in a band of
 ``BAND`` words around that diagonal. Reported are the template's share of matched
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 
 GRAM = 3
 WINDOW = 3
+SHORT = GRAM + WINDOW + 2
 BAND = 8
 COVERAGE = 0.8
 _WORD = re.compile(rb"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
@@ -73,21 +75,22 @@ class Index:
         self.texts = []
         for name in self.names:
             self.texts.append(np.array([self.number.setdefault(w, len(self.number) + 1) for w in words(own[name].encode())], np.int64))
-        self.places = defaultdict(list)
+        self.places = {2: defaultdict(list), GRAM: defaultdict(list)}
         for t, ids in enumerate(self.texts):
-            grams = self.grams(ids)
+            size = 2 if len(ids) < SHORT else GRAM
+            grams = self.grams(ids, size)
             mixed = np.array([zlib.crc32(int(g).to_bytes(8, "big")) for g in grams])
-            for i in winnow(mixed):
-                self.places[int(grams[i])].append((t, i))
-        self.keys = np.array(sorted(self.places), np.int64)
+            for i in range(len(grams)) if size == 2 else winnow(mixed):
+                self.places[size][int(grams[i])].append((t, i))
+        self.keys = {size: np.array(sorted(places), np.int64) for size, places in self.places.items()}
 
-    def grams(self, ids: np.ndarray) -> np.ndarray:
-        """One number for each run of ``GRAM`` known words, -1 where a word is unknown."""
-        if len(ids) < GRAM:
+    def grams(self, ids: np.ndarray, size: int = GRAM) -> np.ndarray:
+        """One number for each run of ``size`` known words, -1 where a word is unknown."""
+        if len(ids) < size:
             return np.zeros(0, np.int64)
-        code, known = np.zeros(len(ids) - GRAM + 1, np.int64), np.ones(len(ids) - GRAM + 1, bool)
-        for i in range(GRAM):
-            part = ids[i : len(ids) - GRAM + 1 + i]
+        code, known = np.zeros(len(ids) - size + 1, np.int64), np.ones(len(ids) - size + 1, bool)
+        for i in range(size):
+            part = ids[i : len(ids) - size + 1 + i]
             code = code * (len(self.number) + 1) + part
             known &= part > 0
         return np.where(known, code, -1)
@@ -97,9 +100,12 @@ class Index:
         found = words(text) if text else []
         get = self.number.get
         ids = np.fromiter((get(w, 0) for w in found), np.int64, len(found))
-        grams = self.grams(ids)
-        at = np.flatnonzero(np.isin(grams, self.keys)) if len(self.keys) else []
-        starts = sorted({(t, int(p) - i) for p in at for t, i in self.places[int(grams[p])]})
+        starts = set()
+        for size, keys in self.keys.items():
+            grams = self.grams(ids, size)
+            at = np.flatnonzero(np.isin(grams, keys)) if len(keys) else []
+            starts.update((t, int(p) - i) for p in at for t, i in self.places[size][int(grams[p])])
+        starts = sorted(starts)
         matches, last = [], None
         for t, start in starts:
             if last and last[0] == t and start - last[1] <= BAND // 2:

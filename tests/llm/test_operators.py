@@ -279,6 +279,17 @@ def test_peaks_of_a_tone_pair():
         media._BLOCK = old
 
 
+def test_licenses_with_one_word_changed_or_left_out():
+    index = licenses.Index()
+    for name, text in licenses.TEMPLATES.items():
+        own = licenses.words(text.encode())
+        for i in range(len(own)):
+            for put in ([], [b"zzz"]):
+                found = index.scan(b"intro " + b" ".join(own[:i] + put + own[i + 1 :]) + b" end")
+                assert any(m[2] >= len(own) - 1 and m[3] == len(own) for m in found), (name, i)
+    assert [m[0] for m in index.scan(b"Released under an MIT license")] == ["MIT"]
+
+
 def test_pairs_reach_all_frames_and_samples():
     rng = np.random.default_rng(8)
     x = rng.integers(0, 256, 6000).astype(np.uint8)
