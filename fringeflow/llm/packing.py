@@ -35,6 +35,8 @@ END_TOKEN = 2
 PART_PIECES = 2048
 ROUNDS = 4
 VOCABULARY = "byte_bpe_50k.tiktoken"
+# Fixed value: the token that byte_bpe_50k.json adds to its ranks.
+ADDED = {"<|endoftext|>": 50256}
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row_id long"
 _PACKED = "row_id long, part long, bin int, offset long, length long, fill long, bins int, bound int"
 _TWO_BLANKS = re.compile(r"\s\s|\s\Z")
@@ -45,7 +47,8 @@ def _encoders(vocabulary: str):
     """The byte-level BPE of ``byte_bpe_50k.json`` from its rank file: the same ids, several times as fast.
 
     The second encoder lacks the rule for runs of white space (which needs
-    look-ahead) and serves texts without such runs.
+    look-ahead) and serves texts without such runs. Both know the vocabulary's one
+    added token, which is matched before any other rule.
     """
     import public_tokenizers
     import tiktoken
@@ -54,13 +57,18 @@ def _encoders(vocabulary: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     pattern = public_tokenizers.PATTERN
     plain = pattern.replace(r"\s+(?!\S)|", "")
-    return tuple(tiktoken.Encoding(n, pat_str=p, mergeable_ranks=ranks, special_tokens={}) for n, p in (("full", pattern), ("plain", plain)))
+    return tuple(tiktoken.Encoding(n, pat_str=p, mergeable_ranks=ranks, special_tokens=ADDED) for n, p in (("full", pattern), ("plain", plain)))
 
 
 def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
     """Ids of the whole text, then the end token."""
     full, plain = _encoders(vocabulary)
-    ids = (full if _TWO_BLANKS.search(text) else plain).encode_ordinary(text) if text else []
+    if not text:
+        ids = []
+    elif any(a in text for a in ADDED):
+        ids = full.encode(text, allowed_special="all")
+    else:
+        ids = (full if _TWO_BLANKS.search(text) else plain).encode_ordinary(text)
     return np.array([*ids, END_TOKEN], "<u4")
 
 
