@@ -45,7 +45,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.shard(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    placed = sharding.shard(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return placed.select(F.col("row.doc_id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -172,17 +172,26 @@ def test_sharding(docs, rows, shards):
     got = sharding.shard(docs, shards).select("row.doc_id", "row.shard", "size", "text_crc32", "shard", "slot").toDF("doc_id", "own", "size", "crc", "shard", "slot").collect()
     body = lambda r: (r[1] or "").encode()
     keyed = sorted((int(hashlib.md5(body(r)).hexdigest()[:15], 16), r[0], len(body(r)) + 8, zlib.crc32(body(r))) for r in rows)
-    total, below, want, last, start = sum(k[2] for k in keyed), 0, [], None, 0
+    total, below, want = sum(k[2] for k in keyed), 0, []
     for k in keyed:
-        if k[:2] != last:
-            last, start = k[:2], below
-        want.append((k[1], k[2], k[3], sum(start + k[2] / 2 >= total * s / shards for s in range(1, shards))))
+        want.append((k[1], k[2], k[3], sum(below + k[2] / 2 >= total * s / shards for s in range(1, shards))))
         below += k[2]
     assert sorted((g.doc_id, g.size, g.crc, g.shard) for g in got) == sorted(want)
     for s in {g.shard for g in got}:
         assert sorted(g.slot for g in got if g.shard == s) == list(range(sum(g.shard == s for g in got)))
 
 
+def test_sharding_parts_equal_rows(spark):
+    ids = [None] * 60 + [7] * 60 + [-1] * 60 + [-(1 << 63)] * 60 + [(1 << 63) - 1] * 60
+    docs = spark.createDataFrame([(i, "same text") for i in ids], "doc_id long, text string")
+    got = sharding.shard(docs, 24, keep=["doc_id"]).collect()
+    counts = np.bincount([g.shard for g in got], minlength=24)
+    assert counts.min() >= 12 and counts.max() <= 13
+    assert all(sorted(g.slot for g in got if g.shard == s) == list(range(counts[s])) for s in range(24))
+    alike = spark.createDataFrame([(5, "x")] * 240, "doc_id long, text string")
+    assert set(np.bincount([g.shard for g in sharding.shard(alike, 24).collect()])) == {10}
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
@@ -222,6 +231,20 @@ def test_token_ids_with_runs_of_blanks():
         assert packing.token_ids(text).tolist() == [*plain.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_token_ids_of_random_text():
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(0)
+    parts = [" ", "  ", "\n", "\t", "\r", "\x0b", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "\u200b", "'s", "'S", "'ll", "abc", "The", "é", "ß", "漢", "🙂", "१", "²", "½", "_", "...", "12", "<|endoftext|>", "<|endoftext", "|>", "\0"]
+    texts = ["".join(rng.choice(parts) if rng.random() < 0.6 else chr(rng.choice([rng.randrange(128), rng.randrange(0x3000), rng.randrange(0xE000, 0x110000)])) for _ in range(rng.randint(0, 24))) for _ in range(10_000)]
+    for text, want in zip(texts, plain.encode_batch(texts, add_special_tokens=False)):
+        assert packing.token_ids(text).tolist() == [*want.ids, 2], text
+    assert packing.token_ids("<|endoftext|>").tolist() == [50256, 2]
+
+
 def test_dual_feasible_bounds():
     rng = np.random.default_rng(3)
     for _ in range(40):
