@@ -1,15 +1,21 @@
 """Toxicity by compression distance.
 
-Two pairs of zstandard dictionaries are made. The passage pair is trained, one on each
-class, on its passages: ``WINDOW_BYTES`` bytes of several words, every ``WINDOW_BYTES // 2`` bytes; both are
-a hundredth of the toxic passages in size. The word pair is one trained on ordinary
-words, and the same with a lexicon behind it: all words and stems that far more
-toxic documents hold than ordinary ones. A window of a text is compressed with both of
-a pair; the bytes that the toxic side saves are its distance. A document's counts of
-words beyond each of ``LEVELS`` saved bytes and of passages beyond each of ``PASSAGE_LEVELS``
-are weighed by a logistic model, whose threshold is calibrated so that at most
-``MOST_FALSE`` of clean documents pass it, on labelled documents that trained no
-dictionary. Copies and near-copies are taken once in training, or their chance words
+Pairs of zstandard dictionaries are trained, one of each pair on toxic and one on ordinary
+text. A window of a text is compressed with both of a pair; the bytes that the toxic
+side saves are its distance. The word pair is trained on single words, a window long
+enough for a toxic word or stem in ordinary surroundings: the ordinary side on words of ordinary
+texts; the toxic side holds the same and what is trained on the standing-out windows of toxic texts, those
+words and stems that far more toxic documents hold than ordinary ones. (Trained on all
+windows of toxic texts it learns the language, which both classes share.) The passage pair is trained on
+``WINDOW_BYTES`` bytes of several words, every ``WINDOW_BYTES // 2`` bytes; both sides are
+a hundredth of the toxic passages in size. All are loaded as content: with its own entropy
+tables each side would shift all lengths alike.
+
+A document's counts of words beyond each of ``LEVELS`` saved bytes and of passages beyond each of
+``PASSAGE_LEVELS`` are weighed by a logistic model. It is fitted on documents scored with dictionaries that
+the other ``FOLDS - 1`` folds trained; the dictionaries that stay are trained on all folds. One ordinary document in
+``RESERVE`` trains no dictionary and no weight: on them the threshold is calibrated, so that at most
+``MOST_FALSE`` of them, one at least, pass it. Copies and near-copies are taken once in training, or their chance words
 would pass for toxic ones.
 
 Words are cut at ``WINDOW_BYTES``, with an overlap of half, and followed by a carrier that both sides
@@ -17,16 +23,20 @@ hold, so that even a short one is compressed and not stored. Most words come
 back again and again, so a worker keeps the distances of recent ones.
 
 Learning reads at most ``CLASS_ROWS`` labelled documents and ``CLASS_BYTES`` bytes of
-text of each class, drawn by a hash of doc_id over all labels. Scoring reads every
+text of each class, drawn by a hash of doc_id over all labels; a text that does not fit in what is left of
+its class's bytes is passed over for later ones, and the first of each class is always read. Scoring reads every
 whole text.
 
 Defined results: null and empty texts get the score of a text without windows;
-equal texts get equal scores; a label table without toxic or without ordinary rows
-gives every text the share of toxic labels; an empty table gives an empty result.
+equal texts get equal scores; a null doc_id is never learned from and is not held out; a label table
+without toxic or without ordinary rows gives every text the share of toxic labels; labels that repeat a doc_id count
+as often as they come; an empty table gives an empty result; extra columns are ignored by the scores
+and kept by ``drop_toxic``.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -35,22 +45,27 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CLASS_ROWS = 5000
+CLASS_ROWS = 3000
 CLASS_BYTES = 24 << 20
 DICTIONARY_BYTES = 16384
 LEAST_BYTES = 8192
 GRAM = 5
 WINDOW_BYTES = 48
-LEVELS = (1, 2, 3, 4, 5, 6, 8)
+LEVELS = (3, 4, 5, 6, 8)
 PASSAGE_LEVELS = (4, 8, 12, 16)
 CARRIER = b"\x01carrier of one framed window of text\x02"
 LEAST_Z = 6.0
 LEAST_SHARE = 0.01
 LEAST_RATE = 3.0
 MOST_FALSE = 0.01
+FOLDS = 3
+RESERVE = 4
+SEGMENT = 24
+WORDS = 400_000
+PASSAGES = 100_000
 _MARKS = b".,;:!?\"'()[]*&%$#"
 _CACHE = 400_000
 
@@ -194,6 +209,11 @@ def _passages(text: bytes, salient: set[int]) -> Iterator[bytes]:
                 last = i
 
 
+def _spread(samples: list[bytes], most: int) -> list[bytes]:
+    """Less than twice ``most`` of the samples of learning, evenly spread."""
+    return samples[:: max(1, len(samples) // most)]
+
+
 def _dictionary(samples: list[bytes], size: int, together: int = 16) -> bytes:
     """Content of a trained zstandard dictionary, or the most frequent samples where too few are given to train."""
     try:
@@ -203,31 +223,62 @@ def _dictionary(samples: list[bytes], size: int, together: int = 16) -> bytes:
         return b" ".join(w for w, _ in Counter(samples).most_common())[-size:]
 
 
-def learn(rows: list[tuple[bytes, int, int]], share: float) -> Model:
-    """``rows``: text, toxic 0/1, and a hash; two thirds train dictionaries and the rest calibrates. share: of toxic labels."""
-    rows = _once(rows)
-    halves = [[(t, x) for t, x, h in rows if (h % 3 == 0) == half] for half in (False, True)]
-    if any({x for _, x in half} != {0, 1} for half in halves):
-        return Model(base=share)
-    toxic, plain = ([t for t, x in halves[0] if x == c] for c in (1, 0))
+def _standing_out(toxic: list[bytes], plain: list[bytes]) -> list[bytes]:
+    """The windows of toxic texts that stand out: salient words, and the runs of words that salient grams cover."""
+    words = set(_salient_words(toxic, plain))
     salient = set(_salient(toxic, plain).tolist())
+    found = []
+    for t in toxic:
+        found += [b" " + w + b" " for w in map(lambda w: w.strip(_MARKS), windows(t)) if w in words]
+        found += [b" " + p + b" " for p in _passages(t, salient)]
+    return found
+
+
+def _segments(samples: list[bytes]) -> bytes:
+    """What zstandard trains on the samples in segments of ``SEGMENT`` bytes, behind the samples that its segments cut."""
+    if not samples:
+        return b""
+    size = 2 * sum(map(len, set(samples))) + 512
+    try:
+        trained = zstandard.train_dictionary(max(1024, size), [b"".join(samples[i : i + 8]) for i in range(0, len(samples), 8)], k=SEGMENT, d=6).as_bytes()
+    except zstandard.ZstdError:  # too few samples to train on
+        trained = b""
+    return b"".join(sorted(w for w in set(samples) if w.strip() not in trained)) + trained
+
+
+def _dictionaries(toxic: list[bytes], plain: list[bytes], share: float) -> Model:
+    """The pairs of dictionaries of two classes of texts."""
     ordinary = [w for t in plain for w in windows(t)]
-    content = _dictionary(ordinary[:: max(1, len(ordinary) // 400_000)], DICTIONARY_BYTES)
-    stems = Counter(p for t in toxic for p in set(_passages(t, salient)))
-    common = [p for p, n in sorted(stems.items(), key=lambda x: (x[1], x[0])) if n > 1]
-    lexicon = b" ".join([*_salient_words(toxic, plain), *common])
-    model = Model(base=share, ordinary=content + b" " + CARRIER, toxic=content + b" " + lexicon + b" " + CARRIER)
+    content = _dictionary(_spread(ordinary, WORDS), DICTIONARY_BYTES)
+    model = Model(base=share, ordinary=content + b" " + CARRIER, toxic=content + b" " + _segments(_standing_out(toxic, plain)) + b" " + CARRIER)
     sides = [[p for t in texts for p in passages(t)] for texts in (plain, toxic)]
     size = max(LEAST_BYTES, sum(map(len, sides[1])) // 100)
-    trained = [_dictionary(side, size, 1) for side in sides]
+    trained = [_dictionary(_spread(side, PASSAGES), size, 1) for side in sides]
     least = min(map(len, trained))  # neither side may save more by its size alone
     model.ordinary_passages, model.toxic_passages = (x[len(x) - least :] for x in trained)
+    return model
+
+
+def learn(rows: list[tuple[bytes, int, int]], share: float) -> Model:
+    """A model from ``rows``: text, toxic 0/1, and a hash. share: of toxic labels."""
+    rows = _once(rows)
+    reserve = [t for t, x, h in rows if x == 0 and h % RESERVE == 0]
+    rest = [(t, x, h // RESERVE % FOLDS) for t, x, h in rows if x == 1 or h % RESERVE]
+    if not reserve or any({x for _, x, f in rest if f != fold} != {0, 1} for fold in range(FOLDS)):
+        return Model(base=share)
+    held, labels = [], []
+    for fold in range(FOLDS):
+        others = [[t for t, x, f in rest if f != fold and x == c] for c in (1, 0)]
+        distance = Distance(_dictionaries(*others, share))
+        held += [distance.features(t) for t, _, f in rest if f == fold]
+        labels += [x for _, x, f in rest if f == fold]
+    weights = _logistic(np.array(held), np.array(labels, float), share)
+    model = _dictionaries(*[[t for t, x, _ in rest if x == c] for c in (1, 0)], share)
     distance = Distance(model)
-    x = np.array([distance.features(t) for t, _ in halves[1]])
-    y = np.array([c for _, c in halves[1]], float)
-    weights = _logistic(x, y, share)
-    # The threshold: at most MOST_FALSE of the calibration's clean documents may score one half or more.
-    weights[0] -= max(0.0, float(np.quantile(x[y == 0] @ weights, 1 - MOST_FALSE)))
+    clean = np.sort(np.array([distance.features(t) for t in reserve]) @ weights)[::-1]
+    over = clean[math.ceil(MOST_FALSE * len(clean)) :]  # these must not pass
+    if len(over):  # the threshold goes up all the way, and down, where clean documents stay far below, a quarter of it
+        weights[0] -= float(max(over[0], over[0] / 4)) + 1e-6
     model.weights = weights.tolist()
     return model
 
@@ -256,7 +307,7 @@ def probability(model: Model, distance: Distance | None, text: bytes | None) ->
 
 def held_out(ident: Column) -> Column:
     """Rows whose labels are never learned from."""
-    return F.crc32(F.encode(ident.cast("string"), "UTF-8")) % 5 == 0
+    return F.coalesce(F.crc32(F.encode(ident.cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -270,13 +321,24 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     for label in (0, 1):
         one = marked.where(F.col("toxic") == label).withColumn("draw", draw).orderBy("draw", "doc_id").limit(CLASS_ROWS)
         drawn = one if drawn is None else drawn.union(one)
-    texts = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body")).join(F.broadcast(drawn), "doc_id")  # 2 x CLASS_ROWS ids
-    run = Window.partitionBy("toxic").orderBy("draw", "doc_id")
-    within = texts.withColumn("sum_to", F.sum(F.octet_length("body")).over(run)).where(F.col("sum_to") <= CLASS_BYTES)
-    rows = [(bytes(r["body"]), r["toxic"], r["draw"] >> 1) for r in within.select("body", "toxic", "draw").toLocalIterator()]
+    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).join(F.broadcast(drawn), "doc_id")  # 2 x CLASS_ROWS ids
+    chosen = [r for label in (0, 1) for r in _within([(r["draw"], r["doc_id"], r["n"]) for r in sized.where(F.col("toxic") == label).collect()])]
+    chosen = docs.sparkSession.createDataFrame(chosen, "draw long, doc_id long, n long").select("doc_id", "draw")
+    texts = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body")).join(F.broadcast(chosen), "doc_id").join(F.broadcast(drawn.select("doc_id", "toxic")), "doc_id")
+    rows = [(bytes(r["body"]), r["toxic"], r["draw"] >> 1) for r in texts.select("body", "toxic", "draw").toLocalIterator()]
     return learn(sorted(rows, key=lambda r: (r[2], r[0])), share)
 
 
+def _within(sized: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of ``(draw, doc_id, bytes)``, in order of the draw, those that fit into what is left of ``CLASS_BYTES``; the first always."""
+    left, kept = CLASS_BYTES, []
+    for r in sorted(sized):
+        if r[2] <= left or not kept:
+            kept.append(r)
+            left -= r[2]
+    return kept
+
+
 def score(model: Model) -> "callable":
     """An Arrow function of UTF-8 bytes that gives the score of each text."""
 
