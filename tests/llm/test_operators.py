@@ -378,6 +378,48 @@ def test_warc(spark, least, packed):
         assert tuple(got[p]) == (p, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if revisit else "response", first if revisit else None)
 
 
+@pytest.mark.parametrize("hot, packed", [(False, True), (True, True), (True, False)])
+def test_warc_repeated_page_ids(spark, monkeypatch, hot, packed):
+    if hot:
+        monkeypatch.setattr(warc, "HOT_ROWS", 1)
+    rows = [(1, "A"), (1, "BBBB"), (2, "BBBB"), (2, "A"), (3, "A"), (None, "A"), (4, "é"), (4, "é"), (5, "é")]
+    got = warc.archive_round_trip(spark.createDataFrame([(i, "u", h, "", 0) for i, h in rows], PAGES), 0, packed).collect()
+    want = []
+    for i, h in rows:
+        first = min(j for j, other in rows if other == h and j is not None)
+        again = i is not None and i != first
+        want.append((i, len(h.encode()), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(), "revisit" if again else "response", first if again else None))
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_warc_members(tmp_path):
+    import gzip
+
+    import pyarrow.fs
+
+    record = lambda kind, n: f"WARC/1.1\r\nWARC-Type: {kind}\r\nContent-Length: {n}\r\n\r\n".encode() + random.Random(n).randbytes(n) + b"\r\n\r\n"
+    wanted, other = [record("response", n) for n in (0, 5, 9000, 200_000)], record("request", 3_000_000)
+    whole = [wanted[0], other, wanted[1], wanted[2], other, wanted[3]]
+    (tmp_path / "a.gz").write_bytes(b"".join(map(warc.member, whole)))
+    assert gzip.decompress((tmp_path / "a.gz").read_bytes()) == b"".join(whole)
+    (tmp_path / "b.gz").write_bytes(gzip.compress(b"".join(whole)))
+    for name in ("a.gz", "b.gz"):
+        with pyarrow.fs.LocalFileSystem().open_input_file(str(tmp_path / name)) as raw:
+
+            class Counting:
+                taken, size, seek, tell = 0, raw.size, raw.seek, raw.tell
+
+                def read(self, n=-1):
+                    out = raw.read(n)
+                    Counting.taken += len(out)
+                    return out
+
+            found = list(warc.members(Counting(), lambda h: h["warc-type"] == "response", True))
+            assert [p for _, p in found] == [w.partition(b"\r\n\r\n")[2][:-4] for w in wanted]
+            if name == "a.gz":
+                assert Counting.taken < 300_000
+
+
 def test_warc_push_down(spark):
     pages = spark.createDataFrame([(i, f"http://h{i % 3}/", f"body {i}", "", 0) for i in range(30)], PAGES)
     path = warc.shared_path(spark, "warc-test")
