@@ -55,7 +55,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    same = exact.exact_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    same = exact.exact_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     return same.select(F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
