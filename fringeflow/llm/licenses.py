@@ -9,18 +9,21 @@ candidate, and the words there are aligned with the template in a band of
 words and the span of the document that they cover.
 
 The index depends on the templates alone, so it is small whatever the input; every
-gram of every document is looked up, and nothing is capped.
+gram of every document is looked up, and nothing is capped. Templates are notices and whole license texts; others
+come as a mapping, or as a table ``(license, text)`` of at most ``TEMPLATE_BYTES`` (an error beyond), which every task indexes.
 
 Defined results: null and empty texts match nothing; a text that repeats a license
 gets a row for each place; places never overlap (that with more matched words stays,
 then that with more of its template, then the earlier one); repeated rows are reported as often as they come; an
-empty table or template list gives an empty result; extra columns are ignored.
+empty table or template list gives an empty result; templates without a word match nothing; of rows of a template
+table with one license name the last in text order counts; a null doc_id stays null; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -34,6 +37,7 @@ WINDOW = 3
 SHORT = GRAM + WINDOW + 2
 BAND = 8
 COVERAGE = 0.8
+TEMPLATE_BYTES = 64 << 20
 _WORD = re.compile(rb"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 MATCHES = "doc_id long, license string, coverage double, matched int, template_words int, start_word int, end_word int"
 
@@ -49,6 +53,13 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "BSD-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-3.0-header": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
@@ -115,36 +126,59 @@ class Index:
             matched, a, b = align(template, ids, start)
             if matched >= COVERAGE * len(template):
                 matches.append((self.names[t], matched / len(template), matched, len(template), a, b))
-        out = []
+        taken: list[int] = []  # first words of the places that stay, in order
+        by_start = {}
         for m in sorted(matches, key=lambda m: (-m[2], -m[1], m[4], m[0])):
-            if all(m[5] <= o[4] or m[4] >= o[5] for o in out):
-                out.append(m)
-        return sorted(out, key=lambda m: (m[4], m[0]))
+            at = bisect_left(taken, m[4])
+            before, after = by_start[taken[at - 1]] if at else None, by_start[taken[at]] if at < len(taken) else None
+            if (before is None or before[5] <= m[4]) and (after is None or m[5] <= after[4]):
+                taken.insert(at, m[4])
+                by_start[m[4]] = m
+        return [by_start[a] for a in taken]
 
 
 def align(template: np.ndarray, ids: np.ndarray, start: int, band: int = BAND) -> tuple[int, int, int]:
     """Most template words in order within the band around ``start``: how many, the first word and the word after the last.
 
     Row i of the table may use words ``start + i - band`` to ``start + i + band``. Of equal counts the
-    shorter span wins.
+    one that begins nearest to ``start`` wins, then the shorter span.
     """
-    best: dict[int, tuple[int, int, int]] = {}  # by last word used: matched, -first, -last
-    top = (0, 0, 0)
+    best: dict[int, tuple[int, int, int, int]] = {}  # by last word used: matched, -distance of the first from start, -last, first
+    top = (0, 0, 0, 0)
     for i, w in enumerate(template.tolist()):
         low, high = max(0, start + i - band), min(len(ids), start + i + band + 1)
         new = []
         for j in (low + np.flatnonzero(ids[low:high] == w)).tolist():
             before = max((v for k, v in best.items() if k < j), default=None)
-            new.append((j, (before[0] + 1, before[1], -j) if before else (1, -j, -j)))
+            new.append((j, (before[0] + 1, before[1], -j, before[3]) if before else (1, -abs(j - start), -j, j)))
         for j, v in new:
             if j not in best or v > best[j]:
                 best[j] = v
             top = max(top, v)
-    return top[0], -top[1], -top[2] + 1 if top[0] else 0
-
-
-def license_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
+        if len(best) > 4 * band:  # words left of the band can only be followed: the best of them stands for all
+            past = [k for k in best if k < low]
+            if past:
+                stand = max(past, key=lambda k: best[k])
+                for k in past:
+                    if k != stand:
+                        del best[k]
+    return top[0], top[3], -top[2] + 1 if top[0] else 0
+
+
+def _templates(given: dict[str, str] | DataFrame | None) -> dict[str, str] | None:
+    """A table of templates as a mapping, after a check of its size."""
+    if not isinstance(given, DataFrame):
+        return given
+    rows = given.select("license", "text").where("license IS NOT NULL AND text IS NOT NULL")
+    held = rows.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    if held > TEMPLATE_BYTES:
+        raise ValueError(f"templates hold {held} bytes, more than {TEMPLATE_BYTES}")
+    return {r["license"]: r["text"] for r in rows.orderBy("license", "text").collect()}
+
+
+def license_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | DataFrame | None = None) -> DataFrame:
     """One row for each place of ``docs`` that holds at least ``COVERAGE`` of a template."""
+    templates = _templates(templates)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(templates)
