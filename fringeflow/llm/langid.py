@@ -7,11 +7,13 @@ family that wins most of its duels, then to the language of that family that
 wins most of its own; summed margins break ties.
 
 Learning reads at most ``SAMPLE_ROWS`` documents and ``SAMPLE_BYTES`` bytes of text, in
-equal parts for each of at most ``LANGUAGES`` languages, drawn by a hash of doc_id over all
-documents, and adds short excerpts of them so that short texts are met in training too. Predictions
-read every whole text.
+equal parts for each language, drawn by a hash of doc_id over all
+documents, and adds short excerpts of them so that short texts are met in training too. A text that does not
+fit in what is left of its language's bytes is passed over for later ones; the first of each language is always
+read, so no language is lost. Predictions read every whole text.
 
-Defined results: ``und`` with score 0 for null texts and texts without a letter;
+Defined results: ``und`` with score 0 for null texts and texts without a letter (numerals such as a
+superscript two are none); a null doc_id is never learned from and is not held out;
 with a single learned language every other text gets it; without any learned
 language every text is ``und``; equal texts get equal results; an empty table
 gives an empty result; languages outside the family table are a family of their own.
@@ -19,22 +21,19 @@ gives an empty result; languages outside the family table are a family of their
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 3200
 SAMPLE_BYTES = 24 << 20
-LANGUAGES = 200
 BUCKETS = 2048
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 1 << 20
 
 # Language codes by family.
@@ -55,6 +54,10 @@ FAMILIES = {
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def family(lang: str) -> str:
     return _FAMILY_OF.get(lang.lower().replace("_", "-").split("-")[0], f"own:{lang}")
 
@@ -115,7 +118,7 @@ class Model:
         return names[best], float(1 / (1 + np.exp(-4 * np.clip(least, -8, 8))))
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.families or not _LETTER.search(text):
+        if not text or not self.families or not has_letter(text):
             return UNDETERMINED, 0.0
         x = features(text)
         group, sure = self._winner("", sorted(self.families), x)
@@ -138,7 +141,7 @@ def learn(rows: list[tuple[str, str, int]]) -> Model:
     model = Model()
     for lang in sorted({lang for _, lang, _ in rows}):
         model.families.setdefault(family(lang), []).append(lang)
-    found = [(e, lang) for text, lang, h in rows for e in _excerpts(text, h) if _LETTER.search(e)]
+    found = [(e, lang) for text, lang, h in rows for e in _excerpts(text, h) if has_letter(e)]
     if not found:
         return Model()
     x = np.array([features(e) for e, _ in found])
@@ -163,30 +166,41 @@ def learn(rows: list[tuple[str, str, int]]) -> Model:
 
 
 def held_out(ident: Column) -> Column:
-    return F.crc32(F.encode(ident.cast("string"), "UTF-8")) % 3 == 1
+    return F.coalesce(F.crc32(F.encode(ident.cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
 
 
 def train(docs: DataFrame) -> Model:
     """A model from documents with a language that are not held out."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.octet_length("text").alias("n"))
-    # A hash threshold for each language thins to about twice the bound before any row is ranked.
-    sizes = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES)
+    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("rows"))
     langs = max(1, sizes.count())
-    most_rows, most_bytes = SAMPLE_ROWS // langs, SAMPLE_BYTES // langs
-    share = F.lit(2.0 * most_rows) / F.col("rows")
+    most_rows, most_bytes = max(1, SAMPLE_ROWS // langs), SAMPLE_BYTES // langs
+    # A hash threshold for each language thins its rows to about twice the bound, on the cluster.
     draw = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 32))
-    thin = known.join(F.broadcast(sizes), "lang").withColumn("draw", draw).where(F.col("draw") < share * (1 << 32) + 1)
-    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    drawn = thin.withColumn("rank", F.row_number().over(order)).withColumn("sum_to", F.sum("n").over(order))
-    drawn = drawn.where((F.col("rank") <= most_rows) & (F.col("sum_to") <= most_bytes)).select("doc_id", "draw")
-    picked = docs.select("doc_id", "lang", "text").join(F.broadcast(drawn), "doc_id").where("lang IS NOT NULL AND text IS NOT NULL")  # SAMPLE_ROWS ids at most
+    thin = known.join(sizes, "lang").withColumn("draw", draw).where(F.col("draw") < F.lit(2.0 * most_rows + 8) / F.col("rows") * (1 << 32))
+    by_lang: dict[str, list] = {}
+    for r in thin.select("lang", "draw", "doc_id", "n").toLocalIterator():
+        by_lang.setdefault(r["lang"], []).append((r["draw"], r["doc_id"], r["n"]))
+    chosen = [x for rows in by_lang.values() for x in _within(rows, most_rows, most_bytes)]
+    drawn = docs.sparkSession.createDataFrame(chosen, "draw long, doc_id long").dropDuplicates(["doc_id"])
+    picked = docs.select("doc_id", "lang", "text").join(F.broadcast(drawn), "doc_id").where("lang IS NOT NULL AND text IS NOT NULL")  # SAMPLE_ROWS ids
     rows = sorted((r["draw"], r["text"], r["lang"]) for r in picked.toLocalIterator())
     return learn([(text, lang, h) for h, text, lang in rows])
 
 
+def _within(sized: list[tuple[int, int, int]], most_rows: int, most_bytes: int) -> list[tuple[int, int]]:
+    """Of ``(draw, doc_id, bytes)``, in order of the draw, at most ``most_rows`` that fit into what is left of the bytes; the first always."""
+    left, kept = most_bytes, []
+    for draw, ident, n in sorted(sized):
+        if len(kept) < most_rows and (n <= left or not kept):
+            kept.append((draw, ident))
+            left -= n
+    return kept
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs``."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs))  # weights of at most LANGUAGES languages
+    model = docs.sparkSession.sparkContext.broadcast(train(docs))  # one weight vector for each pair of families, and of languages of one family
 
     def predict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
