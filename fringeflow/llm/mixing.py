@@ -11,7 +11,7 @@ The rank is found without sorting a source in one task. Words are counted in
 the cell in which a source reaches its target is put in order.
 
 Defined results: null text has size 0; a null source is a source of its own and
-comes last; rows that repeat a doc_id are taken together; sources without words
+comes last; rows that repeat a doc_id with as many words are taken together; a null doc_id counts as one more id; sources without words
 have target 0 and give nothing; an empty table gives an empty result; extra
 columns stay. ``u`` is a hash of the doc_id, so reruns agree.
 """
@@ -74,8 +74,7 @@ def _plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
     at = cells.alias("c").join(plan.alias("p"), F.col("c.source").eqNullSafe(F.col("p.source")) & (F.col("p.p") > 0))
     at = at.where("c.sum_to >= p.lack AND c.sum_to - c.held < p.lack").select("p.source", "c.cell", "p.p", "p.lack", (F.col("c.sum_to") - F.col("c.held")).alias("base"))
     edge = sized.alias("d").join(at.alias("a"), F.col("d.source").eqNullSafe(F.col("a.source")) & (F.col("d.cell") == F.col("a.cell")))
-    one = edge.select("a.source", "d.doc_id", "d.u", "d.size", "a.p", "a.lack", "a.base").groupBy("source", "doc_id", "u", "p", "lack", "base").agg(F.sum("size").alias("size"))
-    ranked = one.withColumn("rank", rank_of(F.col("u"), F.col("p")))
+    ranked = edge.select("a.source", "d.doc_id", "d.size", "a.lack", "a.base", rank_of(F.col("d.u"), F.col("d.size"), F.col("a.p")).alias("rank")).groupBy("source", "doc_id", "rank", "lack", "base").agg(F.sum("size").alias("size"))
     order = Window.partitionBy("source").orderBy("rank", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
     run = ranked.withColumn("sum_to", F.col("base") + F.sum("size").over(order))
     over = F.when(F.col("sum_to") > F.col("lack"), F.col("sum_to") - F.col("lack")).otherwise(F.col("lack") - F.col("sum_to"))
@@ -88,9 +87,20 @@ def _plan(sized: DataFrame, targets: DataFrame) -> DataFrame:
     return settle(plan.join(best, F.col("source").eqNullSafe(F.col("s")), "left").drop("s"), "mix-plan")
 
 
-def rank_of(u: Column, p: Column) -> Column:
+def likelier(size: Column) -> Column:
+    """What the inclusion odds of a document of so many words are multiplied by."""
+    return F.sqrt(F.sqrt(size + F.lit(1.0)))
+
+
+def rank_of(u: Column, size: Column, p: Column) -> Column:
     """Random odds over inclusion odds; null where nothing is to be sampled."""
-    return F.try_divide(u / (F.lit(1.0) - u), p / (F.lit(1.0) - p))
+    return F.try_divide(u / (F.lit(1.0) - u), likelier(size) * (p / (F.lit(1.0) - p)))
+
+
+def _cell(u: Column, size: Column) -> Column:
+    """Cells in the order of the rank within a source."""
+    odds = u / (F.lit(1.0) - u) / likelier(size)
+    return F.floor(odds / (odds + F.lit(1.0)) * CELLS).cast("int")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -99,14 +109,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     own = docs.toDF(*names)
     ident, text, source = (F.col(names[docs.columns.index(c)]) for c in (id_col, text_col, source_col))
     u = uniform(ident)
-    cell = F.floor(u * CELLS).cast("int")
-    sized = settle(own.select(ident.alias("doc_id"), source.alias("source"), words(text).alias("size"), u.alias("u"), cell.alias("cell")), "mix-size")
+    sized = own.select(ident.alias("doc_id"), source.alias("source"), words(text).alias("size"), u.alias("u"))
+    sized = settle(sized.withColumn("cell", _cell(F.col("u"), F.col("size"))), "mix-size")
     plan = _plan(sized, source_targets(sized))
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    whole = own.withColumn("size", words(text)).withColumn("u", u).withColumn("u_cell", cell)
+    whole = own.withColumn("size", words(text)).withColumn("u", u).withColumn("u_cell", _cell(F.col("u"), F.col("size")))
     met = whole.join(plan.withColumnRenamed("source", "plan_source"), source.eqNullSafe(F.col("plan_source")))
-    rank = rank_of(F.col("u"), F.col("p"))
+    rank = rank_of(F.col("u"), F.col("size"), F.col("p"))
     within = (F.col("u_cell") < F.col("cell")) | ((F.col("u_cell") == F.col("cell")) & F.coalesce((rank < F.col("edge_rank")) | ((rank == F.col("edge_rank")) & (ident <= F.col("edge_id"))), F.lit(False)))
     drawn = F.when((F.col("p") > 0) & within, F.lit(1)).otherwise(F.lit(0))
     row = F.struct(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)]).alias("row")

@@ -81,7 +81,7 @@ l AS (SELECT *, most / weight AS stop,
 t AS (SELECT source, source_size, CASE WHEN source_size > 0 THEN least(most, weight * (SELECT max(level) FROM l WHERE level <= stop)) ELSE 0.0 END AS target FROM l),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate FROM t),
 q AS (SELECT *, CAST(floor(rate) AS BIGINT) AS whole, rate - floor(rate) AS p, target - floor(rate) * source_size AS lack FROM p),
-r AS (SELECT d.doc_id, d.size, q.*, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+r AS (SELECT d.doc_id, d.size, q.*, CASE WHEN p > 0 THEN (u / (1 - u)) / (sqrt(sqrt(size + 1.0::DOUBLE)) * (p / (1 - p))) END AS rank FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
 c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM r),
 e AS (SELECT source, min(struct_pack(off := abs(upto - lack), upto := upto, rank := rank, doc_id := doc_id)) AS best FROM c WHERE p > 0 GROUP BY source)
 SELECT c.doc_id, c.size, c.source_size, c.target,
