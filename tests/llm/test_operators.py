@@ -156,6 +156,13 @@ def test_mixing(docs, rows):
     assert mixing.mixed(docs).count() == sum(g.copies for g in got) and mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixing_odds_grow_with_words(spark):
+    docs = spark.createDataFrame([(i, "w " * (1 if i % 2 else 200), "a") for i in range(4000)], "doc_id long, text string, source string")
+    got = mixing.mix(docs).where("copies > 1").groupBy((F.col("size") > 1).alias("long")).count().collect()
+    more = {r.long: r["count"] for r in got}
+    assert more[True] > 1.3 * more[False]
+
+
 def test_inclusion_is_pareto():
     """Ranks of random odds over inclusion odds draw every document about as often as its share says."""
     rng = np.random.default_rng(0)
@@ -342,6 +349,59 @@ def test_licenses(spark):
     assert licenses.license_matches(docs, templates={}).count() == 0
 
 
+def test_licenses_in_a_row():
+    index = licenses.Index()
+    for name, text in licenses.TEMPLATES.items():
+        n = len(licenses.words(text.encode()))
+        for times in (2, 7, 40):
+            found = index.scan(" ".join([text] * times).encode())
+            if name not in ("Apache-2.0", "BSD-clause"):  # these begin longer notices of the list
+                assert [m[4] for m in found if m[0] == name] == [i * n for i in range(times)], (name, times)
+
+
+def test_many_matches_in_linear_time():
+    import time
+
+    index, taken = licenses.Index(), []
+    for n in (1000, 8000):
+        text = ("Released under the MIT License. some other words stand between " * n).encode()
+        began = time.perf_counter()
+        assert len(index.scan(text)) == n
+        taken.append(time.perf_counter() - began)
+    assert taken[1] < 20 * taken[0] + 0.5
+
+
+def test_two_words_changed_against_all_places():
+    """Of texts with two words of a template changed, those that alignment at every place finds are found from the index."""
+    rng = random.Random(3)
+    index = licenses.Index()
+    whole = found = 0
+    for name, text in licenses.TEMPLATES.items():
+        own, t = licenses.words(text.encode()), index.names.index(name)
+        if len(own) < 10:
+            continue  # two changes leave less than the coverage
+        for _ in range(20):
+            changed = list(own)
+            for i in rng.sample(range(len(own)), 2):
+                changed[i] = b"zzz"
+            ids = np.array([index.number.get(w, 0) for w in [b"intro"] * 3 + changed + [b"end"] * 3], np.int64)
+            best = max(licenses.align(index.texts[t], ids, s)[0] for s in range(-3, 8))
+            if best >= licenses.COVERAGE * len(own):
+                whole += 1
+                found += any(m[2] >= best for m in index.scan(b"intro intro intro " + b" ".join(changed) + b" end end end"))
+    assert whole > 200 and found >= 0.97 * whole, (found, whole)
+
+
+def test_license_table(spark, monkeypatch):
+    table = spark.createDataFrame([("Own", "you may copy this table freely and as often as you like", 1), ("None", None, 2), (None, "x", 3), ("Empty", "!!", 4)], "license string, text string, matched int")
+    docs = spark.createDataFrame([(1, "well you may copy this table freely and as often as you like so"), (None, "nothing")], "doc_id long, text string")
+    got = licenses.license_matches(docs, templates=table).collect()
+    assert [(g.doc_id, g.license, g.start_word, g.end_word) for g in got] == [(1, "Own", 1, 13)]
+    monkeypatch.setattr(licenses, "TEMPLATE_BYTES", 10)
+    with pytest.raises(ValueError):
+        licenses.license_matches(docs, templates=table)
+
+
 def test_alignment_is_longest_common():
     rng = np.random.default_rng(0)
     for _ in range(200):
@@ -455,6 +515,74 @@ def test_langid(docs, rows, none):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_langid_has_letters_and_loses_no_language(spark, monkeypatch):
+    model = langid.learn([("the house and the cat", "en", 1), ("das haus und der hund", "de", 2)])
+    assert {model.predict(t)[0] for t in ("²½", "①", "٣", "!?", "\u0301")} == {"und"}
+    assert model.predict("ª")[0] != "und" and model.predict("漢")[0] != "und"
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 300)
+    texts = [("en", "the house and the cat " * 40), ("de", "das haus und der hund " * 40), ("fr", "la maison et le chat " * 40), ("fr", "le chat")]
+    docs = spark.createDataFrame([(i * 3, t, lang) for i, (lang, t) in enumerate(texts * 8)], "doc_id long, text string, lang string")
+    got = langid.identify(docs).collect()
+    assert {g.lang_pred for g in got} == {"en", "de", "fr"}
+    assert langid._within([(1, 5, 900), (2, 6, 20), (3, 7, 400), (4, 8, 10)], 3, 100) == [(1, 5)]
+    assert langid._within([(2, 6, 20), (3, 7, 400), (4, 8, 10)], 3, 100) == [(2, 6), (4, 8)]
+
+
+def test_langid_duels_against_brute_force():
+    """The family and the language with most won duels, each duel by the sign of its own sum."""
+    rng = random.Random(7)
+    words = {lang: ["".join(rng.choices(letters, k=5)) for _ in range(40)] for lang, letters in {"en": "abcdef", "de": "abcdgh", "fr": "klmnop", "es": "klmnqr", "xx": "uvwxyz"}.items()}
+    make = lambda lang: " ".join(rng.choices(words[lang], k=12))
+    model = langid.learn([(make(lang), lang, i) for i in range(30) for lang in words])
+
+    def winner(group, names, x):
+        if len(names) == 1:
+            return names[0]
+        _, pairs, weights = model.duels[group]
+        margin = {(a, b): sum(float(w) * float(v) for w, v in zip(ws, x)) for (a, b), ws in zip(pairs, weights)}
+        wins = [sum((m > 0) == (i == a) for (a, b), m in margin.items() if i in (a, b)) for i in range(len(names))]
+        summed = [sum(m if i == a else -m for (a, b), m in margin.items() if i in (a, b)) for i in range(len(names))]
+        return names[max(range(len(names)), key=lambda i: (wins[i], summed[i]))]
+
+    for lang in list(words) * 8:
+        text = make(lang)
+        x = langid.features(text)
+        group = winner("", sorted(model.families), x)
+        assert model.predict(text)[0] == winner(group, model.families[group], x) == lang
+
+
+def test_held_out_accuracy(spark):
+    """On the supplied tables: labels and languages that were not learned from."""
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    said = langid.identify(docs.select("doc_id", "text", "lang")).join(docs.select("doc_id", "lang"), "doc_id").where("held_out AND lang_pred <> 'und'")
+    assert said.where("lang_pred = lang").count() >= 0.99 * said.count()
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    rows = toxicity.toxicity(docs, labels).where("held_out").join(labels, "doc_id").groupBy("toxic").agg(F.avg("predicted").alias("p")).collect()
+    share = {r.toxic: r.p for r in rows}
+    assert share[1] >= 0.75 and share[0] <= 0.015
+
+
+def test_toxicity_draw():
+    assert toxicity._within([(3, 1, 5), (1, 2, toxicity.CLASS_BYTES + 1), (2, 3, 7)]) == [(1, 2, toxicity.CLASS_BYTES + 1)]
+    assert [r[1] for r in toxicity._within([(1, 2, 10), (2, 3, toxicity.CLASS_BYTES), (3, 1, 5)])] == [2, 1]
+
+
+def test_toxicity_distance_against_two_compressors():
+    """Counts of saved bytes by two plain zstandard compressors with the two dictionaries."""
+    rng = random.Random(9)
+    rows = [((" ".join(rng.choices(WORDS, k=60)) + (" horrid scoundrel vermin" if i % 4 == 0 else " good day rest")).encode(), int(i % 4 == 0), rng.getrandbits(40)) for i in range(400)]
+    model = toxicity.learn(rows, 0.25)
+    distance = toxicity.Distance(model)
+    sides = [toxicity._compressor(c) for c in (model.ordinary, model.toxic)]
+    text = b"alpha horrid beta vermin gamma"
+    saved = [len(sides[0](b" " + w + b" " + toxicity.CARRIER)) - len(sides[1](b" " + w + b" " + toxicity.CARRIER)) for w in text.split()]
+    assert distance(text.split()) == saved and saved[1] > 2 and saved[3] > 2
+    counts = distance.features(text)[1 : 1 + len(toxicity.LEVELS)]
+    assert np.allclose(counts, np.log1p([sum(s >= k for s in saved) for k in toxicity.LEVELS]))
+    assert toxicity.probability(model, distance, rows[0][0]) > 0.5 > toxicity.probability(model, distance, rows[1][0])
+
+
 def test_toxicity(spark, docs, rows):
     rng = random.Random(9)
     texts = [" ".join(rng.choices(WORDS, k=60)) for _ in range(400)]
