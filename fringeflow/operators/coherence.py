@@ -2,15 +2,18 @@
 
 A pixel carries its epochs as arrays. Sums over a centre's neighbours are plain aggregates, one for
 each pair of epochs, so partial sums are formed before the shuffle and no row is multiplied by the
-number of pairs.
+number of pairs. For many epochs ``coherence_arrays`` does the same in matrix products over tiles of the grid.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import conj_im, conj_re
+from fringeflow.plans.lineage import settle
 
 
 def epoch_pairs(epochs: int) -> list[tuple[int, int]]:
@@ -83,3 +86,55 @@ def compress(pixels: DataFrame, theta: DataFrame, first: int, stop: int) -> Data
     im = sum((F.col(f"im{t}") * c(t) - F.col(f"re{t}") * s(t) for t in span), F.lit(0.0))
     amp = sum((F.hypot(f"re{t}", f"im{t}") for t in span), F.lit(0.0)) / len(span)
     return met.select("point_id", amp.alias("amp"), F.atan2(im, re).alias("phase"), F.hypot(re, im).alias("strength")).where("strength > 0").drop("strength")
+
+
+def sample_arrays(samples: DataFrame, epochs: int) -> DataFrame:
+    """``point_id, re, im``: arrays by epoch of the points that have all of them."""
+    own = samples.groupBy("point_id").agg(F.array_sort(F.collect_list(F.struct("t", "re", "im"))).alias("s")).where(F.size("s") == epochs)
+    return own.select("point_id", F.transform("s", lambda x: x["re"]).alias("re"), F.transform("s", lambda x: x["im"]).alias("im"))
+
+
+def coherence_arrays(support: DataFrame, pixels: DataFrame, points: DataFrame, epochs: int, tile: tuple[int, int] = (32, 64)) -> DataFrame:
+    """``center_id, re, im``: normalised complex sums of a centre's neighbours for all epoch pairs, in the order of ``epoch_pairs``.
+
+    For many epochs, where one aggregate a pair outgrows generated code: the links and the neighbours of the centres of one
+    tile of the grid meet in one group, bounded by the tile and its margin, and each centre is a matrix product.
+    ``pixels`` has ``point_id, re, im`` as arrays, ``points`` has ``point_id, r, c``.
+    """
+    cell = points.select(F.col("point_id").alias("center_id"), F.concat_ws("_", F.expr(f"r div {tile[0]}"), F.expr(f"c div {tile[1]}")).alias("tile"))
+    links = settle(support.select("center_id", "neighbor_id").join(cell, "center_id").select("tile", "center_id", "neighbor_id"), "tile-links")
+    near = links.select(F.col("tile").alias("part"), F.col("neighbor_id").alias("point_id")).distinct().join(pixels, "point_id").select("part", "point_id", "re", "im")
+    upper = np.triu_indices(epochs, 1)
+
+    def sums(edges: pa.Table, rows: pa.Table) -> pa.Table:
+        ids = rows.column("point_id").to_numpy()
+        z = sum(unit * np.array(rows.column(name).combine_chunks().flatten()).reshape(len(ids), epochs) for name, unit in (("re", 1), ("im", 1j))) if len(ids) else np.zeros((0, epochs), complex)
+        order = np.argsort(ids)
+        centre, other = edges.column("center_id").to_numpy(), edges.column("neighbor_id").to_numpy()
+        known = np.isin(other, ids)
+        centre, other = centre[known], other[known]
+        at = order[np.searchsorted(ids, other, sorter=order)]
+        by = np.argsort(centre, kind="stable")
+        centre, at = centre[by], at[by]
+        heads, starts = np.unique(centre, return_index=True)
+        re, im = [], []
+        for a, b in zip(starts, [*starts[1:], len(centre)]):
+            own = z[at[a:b]]
+            power = np.sqrt((np.abs(own) ** 2).sum(axis=0))
+            with np.errstate(invalid="ignore", divide="ignore"):
+                coh = (own.T @ own.conj() / np.outer(power, power))[upper]
+            re.append(coh.real)
+            im.append(coh.imag)
+        kind = pa.list_(pa.float64())
+        return pa.table({"center_id": pa.array(heads, pa.int64()), "re": pa.array(re, kind), "im": pa.array(im, kind)})
+
+    sums.__annotations__ = {"edges": pa.Table, "rows": pa.Table, "return": pa.Table}
+    return links.groupBy("tile").cogroup(near.groupBy("part")).applyInArrow(sums, "center_id long, re array<double>, im array<double>")
+
+
+def pairs_of_arrays(rows: DataFrame, epochs: int) -> DataFrame:
+    """``center_id, i, j, cre, cim`` of ``coherence_arrays``."""
+    pairs = epoch_pairs(epochs)
+    ends = [F.array(*[F.lit(p[k]) for p in pairs]) for k in (0, 1)]
+    each = F.transform(F.sequence(F.lit(0), F.lit(len(pairs) - 1)), lambda n: F.struct(F.get(ends[0], n).alias("i"), F.get(ends[1], n).alias("j"), F.get("re", n).alias("cre"), F.get("im", n).alias("cim")))
+    return rows.select("center_id", F.inline(each))

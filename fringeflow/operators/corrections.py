@@ -70,7 +70,8 @@ def least_correction(cycles: list[list[tuple[int, int]]], wanted: list[int], mos
 def sparse_corrections(patterns: DataFrame, cycles: list[list[tuple[int, int]]]) -> DataFrame:
     """``pattern, pair_id, correction`` for each distinct pattern of cycle sums that is not all zero.
 
-    Each pattern is solved once, however many points share it.
+    Each pattern is solved once, however many points share it, within two turns or, where that fails, within the larger
+    of four and twice its largest sum and two. A pattern that stays unsolved is a row with nulls.
     """
     edges = sorted({e for cycle in cycles for e, _ in cycle})
 
@@ -78,9 +79,12 @@ def sparse_corrections(patterns: DataFrame, cycles: list[list[tuple[int, int]]])
         for batch in batches:
             rows = []
             for pattern in batch["pattern"]:
-                found = least_correction(cycles, [-int(v) for v in pattern.split(",")])
-                rows += [(pattern, e, v) for e, v in zip(edges, found or []) if v]
-            yield pd.DataFrame(rows, columns=["pattern", "pair_id", "correction"]).astype({"pattern": object, "pair_id": "int32", "correction": "int32"})
+                wanted = [-int(v) for v in pattern.split(",")]
+                found = least_correction(cycles, wanted)
+                if found is None:
+                    found = least_correction(cycles, wanted, max(4, 2 * max(map(abs, wanted)) + 2))
+                rows += [(pattern, e, v) for e, v in zip(edges, found) if v] if found is not None else [(pattern, None, None)]
+            yield pd.DataFrame(rows, columns=["pattern", "pair_id", "correction"]).astype({"pattern": object, "pair_id": "Int32", "correction": "Int32"})
 
     return patterns.select("pattern").distinct().mapInPandas(solve, "pattern string, pair_id int, correction int")
 

@@ -61,6 +61,12 @@ def link_phases(rows: DataFrame, epochs: int, beta: float = 0.0, mu: float = 0.9
     """``center_id, phase (array), estimator, eigenvalue`` from wide coherence rows."""
     pairs = epoch_pairs(epochs)
     flat = rows.select("center_id", F.array(*[f"cre_{i}_{j}" for i, j in pairs]).alias("re"), F.array(*[f"cim_{i}_{j}" for i, j in pairs]).alias("im"))
+    return link_arrays(flat, epochs, beta, mu)
+
+
+def link_arrays(flat: DataFrame, epochs: int, beta: float = 0.0, mu: float = 0.99) -> DataFrame:
+    """``link_phases`` of ``center_id, re, im`` with arrays in the order of ``epoch_pairs``."""
+    pairs = epoch_pairs(epochs)
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

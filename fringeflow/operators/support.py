@@ -1,8 +1,9 @@
 """Statistically homogeneous neighbours on the grid, and the states that follow from their number.
 
-Neighbours are found by moving half of the window's offsets onto the rows and joining on the
-cell, so the join is an equi-join; the statistic is symmetric, so each pair is tested once and then
-told to both ends.
+Neighbours are found by an equi-join. For small windows half of the offsets are moved onto the rows and
+joined on the cell; for larger ones the grid is cut into blocks of half a window, and a row is sent to its own block
+and the five blocks that its later neighbours may lie in, whatever the number of offsets. The
+statistic is symmetric, so each pair is tested once and then told to both ends.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from fringeflow.functions.phase import glrt_statistic, glrt_threshold
 from fringeflow.plans.lineage import settle
 
 
+MOST_MOVED = 24
+
+
 def half_window(half_rows: int, half_cols: int) -> list[tuple[int, int]]:
     """Offsets of a window that come after its centre in row-major order."""
     return [(dr, dc) for dr in range(half_rows + 1) for dc in range(-half_cols, half_cols + 1) if (dr, dc) > (0, 0)]
@@ -21,6 +25,9 @@ def half_window(half_rows: int, half_cols: int) -> list[tuple[int, int]]:
 
 def neighbour_pairs(points: DataFrame, offsets: list[tuple[int, int]], columns: list[str]) -> DataFrame:
     """Pairs of points that lie an offset apart: ``a_*``, ``b_*``, ``dr``, ``dc``."""
+    rows, cols = max(dr for dr, _ in offsets), max(abs(dc) for _, dc in offsets)
+    if len(offsets) > MOST_MOVED and set(offsets) == set(half_window(rows, cols)):
+        return _block_pairs(points, rows, cols, columns)
     moves = F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in offsets])
     a = points.select(*[F.col(c).alias(f"a_{c}") for c in columns], F.col("r").alias("ar"), F.col("c").alias("ac"), F.inline(moves))
     a = a.withColumn("r", F.col("ar") + F.col("dr")).withColumn("c", F.col("ac") + F.col("dc")).drop("ar", "ac")
@@ -28,6 +35,20 @@ def neighbour_pairs(points: DataFrame, offsets: list[tuple[int, int]], columns:
     return a.join(b, ["r", "c"]).drop("r", "c")
 
 
+def _block_pairs(points: DataFrame, half_rows: int, half_cols: int, columns: list[str]) -> DataFrame:
+    """``neighbour_pairs`` of a whole half window over blocks of ``half_rows x half_cols`` cells."""
+    high, wide = max(half_rows, 1), max(half_cols, 1)
+    near = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (-1, 0, 1)])
+    block = lambda of, n: F.floor(F.col(of) / F.lit(n)).cast("int")
+    a = points.select(*[F.col(c).alias(f"a_{c}") for c in columns], F.col("r").alias("ar"), F.col("c").alias("ac"), F.inline(near))
+    a = a.withColumn("br", block("ar", high) + F.col("i")).withColumn("bc", block("ac", wide) + F.col("j")).drop("i", "j")
+    b = points.select(F.col("r").alias("cr"), F.col("c").alias("cc"), *[F.col(c).alias(f"b_{c}") for c in columns], block("r", high).alias("br"), block("c", wide).alias("bc"))
+    dr, dc = F.col("cr") - F.col("ar"), F.col("cc") - F.col("ac")
+    after = (dr.between(1, half_rows) & dc.between(-half_cols, half_cols)) | ((dr == 0) & dc.between(1, half_cols))
+    met = a.join(b, ["br", "bc"]).where(after)
+    return met.select(*[f"a_{c}" for c in columns], *[f"b_{c}" for c in columns], dr.alias("dr"), dc.alias("dc"))
+
+
 def glrt_support(stats: DataFrame, epochs: int, half_rows: int, half_cols: int, alpha: float) -> DataFrame:
     """``center_id, neighbor_id, bit, stat``: neighbours whose statistic stays strictly below the threshold.
 
@@ -54,15 +75,20 @@ def shp_count(stats: DataFrame, support: DataFrame) -> DataFrame:
     return centres.join(counts, "center_id", "left").select("center_id", F.coalesce("k", F.lit(0)).alias("k"))
 
 
-def support_bits(support: DataFrame) -> DataFrame:
-    """``center_id, word_0, k``: the window as a bit set of up to 63 cells."""
-    words = support.groupBy("center_id").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("word_0"))
-    return words.withColumn("k", F.bit_count("word_0").cast("long"))
+def support_bits(support: DataFrame, cells: int = 64) -> DataFrame:
+    """``center_id, word_0 .. , k``: the window as a bit set, 64 cells a word; a bit past ``cells`` is an error."""
+    words = -(-cells // 64)
+    bit = F.when(F.col("bit") < cells, F.col("bit")).otherwise(F.raise_error(F.format_string("bit %d is past the window", "bit")).cast("int"))
+    place = support.select("center_id", bit.alias("bit")).withColumn("set", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit") % 64))
+    one = lambda w: F.coalesce(F.bit_or(F.when(F.expr("bit div 64") == w, F.col("set"))), F.lit(0).cast("long"))
+    out = place.groupBy("center_id").agg(*[one(w).alias(f"word_{w}") for w in range(words)])
+    return out.withColumn("k", sum((F.bit_count(f"word_{w}") for w in range(words)), F.lit(0)).cast("long"))
 
 
 def unpack_bits(words: DataFrame, cells: int) -> DataFrame:
     """``center_id, bit`` for each cell that is set."""
-    bits = F.filter(F.sequence(F.lit(0), F.lit(cells - 1)), lambda b: F.call_function("shiftright", F.col("word_0"), b).bitwiseAND(F.lit(1)) == 1)
+    held = F.array(*[f"word_{w}" for w in range(-(-cells // 64))])
+    bits = F.filter(F.sequence(F.lit(0), F.lit(cells - 1)), lambda b: F.call_function("shiftright", F.get(held, F.floor(b / 64).cast("int")), b % 64).bitwiseAND(F.lit(1)) == 1)
     return words.select("center_id", F.explode(bits).alias("bit"))
 
 
@@ -75,16 +101,16 @@ def effective_counts(support: DataFrame, state: DataFrame) -> DataFrame:
 def state_core(support: DataFrame, counts: DataFrame, threshold: int, max_rounds: int = 100) -> DataFrame:
     """``point_id, effective_k`` of the largest state in which every point has enough neighbours of the state.
 
-    All points that fall short leave at once, again and again until none does. Each round is cut off
-    through the shared folder.
+    All points that fall short leave at once, again and again until none does. Each round's state is cut off
+    through the shared folder, and its edges are those of the beginning between points of the state, so no round's
+    plan holds the rounds before.
     """
     edges = settle(support.select("center_id", "neighbor_id"), "core-edges")
     state = settle(counts.where(F.col("k") >= threshold).select(F.col("center_id").alias("point_id"), F.col("k").alias("effective_k")), "core")
     size = state.count()
     for _ in range(max_rounds):
         ids = state.select(F.col("point_id").alias("center_id"))
-        edges = edges.join(ids, "center_id", "left_semi")
-        kept = effective_counts(edges, state).where(F.col("effective_k") >= threshold).withColumnRenamed("center_id", "point_id")
+        kept = effective_counts(edges.join(ids, "center_id", "left_semi"), state).where(F.col("effective_k") >= threshold).withColumnRenamed("center_id", "point_id")
         state = settle(kept, "core")
         now = state.count()
         if now == size:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections import deque
 
 import numpy as np
 import pandas as pd
@@ -86,19 +85,32 @@ def histogram_quantile(histogram: DataFrame, q: float, bins: int = 180) -> DataF
     return histogram.where(F.col("cdf") >= q).agg(((F.min("bin") + 0.5) * F.lit(math.pi / bins)).alias("value"))
 
 
-def safe_fragments(grads: DataFrame, ifgs: DataFrame) -> DataFrame:
-    """``pair_id, point_id, fragment``: points of an interferogram joined by edges of at most half a half-turn.
+def pair_components(edges: DataFrame, alone: DataFrame | None = None) -> DataFrame:
+    """``pair_id, point_id, fragment``: points joined by ``edges(pair_id, u, v)`` and those of ``alone``, a component by its smallest point.
 
-    All interferograms are labelled in one run of the component algorithm over (pair, point) nodes.
+    All interferograms are labelled in one run of the component algorithm over (pair, point) nodes. Points are numbered below 2**40.
     """
-    node = lambda p: F.call_function("shiftleft", F.col("pair_id").cast("long"), F.lit(40)) + F.col(p)
-    safe = grads.where(F.abs("g") <= SAFE).select(node("u").alias("u"), node("v").alias("v"))
-    alone = ifgs.select(node("point_id").alias("u"), node("point_id").alias("v"))
-    found = connected_components(safe.union(alone))
+    bound = F.lit(1 << 40)
+    whole = lambda p: F.when((F.col(p) >= 0) & (F.col(p) < bound), F.col(p)).otherwise(F.raise_error(F.format_string("point %d is not below 2**40", p)).cast("long"))
+    node = lambda p: F.call_function("shiftleft", F.col("pair_id").cast("long"), F.lit(40)) + whole(p)
+    links = edges.select(node("u").alias("u"), node("v").alias("v"))
+    if alone is not None:
+        links = links.union(alone.select(node("point_id").alias("u"), node("point_id").alias("v")))
+    found = connected_components(links)
     low = F.lit((1 << 40) - 1)
     return found.select(F.call_function("shiftright", "node", F.lit(40)).cast("int").alias("pair_id"), F.col("node").bitwiseAND(low).alias("point_id"), F.col("component").bitwiseAND(low).alias("fragment"))
 
 
+def fragment_sizes(fragments: DataFrame) -> DataFrame:
+    """``pair_id, component, size``."""
+    return fragments.groupBy("pair_id", F.col("fragment").alias("component")).agg(F.count("*").alias("size"))
+
+
+def safe_fragments(grads: DataFrame, ifgs: DataFrame) -> DataFrame:
+    """``pair_id, point_id, fragment``: points of an interferogram joined by edges of at most half a half-turn."""
+    return pair_components(grads.where(F.abs("g") <= SAFE), ifgs)
+
+
 def unwrap_fragments(ifgs: DataFrame, grads: DataFrame, fragments: DataFrame, points: DataFrame, tile: tuple[int, int] = (128, 256)) -> DataFrame:
     """``pair_id, point_id, tile, root, unwrapped``: phase integrated along safe edges inside tiles of the grid.
 
@@ -115,39 +127,40 @@ def unwrap_fragments(ifgs: DataFrame, grads: DataFrame, fragments: DataFrame, po
 
 
 def _integrate(rows: pd.DataFrame) -> pd.DataFrame:
-    """Breadth-first from the smallest point of each piece over a forest of the flattest safe edges."""
-    nodes = rows[rows["v"].isna()]
-    start = dict(zip(nodes["u"], nodes["g"]))
+    """Phase from the smallest point of each piece along the forest of the flattest safe edges.
+
+    Rounds of the flattest edge of each component, on arrays: every component hangs itself on the one that its edge
+    leads to, and the sums along the way are doubled up to the root.
+    """
+    nodes = rows[rows["v"].isna()].sort_values("u")
+    point, start = nodes["u"].to_numpy(), nodes["g"].to_numpy()
     links = rows[rows["v"].notna()].assign(size=lambda x: x["g"].abs()).sort_values(["size", "u", "v"])
-    parent = {p: p for p in start}
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    near: dict[int, list[tuple[int, float]]] = {}
-    for u, v, g in zip(links["u"], links["v"].astype("int64"), links["g"]):
-        a, b = root(u), root(v)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-            near.setdefault(u, []).append((v, g))
-            near.setdefault(v, []).append((u, -g))
-    found: dict[int, tuple[int, float]] = {}
-    for p in sorted(start):
-        if p in found:
-            continue
-        found[p] = (p, start[p])
-        queue = deque([p])
-        while queue:
-            u = queue.popleft()
-            for v, g in near.get(u, []):
-                if v not in found:
-                    found[v] = (p, found[u][1] + g)
-                    queue.append(v)
-    keys = sorted(found)
-    return pd.DataFrame({"pair_id": np.int32(rows["pair_id"].iloc[0]), "tile": rows["tile"].iloc[0], "point_id": keys, "root": [found[k][0] for k in keys], "unwrapped": [found[k][1] for k in keys]})
+    u, v, g = np.searchsorted(point, links["u"].to_numpy()), np.searchsorted(point, links["v"].to_numpy().astype("int64")), links["g"].to_numpy()
+    root, above = np.arange(len(point)), np.zeros(len(point))  # above: phase of a point less that of its root
+    while len(u):
+        a, b = root[u], root[v]
+        apart = a != b
+        u, v, g, a, b = u[apart], v[apart], g[apart], a[apart], b[apart]
+        if not len(u):
+            break
+        step = above[u] + g - above[v]  # phase of root b less that of root a
+        best = np.full(len(point), len(u))
+        np.minimum.at(best, a, np.arange(len(u)))
+        np.minimum.at(best, b, np.arange(len(u)))
+        c = np.flatnonzero(best < len(u))
+        e = best[c]
+        up, rise = np.arange(len(point)), np.zeros(len(point))
+        up[c] = np.where(a[e] == c, b[e], a[e])
+        rise[c] = np.where(a[e] == c, -step[e], step[e])
+        tops = c[(up[up[c]] == c) & (c < up[c])]  # the lower of two that chose the same edge
+        up[tops], rise[tops] = tops, 0.0
+        while (up != up[up]).any():
+            rise, up = rise + rise[up], up[up]
+        above, root = above + rise[root], up[root]
+    low = np.full(len(point), len(point))
+    np.minimum.at(low, root, np.arange(len(point)))
+    low = low[root]
+    return pd.DataFrame({"pair_id": np.int32(rows["pair_id"].iloc[0]), "tile": rows["tile"].iloc[0], "point_id": point, "root": point[low], "unwrapped": start[low] + above - above[low]})
 
 
 def fragment_votes(grads: DataFrame, labelled: DataFrame, edges: DataFrame) -> DataFrame:

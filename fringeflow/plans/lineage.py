@@ -1,7 +1,7 @@
 """Cut lineage through the folder that the driver and all executors share.
 
-``spark.checkpoint.dir`` names that folder on a cluster. Only where it is
-unset, as in local tests, a temporary folder takes its place.
+``spark.checkpoint.dir`` names that folder on a cluster; without it a cluster session is refused. Only on
+a local master, as in tests, a temporary folder takes its place.
 """
 
 from __future__ import annotations
@@ -15,9 +15,11 @@ _KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the session, set to a fresh one if there is none."""
+    """The shared folder of the session; on a local master set to a fresh one if there is none."""
     found = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {_KEY} to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set(_KEY, found)
         spark.sparkContext.setCheckpointDir(found)

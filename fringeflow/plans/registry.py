@@ -88,6 +88,12 @@ def _net(spark, d, side: int = 3) -> DataFrame:
     return network.directional(_candidates(spark, d), side)
 
 
+def _unsafe_points(spark, d) -> DataFrame:
+    """Points of whose edges more than half are unsafe."""
+    ends = _grads(spark, d).select("g", F.explode(F.array("u", "v")).alias("point_id"))
+    return ends.groupBy("point_id").agg(F.avg((F.abs("g") > unwrap.SAFE).cast("double")).alias("share")).where("share > 0.5").select("point_id")
+
+
 def _integers(spark, d) -> DataFrame:
     return unwrap.integer_closures(unwrap.triangle_closures(_ifgs(spark, d), TRIANGLES))
 
@@ -307,14 +313,13 @@ def correction_patterns(spark, d):
 
 
 @query(build("""
-, p AS (SELECT point_id, string_agg(CAST(k AS VARCHAR), ',' ORDER BY triangle_id) FILTER (triangle_id < 2) AS signature FROM ints GROUP BY 1),
-bad AS (SELECT DISTINCT point_id FROM ints JOIN modes USING (triangle_id) WHERE k <> modal_k AND triangle_id >= 2)
-SELECT signature, count(*) AS size, count(bad.point_id) AS bad_points, CASE WHEN count(bad.point_id) = 0 THEN 'good' WHEN count(bad.point_id) = count(*) THEN 'bad' ELSE 'mixed' END AS status FROM p LEFT JOIN bad USING (point_id) GROUP BY 1""", "modes"))
+, p AS (SELECT point_id, string_agg(CAST(k AS VARCHAR), ',' ORDER BY triangle_id) AS signature FROM ints GROUP BY 1),
+bad AS (SELECT p AS point_id FROM (SELECT u AS p, g FROM grad UNION ALL SELECT v, g FROM grad) GROUP BY 1 HAVING avg(CAST(abs(g) > pi() / 2 AS INT)) > 0.5)
+SELECT signature, count(*) AS size, count(bad.point_id) AS bad_points, CASE WHEN count(bad.point_id) = 0 THEN 'good' WHEN count(bad.point_id) = count(*) THEN 'bad' ELSE 'mixed' END AS status FROM p LEFT JOIN bad USING (point_id) GROUP BY 1""", "ints", "grad"))
 def signature_groups(spark, d):
-    ints = settle(_integers(spark, d), "integers")
-    off = ints.join(F.broadcast(unwrap.modal_closures(ints)), "triangle_id").where("k <> modal_k AND triangle_id >= 2")  # a row a triangle
-    labels = ints.where("triangle_id < 2").select("point_id", F.col("triangle_id").alias("pair_id"), F.col("k").alias("label"))
-    return unwrap.signature_groups(labels, off)
+    """Points that share the whole turns around every triangle, and how many of them lie on mostly unsafe edges."""
+    labels = _integers(spark, d).select("point_id", F.col("triangle_id").alias("pair_id"), F.col("k").alias("label"))
+    return unwrap.signature_groups(labels, _unsafe_points(spark, d))
 
 
 # Spatial graphs.
@@ -539,8 +544,7 @@ SELECT point_id, r, c FROM stats WHERE point_id NOT IN (SELECT point_id FROM off
 def strict_points(spark, d):
     ifgs = _ifgs(spark, d)
     ints = settle(unwrap.integer_closures(corrections.cycle_closures(ifgs, CYCLES)), "integers")
-    ends = unwrap.gradients(ifgs, _knn(spark, d)).select("g", F.explode(F.array("u", "v")).alias("point_id"))
-    bad = ends.groupBy("point_id").agg(F.avg((F.abs("g") > unwrap.SAFE).cast("double")).alias("share")).where("share > 0.5").select("point_id")
+    bad = _unsafe_points(spark, d)
     return corrections.strict_points(_stats(spark, d).select("point_id", "r", "c"), ifgs, len(PAIRS), ints, unwrap.modal_closures(ints), bad, 2)
 
 
@@ -620,11 +624,11 @@ def conflict_recurrence(spark, d):
     return amplitude.two_way_threshold_counts(hits, "hits", [2, 3, 4, 5, 6, 7, 8])
 
 
-@query("WITH RECURSIVE " + build("", "grad").removeprefix("WITH ").rstrip() + f", e AS (SELECT u, v FROM grad WHERE pair_id = 0 AND abs(g) > 0.95::DOUBLE * {oracle.PI}::DOUBLE), b AS (SELECT u, v FROM e UNION ALL SELECT v, u FROM e), w AS (SELECT u AS node, u AS root FROM b UNION SELECT b.v, w.root FROM w JOIN b ON b.u = w.node), l AS (SELECT node, min(root) AS component FROM w GROUP BY 1) SELECT component, count(*) AS size FROM l GROUP BY 1")
+@query("WITH RECURSIVE " + build("", "grad").removeprefix("WITH ").rstrip() + f", e AS (SELECT pair_id, u, v FROM grad WHERE abs(g) > 0.95::DOUBLE * {oracle.PI}::DOUBLE), b AS (SELECT pair_id, u, v FROM e UNION ALL SELECT pair_id, v, u FROM e), w AS (SELECT pair_id, u AS node, u AS root FROM b UNION SELECT w.pair_id, b.v, w.root FROM w JOIN b ON b.u = w.node AND b.pair_id = w.pair_id), l AS (SELECT pair_id, node, min(root) AS component FROM w GROUP BY 1, 2) SELECT pair_id, component, count(*) AS size FROM l GROUP BY 1, 2")
 def conflict_clusters(spark, d):
-    """Points joined by the steepest edges of the first interferogram."""
-    steep = _grads(spark, d).where((F.col("pair_id") == 0) & (F.abs("g") > 0.95 * 3.141592653589793)).select("u", "v")
-    return spatial.component_sizes(components.connected_components(steep))
+    """Points joined by the steepest edges of each interferogram, all labelled in one run."""
+    steep = _grads(spark, d).where(F.abs("g") > 0.95 * 3.141592653589793)
+    return unwrap.fragment_sizes(unwrap.pair_components(steep))
 
 
 _GRAD_STATS = f", gs AS (SELECT pair_id, count(*) AS edges, avg(abs(g)) AS mean_abs, avg(CAST(abs(g) > {oracle.PI}::DOUBLE / 2 AS INT)) AS frac_pi2, quantile_cont(abs(g), 0.9) AS p90 FROM grad GROUP BY 1)"
@@ -674,3 +678,6 @@ def event_windows(spark, d):
     """An extension: the event table read as a stream in six-hour windows."""
     sums = windows.window_sums(windows.read_events(spark, d), "6 hours", "2 days")
     return windows.run_available(sums, "event-windows").select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type", "n", tidy(F.col("total"), 4).alias("total"))
+
+
+from fringeflow.plans import checks as _checks  # noqa: E402, F401  (registers its queries, which use the steps above)
