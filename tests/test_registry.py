@@ -1,7 +1,6 @@
 """Every registered query with SQL against DuckDB on the smallest tables; the rest must give rows."""
 
 import math
-import os
 
 import pytest
 
@@ -9,8 +8,6 @@ from fringeflow.plans.registry import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-# Graph and unwrapping queries run many small jobs; a few of each kind stand for the rest unless all are asked for.
-SLOW = {"routing", "component_summary", "anchor_coverage", "point_stack", "safe_fragments", "linked_quality"}
 
 
 @pytest.fixture(scope="module")
@@ -34,12 +31,10 @@ def _plain(v):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    if name in SLOW and not os.environ.get("ALL_QUERIES"):
-        pytest.skip("set ALL_QUERIES to run")
     got = QUERIES[name](spark, DATA)
     rows = got.collect()
     if name not in ORACLE_SQL:
-        assert rows
+        assert rows or name == "wide_phase_linking"  # ten suppliers: no centre has 48 neighbours
         return
     want = duck.sql(ORACLE_SQL[name])
     assert sorted(got.columns) == sorted(want.columns)
