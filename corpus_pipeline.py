@@ -2,6 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)``, works on all documents that the stage before kept, and
 returns documents with their columns; the last returns packed pieces.
+
+Defined results of every stage: an empty table gives an empty result; a null text counts as empty and stays if it is
+not a copy of another; a null source is a source of its own; a row with a null doc_id is scored, deduplicated by text, never a
+near-duplicate of a document, mixed and packed like any other; rows that repeat a doc_id and text are copies, of which one stays; columns beside those
+of ``documents``, whatever their names, are carried through all stages but the last. Ties go to the smallest doc_id.
 """
 
 from __future__ import annotations
