@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fringeflow.llm import exact, langid, licenses, media, mixing, packing, sharding, simhash, toxicity, warc
+from fringeflow.llm import exact, infill, langid, licenses, media, mixing, packing, sharding, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +67,15 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_media, op4_licenses, op5_warc, op6_sharding, op7_simhash, op8_exact, op9_packing, op10_langid)}
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    out = infill.spell(F.col("body"), F.col("plan.pieces"))
+    done = cut.select("row.doc_id", "plan", infill.sha256_of(F.col("body"), F.col("plan.pieces")).alias("output_sha256"), out.alias("output"))
+    restored = infill.sha256_of(F.col("output"), infill.restoring(F.col("output"), F.col("plan.form")))
+    return done.select("doc_id", "plan.n", "plan.form", "plan.prefix_chars", "plan.middle_chars", "output_sha256", restored.alias("restored_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_media, op4_licenses, op5_warc, op6_sharding, op7_simhash, op8_exact, op9_packing, op10_langid, op12_infill)}
 
 ORACLE_SQL = {
     "op2_mixing": r"""
@@ -99,4 +107,12 @@ FROM b JOIN f USING (h)""",
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY norm)""",
+    "op12_infill": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, list_transform([1, 9, 17, 25], lambda s: CAST('0x' || substr(h, s, 8) AS BIGINT)) AS u FROM d),
+f AS (SELECT *, least(u[1] % (n + 1), u[2] % (n + 1)) AS a, greatest(u[1] % (n + 1), u[2] % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR u[3] % 100 >= 90 THEN 'plain' WHEN u[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || substr(t, 1, a) || '<S>' || substr(t, b + 1) || '<M>' || substr(t, a + 1, b - a)
+             ELSE '<S>' || substr(t, b + 1) || '<P>' || substr(t, 1, a) || '<M>' || substr(t, a + 1, b - a) END AS o FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars, sha256(o) AS output_sha256, sha256(t) AS restored_sha256 FROM o""",
 }
