@@ -40,6 +40,8 @@ Piece = tuple[int, int, int]
 
 PIECES = ArrayType(StructType([StructField("buffer", IntegerType()), StructField("start", LongType()), StructField("length", LongType())]))
 PLAN = StructType([StructField("n", LongType()), StructField("form", StringType()), StructField("prefix_chars", LongType()), StructField("middle_chars", LongType()), StructField("pieces", PIECES)])
+PROOF = StructType([StructField("output_sha256", StringType()), StructField("restored_sha256", StringType())])
+_PROOF = pa.struct([("output_sha256", pa.string()), ("restored_sha256", pa.string())])
 _PIECES = pa.list_(pa.struct([("buffer", pa.int32()), ("start", pa.int64()), ("length", pa.int64())]))
 _PLAN = pa.struct([("n", pa.int64()), ("form", pa.string()), ("prefix_chars", pa.int64()), ("middle_chars", pa.int64()), ("pieces", _PIECES)])
 
@@ -129,25 +131,30 @@ def _table(column: pa.ListArray) -> Iterator[list[Piece]]:
 def _plan(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for keys, texts in batches:
         draws = ([int(k[8 * i : 8 * i + 8], 16) for i in range(4)] for k in keys.to_pylist())
-        yield pa.array([plan(raw or b"", d) for raw, d in zip(texts.to_pylist(), draws)], _PLAN)
+        yield pa.array([plan(raw.as_py(), d) for raw, d in zip(texts, draws)], _PLAN)
 
 
 @F.arrow_udf(PIECES)
 def _undo(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for outputs, forms in batches:
-        yield pa.array([undo(x, f) for x, f in zip(outputs.to_pylist(), forms.to_pylist())], _PIECES)
+        yield pa.array([undo(x.as_py(), f) for x, f in zip(outputs, forms.to_pylist())], _PIECES)
 
 
 @F.arrow_udf(BinaryType())
 def _spell(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for texts, pieces in batches:
-        yield pa.array([b"".join(spelled(memoryview(raw or b""), p)) for raw, p in zip(texts.to_pylist(), _table(pieces))], pa.binary())
+        yield pa.array([b"".join(spelled(memoryview(raw.as_py()), p)) for raw, p in zip(texts, _table(pieces))], pa.binary())
 
 
-@F.arrow_udf(StringType())
-def _digest(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for texts, pieces in batches:
-        yield pa.array([digest(memoryview(raw or b""), p) for raw, p in zip(texts.to_pylist(), _table(pieces))], pa.string())
+@F.arrow_udf(PROOF)
+def _proof(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for texts, pieces, forms in batches:
+        yield pa.array([_both(raw.as_py(), p, f) for raw, p, f in zip(texts, _table(pieces), forms.to_pylist())], _PROOF)
+
+
+def _both(raw: bytes, pieces: list[Piece], form: str) -> dict:
+    output = b"".join(spelled(memoryview(raw), pieces))
+    return {"output_sha256": digest(memoryview(raw), pieces), "restored_sha256": digest(memoryview(output), undo(output, form))}
 
 
 def spell(text: Column, pieces: Column) -> Column:
@@ -155,16 +162,16 @@ def spell(text: Column, pieces: Column) -> Column:
     return _spell(text, pieces)
 
 
-def sha256_of(text: Column, pieces: Column) -> Column:
-    """The SHA-256 of what a table over ``text`` spells, streamed from its descriptors."""
-    return _digest(text, pieces)
-
-
 def restoring(output: Column, form: Column) -> Column:
     """The table over ``output`` that spells the original."""
     return _undo(output, form)
 
 
+def proof(text: Column, pieces: Column, form: Column) -> Column:
+    """SHA-256 of the output, streamed from its table, and of what the output and its form restore (see ``PROOF``)."""
+    return _proof(text, pieces, form)
+
+
 def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
     """``docs`` as struct ``row`` with ``body`` (the text's UTF-8 bytes) and ``plan``: ``n, form, prefix_chars, middle_chars, pieces``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fringeflow.llm import exact, infill, langid, licenses, media, mixing, packing, sharding, simhash, toxicity, warc
+from fringeflow.llm import exact, infill, langid, licenses, media, mixing, packing, periodic, sharding, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,15 +67,27 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
+    told = _table(spark, sf_dir, "documents").select("doc_id", "text", F.when(h % 10 == 0, words).alias("n"), F.floor(h / 10).alias("g"))
+    a = (F.col("g") % F.col("n")).cast("int")
+    p = (F.floor((F.col("n") - a) / (F.col("g") % 8 + 3)) + 1).cast("int")
+    planted = told.select("doc_id", F.when(F.col("n") > 0, periodic.repeated_from(F.col("text"), a, p)).otherwise(F.col("text")).alias("text"))
+    found = periodic.periodic_runs(planted, keep=["doc_id"])
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    rows = found.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), periodic.strongest(F.col("runs")).alias("best"), F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    milli = F.expr("best.length * 1000 div best.period")
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
 def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = infill.fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
-    out = infill.spell(F.col("body"), F.col("plan.pieces"))
-    done = cut.select("row.doc_id", "plan", infill.sha256_of(F.col("body"), F.col("plan.pieces")).alias("output_sha256"), out.alias("output"))
-    restored = infill.sha256_of(F.col("output"), infill.restoring(F.col("output"), F.col("plan.form")))
-    return done.select("doc_id", "plan.n", "plan.form", "plan.prefix_chars", "plan.middle_chars", "output_sha256", restored.alias("restored_sha256"))
+    proof = infill.proof(F.col("body"), F.col("plan.pieces"), F.col("plan.form")).alias("proof")
+    return cut.select("row.doc_id", "plan", proof).select("doc_id", "plan.n", "plan.form", "plan.prefix_chars", "plan.middle_chars", "proof.output_sha256", "proof.restored_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_media, op4_licenses, op5_warc, op6_sharding, op7_simhash, op8_exact, op9_packing, op10_langid, op12_infill)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_media, op4_licenses, op5_warc, op6_sharding, op7_simhash, op8_exact, op9_packing, op10_langid, op11_periodic, op12_infill)}
 
 ORACLE_SQL = {
     "op2_mixing": r"""
