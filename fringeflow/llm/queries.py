@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fringeflow.llm import exact, infill, langid, licenses, media, mixing, packing, periodic, sharding, simhash, toxicity, warc
+from fringeflow.llm import exact, infill, langid, licenses, media, mixing, packing, periodic, repeats, sharding, simhash, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,7 +87,18 @@ def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("row.doc_id", "plan", proof).select("doc_id", "plan.n", "plan.form", "plan.prefix_chars", "plan.middle_chars", "proof.output_sha256", "proof.restored_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_media, op4_licenses, op5_warc, op6_sharding, op7_simhash, op8_exact, op9_packing, op10_langid, op11_periodic, op12_infill)}
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = repeats.repeated_spans(docs)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    lost = cut.select("text_id", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    body = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    told = docs.select("doc_id", F.octet_length(body).cast("long").alias("n_bytes"), repeats.text_id(F.col("text")).alias("text_id"), F.sha2(body, 256).alias("whole"))
+    zero = F.lit(0).cast("long")
+    return told.join(lost, "text_id", "left").select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_media, op4_licenses, op5_warc, op6_sharding, op7_simhash, op8_exact, op9_packing, op10_langid, op11_periodic, op12_infill, op13_repeats)}
 
 ORACLE_SQL = {
     "op2_mixing": r"""
