@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import nonzero_sample, rayleigh_scale2
+from fringeflow.operators.quantiles import medians
+from fringeflow.plans.lineage import settle
 
 POINT = ["point_id", "r", "c"]
 
@@ -39,9 +41,10 @@ def window_scan(samples: DataFrame, rows: tuple[int, int], cols: tuple[int, int]
 
 def acquisition_gain(samples: DataFrame) -> DataFrame:
     """Median over points of log amplitude less the point's own median, by epoch."""
-    logs = samples.where("amp > 0").withColumn("log_amp", F.log("amp"))
+    logs = settle(samples.where("amp > 0").select("point_id", "t", F.log("amp").alias("log_amp")), "log-amplitude")
     own = logs.groupBy("point_id").agg(F.median("log_amp").alias("own"))
-    return logs.join(own, "point_id").groupBy("t").agg(F.median(F.col("log_amp") - F.col("own")).alias("gain_log"))
+    over = logs.join(own, "point_id").select("t", (F.col("log_amp") - F.col("own")).alias("over"))
+    return medians(over, ["t"], "over", "gain_log").drop("n")
 
 
 def two_way_threshold_counts(values: DataFrame, col: str, thresholds: list[float]) -> DataFrame:

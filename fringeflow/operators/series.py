@@ -6,6 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fringeflow.operators.quantiles import medians, quantiles
+from fringeflow.plans.lineage import settle
+
 
 def invert(ifgs: DataFrame, weights: np.ndarray) -> DataFrame:
     """``point_id, t, phase``: least-squares series of ``ifgs(pair_id, point_id, phase)``.
@@ -29,9 +32,9 @@ def residual_rms(series: DataFrame, ifgs: DataFrame, pairs: DataFrame) -> DataFr
 def reference_window(values: DataFrame, row: int, col: int, half_rows: int, half_cols: int, least: int = 100) -> DataFrame:
     """``t, points, ref_median, mad_sigma`` of the points in a window; epochs with fewer than ``least`` points are left out."""
     inside = values.where((F.abs(F.col("r") - row) <= half_rows) & (F.abs(F.col("c") - col) <= half_cols))
-    middle = inside.groupBy("t").agg(F.count("*").alias("points"), F.median("phase").alias("ref_median")).where(F.col("points") >= least)
-    off = inside.join(F.broadcast(middle), "t").groupBy("t", "points", "ref_median").agg(F.median(F.abs(F.col("phase") - F.col("ref_median"))).alias("mad"))
-    return off.select("t", "points", "ref_median", (F.lit(1.4826) * F.col("mad")).alias("mad_sigma"))
+    middle = settle(medians(inside, ["t"], "phase", "ref_median").withColumnRenamed("n", "points").where(F.col("points") >= least), "epoch-median")
+    off = inside.join(F.broadcast(middle), "t").withColumn("off", F.abs(F.col("phase") - F.col("ref_median")))  # a row an epoch
+    return middle.join(medians(off, ["t"], "off", "mad"), "t").select("t", "points", "ref_median", (F.lit(1.4826) * F.col("mad")).alias("mad_sigma"))
 
 
 def subtract_reference(values: DataFrame, reference: DataFrame) -> DataFrame:
@@ -51,13 +54,16 @@ def rates(values: DataFrame, key: str, x: str, y: str) -> DataFrame:
 
 def robust_sigma(values: DataFrame, key: str, y: str) -> DataFrame:
     """``key, middle, mad_sigma``: 1.4826 times the median distance from the median."""
-    middle = values.groupBy(key).agg(F.median(y).alias("middle"))
-    return values.join(middle, key).groupBy(key, "middle").agg((F.lit(1.4826) * F.median(F.abs(F.col(y) - F.col("middle")))).alias("mad_sigma"))
+    middle = settle(medians(values, [key], y, "middle").drop("n"), "group-median")
+    off = values.join(middle, key).select(key, F.abs(F.col(y) - F.col("middle")).alias("off"))
+    return middle.join(medians(off, [key], "off", "mad"), key).select(key, "middle", (F.lit(1.4826) * F.col("mad")).alias("mad_sigma"))
 
 
 def reference_candidates(points: DataFrame, noise: str, network: str, half: int, top: int) -> DataFrame:
     """``rank, r, c, score``: cells by 0.85 noise + 0.15 network, each scaled between its 5th and 95th percentile and averaged over a box."""
-    lim = points.agg(F.percentile(noise, F.array(F.lit(0.05), F.lit(0.95))).alias("a"), F.percentile(network, F.array(F.lit(0.05), F.lit(0.95))).alias("b"))
+    points = settle(points, "candidate-point")
+    ends = lambda x, name: quantiles(points, [], x, [0.05, 0.95]).select(F.col("p").alias(name))
+    lim = ends(noise, "a").crossJoin(ends(network, "b"))  # one row each
     scaled = lambda x, q: F.least(F.greatest((F.col(x) - F.col(q)[0]) / F.nullif(F.col(q)[1] - F.col(q)[0], F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
     scored = points.crossJoin(F.broadcast(lim)).select("r", "c", (0.85 * scaled(noise, "a") + 0.15 * scaled(network, "b")).alias("own"))  # one row
     moves = F.array(*[F.struct((F.col("r") + a).alias("r"), (F.col("c") + b).alias("c")) for a in range(-half, half + 1) for b in range(-half, half + 1)])
@@ -104,11 +110,19 @@ def neighbour_similarity(edges: DataFrame, wide: DataFrame, epochs: int) -> Data
     return rows.select("mean", F.explode(F.array("u", "v")).alias("point_id")).groupBy("point_id").agg(F.count("*").alias("neighbors"), F.median("mean").alias("similarity"))
 
 
+def epoch_rates(values: DataFrame) -> DataFrame:
+    """``point_id, n, rate, rms`` of ``values(point_id, t, phase)`` against the median of each epoch over all points."""
+    values = settle(values, "series")
+    middle = medians(values, ["t"], "phase", "ref_median")
+    return rates(subtract_reference(values, middle), "point_id", "t", "phase")
+
+
 def quadrants(values: DataFrame, row: int, col: int, half_rows: int, half_cols: int) -> DataFrame:
     """``t, q0..q3, spread``: medians of a window's four quarters by epoch, and how far apart they are."""
     inside = values.where((F.abs(F.col("r") - row) <= half_rows) & (F.abs(F.col("c") - col) <= half_cols))
     quarter = 2 * (F.col("r") > row).cast("int") + (F.col("c") > col).cast("int")
-    rows = inside.withColumn("q", quarter).groupBy("t").agg(*[F.median(F.when(F.col("q") == q, F.col("phase"))).alias(f"q{q}") for q in range(4)])
+    middles = medians(inside.withColumn("q", quarter), ["t", "q"], "phase", "middle")
+    rows = middles.groupBy("t").agg(*[F.max(F.when(F.col("q") == q, F.col("middle"))).alias(f"q{q}") for q in range(4)])
     names = [f"q{q}" for q in range(4)]
     return rows.withColumn("spread", F.greatest(*names) - F.least(*names))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import ambiguity, wrap
 from fringeflow.operators.components import connected_components
+from fringeflow.operators.quantiles import quantiles
 from fringeflow.plans.lineage import settle
 
 SAFE = math.pi / 2
@@ -66,9 +67,10 @@ def gradients(ifgs: DataFrame, edges: DataFrame) -> DataFrame:
 def gradient_stats(grads: DataFrame) -> DataFrame:
     size = F.abs("g")
     share = lambda limit: F.avg((size > limit).cast("double"))
-    return grads.groupBy("pair_id").agg(
-        F.count("*").alias("edges"), F.avg(size).alias("mean_abs"), share(SAFE).alias("frac_pi2"), share(2 * math.pi / 3).alias("frac_2pi3"), share(0.9 * math.pi).alias("frac_09pi"), F.percentile(size, F.lit(0.9)).alias("p90")
-    )
+    grads = settle(grads.select("pair_id", "g"), "gradient")
+    sums = grads.groupBy("pair_id").agg(F.count("*").alias("edges"), F.avg(size).alias("mean_abs"), share(SAFE).alias("frac_pi2"), share(2 * math.pi / 3).alias("frac_2pi3"), share(0.9 * math.pi).alias("frac_09pi"))
+    ends = quantiles(grads.withColumn("size", size), ["pair_id"], "size", [0.9]).select("pair_id", F.col("p")[0].alias("p90"))
+    return sums.join(F.broadcast(ends), "pair_id")  # a row a pair
 
 
 def gradient_histogram(grads: DataFrame, bins: int = 180) -> DataFrame:
@@ -80,6 +82,11 @@ def gradient_histogram(grads: DataFrame, bins: int = 180) -> DataFrame:
     return counts.withColumn("cdf", F.sum("n").over(upto) / F.sum("n").over(every))
 
 
+def gradient_percentiles(grads: DataFrame, shares: list[float]) -> DataFrame:
+    """``pair_id, n, p``: quantiles of the sizes of the gradients of each pair."""
+    return quantiles(grads.select("pair_id", F.abs("g").alias("size")), ["pair_id"], "size", shares)
+
+
 def histogram_quantile(histogram: DataFrame, q: float, bins: int = 180) -> DataFrame:
     """``value``: the middle of the first bin whose share reaches q."""
     return histogram.where(F.col("cdf") >= q).agg(((F.min("bin") + 0.5) * F.lit(math.pi / bins)).alias("value"))

@@ -217,7 +217,7 @@ _SHARES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 @query(build(f"SELECT pair_id, {', '.join(f'{x6(f'quantile_cont(abs(g), {q})')} AS p{round(q * 100)}' for q in _SHARES)} FROM grad GROUP BY 1", "grad"))
 def gradient_percentiles(spark, d):
     """Percentiles of the gradients' sizes, with linear interpolation."""
-    rows = registry._grads(spark, d).groupBy("pair_id").agg(F.percentile(F.abs("g"), F.array(*[F.lit(q) for q in _SHARES])).alias("p"))
+    rows = unwrap.gradient_percentiles(registry._grads(spark, d), list(_SHARES))
     return rows.select("pair_id", *[tidy(F.col("p")[k]).alias(f"p{round(q * 100)}") for k, q in enumerate(_SHARES)])
 
 

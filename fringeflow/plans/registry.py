@@ -452,9 +452,7 @@ def reference_window(spark, d):
 
 @query(build(f", m AS (SELECT t, median(phase) AS ref FROM full_z GROUP BY t) SELECT point_id, count(*) AS n, {x6('regr_slope(phase - ref, t)')} AS rate, {x6('sqrt(greatest(regr_syy(phase - ref, t) - pow(regr_sxy(phase - ref, t), 2) / regr_sxx(phase - ref, t), 0) / count(*))')} AS rms FROM full_z JOIN m USING (t) GROUP BY point_id", "full_z"))
 def phase_rate(spark, d):
-    full = _full(spark, d).select("point_id", "t", "phase")
-    middle = full.groupBy("t").agg(F.median("phase").alias("ref_median"))
-    return series.rates(series.subtract_reference(full, middle), "point_id", "t", "phase").select("point_id", "n", tidy(F.col("rate")).alias("rate"), tidy(F.col("rms")).alias("rms"))
+    return series.epoch_rates(_full(spark, d).select("point_id", "t", "phase")).select("point_id", "n", tidy(F.col("rate")).alias("rate"), tidy(F.col("rms")).alias("rms"))
 
 
 @query(f"SELECT user_id, count(*) AS n, round(regr_slope(value, epoch(ts) / 86400.0 - 19723), 6) + 0.0 AS rate, round(sqrt(greatest(regr_syy(value, epoch(ts) / 86400.0 - 19723) - pow(regr_sxy(value, epoch(ts) / 86400.0 - 19723), 2) / regr_sxx(value, epoch(ts) / 86400.0 - 19723), 0) / count(*)), 6) + 0.0 AS rms FROM events GROUP BY user_id HAVING regr_sxx(value, epoch(ts) / 86400.0 - 19723) > 0")
