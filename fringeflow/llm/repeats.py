@@ -188,6 +188,7 @@ def _found(texts: DataFrame, pieces: DataFrame, level: int, shard_bytes: int) ->
     groups = pieces.groupBy("name", "body").agg(F.sum("copies").alias("copies"), F.min(F.struct("text_id", "start", "windows", "back")).alias("one"))
     groups = settle(groups, "repeat-body")
     held = groups.groupBy("name").agg(F.count("*").alias("bodies"), F.sum(F.col("one.windows") + WIDTH - 1).alias("bytes")).where("bodies > 1")
+    held = settle(held, "repeat-group")
     mixed = settle(groups.join(held, "name").select("name", "body", "copies", "one.*", "bytes"), "repeat-mixed")
     hot = mixed.where(F.col("bytes") > shard_bytes)
     total = mixed.where(F.col("bytes") <= shard_bytes).agg(F.sum(F.col("windows") + WIDTH - 1)).head()[0] or 0
@@ -242,7 +243,8 @@ def repeated_spans(docs: DataFrame, text_col: str = "text", shard_bytes: int = S
     spark = docs.sparkSession
     own = docs.select(text_id(F.col(f"`{text_col}`")).alias("text_id"), F.encode(F.col(f"`{text_col}`"), "UTF-8").alias("text")).where(F.octet_length("text") >= WIDTH)
     stretches = settle(own.mapInArrow(_anchored, _STRETCH), "repeat-stretch")
-    shared = stretches.groupBy("name").agg(F.count("*").alias("times")).where("times > 1").select("name")
+    # Settled, so that the joins on names stand on plain exchanges, whose large partitions are split.
+    shared = settle(stretches.groupBy("name").agg(F.count("*").alias("times")).where("times > 1").select("name"), "repeat-name")
     cuts = stretches.join(shared, "name", "left_semi").groupBy("text_id").agg(F.collect_set(F.struct("start", "windows", "back")).alias("cuts"))
     # Texts and their cuts meet in one aggregation, so copies are combined before they are sent; buckets spare later joins the texts.
     both = own.withColumn("cuts", F.lit(None).cast(cuts.schema["cuts"].dataType)).unionByName(cuts.withColumn("text", F.lit(None).cast("binary")))
