@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fringeflow.functions.phase import glrt_threshold, tidy
+from fringeflow.functions.phase import glrt_threshold, nonzero_sample, tidy
 from fringeflow.operators import amplitude, audits, coherence, linking, network, series, similarity, spatial, support, unwrap
 from fringeflow.plans import oracle, registry
 from fringeflow.plans import scene as S
-from fringeflow.plans.lineage import settle
+from fringeflow.plans.lineage import settle, shared_path
 from fringeflow.plans.oracle import build, x6
 from fringeflow.plans.registry import query
+from fringeflow.sources import rasters
 
 PAIRS = registry.PAIRS
 _RECURSIVE = "WITH RECURSIVE "
@@ -86,6 +87,23 @@ def wide_prior_counts(spark, d):
     return similarity.prior_counts(S.wide_samples(spark, d), S.WIDE_EPOCHS, 5, 5)
 
 
+# Rasters.
+
+_SINGLE = "round(CAST(CAST({0} AS FLOAT) AS DOUBLE), 3) + 0.0 AS {0}"
+
+
+@query(build(f"SELECT t, r, c, {_SINGLE.format('re')}, {_SINGLE.format('im')} FROM z WHERE r BETWEEN 1 AND 30 AND c BETWEEN 10 AND 29 AND t IN (1, 3, 5)", "z"))
+def raster_window(spark, d):
+    """The scene written as rasters, and a window of three dates read back."""
+    samples = S.samples(spark, d).select("t", "r", "c", "re", "im")
+    length = (samples.agg(F.max("r")).head()[0] or 0) + 1
+    folder = shared_path(spark, "raster-stack")
+    rasters.write_stack(samples, folder, S.WIDTH, length, rows_a_tile=16)
+    stack = rasters.read_written_stack(spark, folder, rows_a_partition=16)
+    rows = stack.where("t IN (1, 3, 5) AND r BETWEEN 1 AND 30 AND c BETWEEN 10 AND 29").where(nonzero_sample(F.col("re"), F.col("im")))
+    return rows.select("t", "r", "c", *[tidy(F.col(x).cast("double"), 3).alias(x) for x in ("re", "im")])
+
+
 # What is kept, and states.
 
 _HEIGHT = "(SELECT p_partkey AS point_id, CAST(p_size - 1 AS DOUBLE) AS height FROM part)"

@@ -49,6 +49,50 @@ def test_raster_windows(spark, tmp_path, kind, order):
         rasters.raster_kind(11, 5, 7)
 
 
+def _planned(df):
+    return df.rdd.getNumPartitions()
+
+
+@pytest.mark.parametrize("kind, order, tile", [("fcomplex", "big", 4), ("scomplex", "little", 4), ("fcomplex", "little", 11)])
+def test_stack_round_trip(spark, tmp_path, kind, order, tile):
+    rng = np.random.default_rng(4)
+    x = rng.integers(-300, 300, (5, 11, 6, 2))
+    rows = [(t, r, c, float(x[t, r, c, 0]), float(x[t, r, c, 1])) for t in range(5) for r in range(11) for c in range(6) if (t + r + c) % 5]
+    folder = f"file://{tmp_path}/stack"
+    rasters.write_stack(spark.createDataFrame(rows, "t int, r int, c int, re double, im double").repartition(7), folder, 6, 11, rows_a_tile=tile, kind=kind, order=order)
+    stack = rasters.read_written_stack(spark, folder, rows_a_partition=4)
+    got = {(r.t, r.r, r.c): (r.re, r.im) for r in stack.collect()}
+    assert len(got) == 5 * 11 * 6
+    assert {k: v for k, v in got.items() if sum(k) % 5} == {(t, r, c): (a, b) for t, r, c, a, b in rows} and all(v == (0, 0) for k, v in got.items() if not sum(k) % 5)
+    # Three row ranges for each date; predicates on dates and rows rule partitions out, columns leave them.
+    assert _planned(stack) == 15
+    for where, n in (("t IN (1, 3, 4)", 9), ("t = 2 AND r < 4", 1), ("t > 2 AND r BETWEEN 4 AND 9", 4 if tile == 4 else 4), ("c = 2", 15), ("t > 7", 1)):
+        part = stack.where(where)
+        assert _planned(part) == n, where
+        want = spark.createDataFrame([(*k, *v) for k, v in got.items()], "t int, r int, c int, re float, im float").where(where)
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, want.collect()))
+    if tile == 11:  # a tile of all rows is a plain raster of the date
+        plain = rasters.read_stack(spark, [f"{folder}/t={t}/000000000.slc" for t in range(5)], 6, 11, order=order)
+        assert sorted(map(tuple, plain.collect())) == sorted((*k, *v) for k, v in got.items())
+
+
+def test_stacks_that_do_not_fit_are_errors(spark, tmp_path):
+    np.zeros((4, 6, 2), ">f4").tofile(tmp_path / "a.slc")
+    np.zeros((4, 5, 2), ">f4").tofile(tmp_path / "b.slc")
+    np.zeros((4, 6, 2), ">i2").tofile(tmp_path / "c.slc")
+    paths = [f"file://{tmp_path}/{x}.slc" for x in "abc"]
+    assert rasters.read_stack(spark, paths, 6, 4, dates=[0]).count() == 24
+    for other in (1, 2):
+        with pytest.raises(Exception, match=f"{'abc'[other]}.slc"):
+            rasters.read_stack(spark, paths, 6, 4, dates=[0, other]).count()
+    twice = spark.createDataFrame([(0, 1, 1, 1.0, 1.0)] * 2 + [(0, 0, 0, 1.0, 1.0)], "t int, r int, c int, re double, im double")
+    with pytest.raises(Exception, match="written twice"):
+        rasters.write_stack(twice, f"file://{tmp_path}/twice", 6, 4)
+    with pytest.raises(Exception, match="outside"):
+        rasters.write_stack(twice.limit(1).withColumn("c", F.lit(6)), f"file://{tmp_path}/out", 6, 4)
+    assert not (tmp_path / "twice" / "stack.json").exists()
+
+
 def test_phases_are_written_once(spark, tmp_path):
     path = f"file://{tmp_path}/phases"
     stage = spark.createDataFrame([(p, t, 0.5) for p in range(3) for t in range(2)], "point_id long, t int, phase double")
