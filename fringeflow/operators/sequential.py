@@ -10,6 +10,18 @@ from fringeflow.plans.lineage import settle
 from fringeflow.plans.temporal import Stage
 
 
+def link_stage(support: DataFrame, table: DataFrame, n: int) -> DataFrame:
+    """``center_id, phase, estimator`` of the points of ``table(point_id, re0, im0, ...)`` whose ``n`` inputs could be linked."""
+    linked = settle(linking.link_phases(coherence.coherence_wide(support, table, n), n), "stage-linked")
+    return linked.where((F.col("estimator") != linking.INVALID) & F.forall("phase", lambda x: x.isNotNull() & ~F.isnan(x)))
+
+
+def real_phases(good: DataFrame, stage: Stage) -> DataFrame:
+    """``point_id, t, phase, estimator, stage`` of the real epochs of a linked stage."""
+    real = good.select(F.col("center_id").alias("point_id"), "estimator", F.posexplode(F.slice("phase", len(stage.compressed) + 1, stage.real)).alias("k", "phase"))
+    return real.select("point_id", (F.col("k") + stage.start).alias("t"), "phase", "estimator", F.lit(stage.number).alias("stage"))
+
+
 def run_plan(support: DataFrame, pixels: DataFrame, plan: list[Stage]) -> DataFrame:
     """``point_id, t, phase, estimator, stage`` of every epoch, referenced to epoch 0.
 
@@ -29,13 +41,11 @@ def run_plan(support: DataFrame, pixels: DataFrame, plan: list[Stage]) -> DataFr
             table = table.join(one, "point_id")
         table = settle(table, "stage-input")
         n = len(names)
-        linked = settle(linking.link_phases(coherence.coherence_wide(support, table, n), n), "stage-linked")
-        good = linked.where((F.col("estimator") != linking.INVALID) & F.forall("phase", lambda x: x.isNotNull() & ~F.isnan(x)))
+        good = link_stage(support, table, n)
         theta = good.select(F.col("center_id").alias("point_id"), *[F.col("phase")[k].alias(f"th{k}") for k in range(n)])
         if stage.output:
             inputs[stage.output] = settle(coherence.compress(table, theta, len(stage.compressed), n), "compressed")
-        real = good.select(F.col("center_id").alias("point_id"), "estimator", F.posexplode(F.slice("phase", len(stage.compressed) + 1, stage.real)).alias("k", "phase"))
-        real = real.select("point_id", (F.col("k") + stage.start).alias("t"), "phase", "estimator", F.lit(stage.number).alias("stage"))
+        real = real_phases(good, stage)
         out = real if out is None else out.union(real)
     return out
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import glrt_threshold, nonzero_sample, tidy
 from fringeflow.operators import amplitude, audits, coherence, linking, network, series, similarity, spatial, support, unwrap
-from fringeflow.plans import oracle, registry
+from fringeflow.plans import oracle, registry, temporal
 from fringeflow.plans import scene as S
 from fringeflow.plans.lineage import settle, shared_path
 from fringeflow.plans.oracle import build, x6
 from fringeflow.plans.registry import query
 from fringeflow.sources import rasters
+from fringeflow.streaming import ministacks
 
 PAIRS = registry.PAIRS
 _RECURSIVE = "WITH RECURSIVE "
@@ -104,6 +105,22 @@ def raster_window(spark, d):
     return rows.select("t", "r", "c", *[tidy(F.col(x).cast("double"), 3).alias(x) for x in ("re", "im")])
 
 
+# Streams.
+
+
+@query()
+def streamed_phase_linking(spark, d):
+    """``sequential_phase_linking`` as the epochs arrive, a ministack at a time."""
+    plan = temporal.sequential_plan(S.EPOCHS, 3)
+    near = settle(registry._support(registry._stats(spark, d)).select("center_id", "neighbor_id"), "support")
+    samples = settle(S.samples(spark, d).select("point_id", "r", "c", "t", "re", "im"), "samples")
+    epochs, work = shared_path(spark, "epochs"), shared_path(spark, "ministacks")
+    for stage in plan:
+        samples.where(F.col("t").between(stage.start, stage.stop - 1)).write.mode("append").parquet(epochs)
+        ministacks.advance(spark, epochs, near, plan, work)
+    return ministacks.phases(spark, work)
+
+
 # What is kept, and states.
 
 _HEIGHT = "(SELECT p_partkey AS point_id, CAST(p_size - 1 AS DOUBLE) AS height FROM part)"

@@ -1,4 +1,4 @@
-"""Windowed aggregates of an event stream and the incremental form of the ministack sequence; extensions beyond the batch operators."""
+"""Windowed aggregates of an event stream; an extension beyond the batch operators."""
 
 from __future__ import annotations
 
