@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import ambiguity, wrap
 from fringeflow.operators.components import connected_components
+from fringeflow.operators.forests import bottlenecks, spanning_forest
 from fringeflow.operators.quantiles import quantiles
 from fringeflow.plans.lineage import settle
 
@@ -298,6 +299,17 @@ def piece_shifts(votes: DataFrame, least_ratio: float = 0.0) -> DataFrame:
     return at.join(off, "node", "left").select(F.call_function("shiftright", "node", F.lit(40)).cast("int").alias("pair_id"), piece("node").alias("piece"), piece("root").alias("root"), "shift", F.coalesce("against", F.lit(0)).cast("long").alias("against"))
 
 
+def piece_bottlenecks(votes: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``pair_id, frag_a, frag_b, smaller, total``: points on the smaller side of each vote of the surest spanning forest, and of its tree."""
+    node = lambda p: F.call_function("shiftleft", F.col("pair_id").cast("long"), F.lit(40)) + F.col(p)
+    order = F.struct((-F.col("ratio")).alias("r"), (-F.col("edge_count")).alias("n"), "median_abs", "median_dist")
+    forest = spanning_forest(votes.select(node("frag_a").alias("u"), node("frag_b").alias("v"), order.alias("o")), F.col("o"))
+    sizes = pieces.groupBy(node("root").alias("node")).agg(F.count("*").alias("w"))
+    mask = F.lit((1 << 40) - 1)
+    rows = bottlenecks(forest, sizes)
+    return rows.select(F.call_function("shiftright", "u", F.lit(40)).cast("int").alias("pair_id"), F.col("u").bitwiseAND(mask).alias("frag_a"), F.col("v").bitwiseAND(mask).alias("frag_b"), "smaller", "total")
+
+
 def piece_votes(pieces: DataFrame, grads: DataFrame, edges: DataFrame) -> DataFrame:
     """Votes between the pieces that ``unwrap_fragments`` gives, by their unwrapped values."""
     return fragment_votes(grads, pieces.select("pair_id", "point_id", F.col("root").alias("piece"), F.col("unwrapped").alias("value")), edges)

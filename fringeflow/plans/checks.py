@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import glrt_threshold, nonzero_sample, tidy
-from fringeflow.operators import amplitude, audits, coherence, linking, network, series, similarity, spatial, support, unwrap
+from fringeflow.operators import amplitude, audits, coherence, forests, linking, network, series, similarity, spatial, support, unwrap
 from fringeflow.plans import oracle, registry, temporal
 from fringeflow.plans import scene as S
 from fringeflow.plans.lineage import settle, shared_path
@@ -219,6 +219,37 @@ def pair_tags(spark, d):
     return audits.pair_tags(unwrap.pair_table(spark, PAIRS), epochs)
 
 
+# Forests.
+
+_PARENTS = """, par AS (SELECT a.point_id AS v, min(b.point_id) AS u FROM chosen a JOIN chosen b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND b.point_id < a.point_id GROUP BY 1),
+up AS (SELECT v AS node, u AS above FROM par UNION SELECT up.node, par.u FROM up JOIN par ON par.v = up.above),
+wt AS (SELECT point_id AS node, CAST(sum(amp) AS BIGINT) AS w FROM samples GROUP BY 1),
+top AS (SELECT c.point_id AS node, coalesce(min(above), c.point_id) AS root FROM chosen c LEFT JOIN up ON up.node = c.point_id GROUP BY c.point_id),
+tot AS (SELECT root, sum(w) AS total FROM top JOIN wt USING (node) GROUP BY 1), low AS (SELECT node, sum(w) AS side FROM (SELECT above AS node, wt.w FROM up JOIN wt ON wt.node = up.node UNION ALL SELECT node, w FROM wt) GROUP BY 1)"""
+
+
+def _forest(spark, d):
+    """Each chosen point tied to the smallest of its neighbours before it; the samples of a point are its weight."""
+    points = settle(registry._some(spark, d), "points")
+    pairs = support.neighbour_pairs(points, support.half_window(1, 1), ["point_id"])
+    edges = pairs.groupBy(F.greatest("a_point_id", "b_point_id").alias("v")).agg(F.min(F.least("a_point_id", "b_point_id")).alias("u"))
+    weights = S.samples(spark, d).groupBy(F.col("point_id").alias("node")).agg(F.sum("amp").cast("long").alias("w"))
+    return edges.select("u", "v"), weights
+
+
+@query(_recursive("samples", "chosen") + _PARENTS + " SELECT par.u, par.v, CAST(least(side, total - side) AS BIGINT) AS smaller, CAST(total AS BIGINT) AS total FROM par JOIN low ON low.node = par.v JOIN top ON top.node = par.v JOIN tot USING (root)")
+def tree_bottlenecks(spark, d):
+    """What hangs on each edge of a forest of the grid."""
+    return forests.bottlenecks(*_forest(spark, d))
+
+
+@query()
+def piece_bottlenecks(spark, d):
+    """Points that hang on each vote of the surest forest of the pieces of each interferogram."""
+    pieces, votes = registry._pieces(spark, d)
+    return unwrap.piece_bottlenecks(settle(votes, "votes"), pieces)
+
+
 # Gradients, closures and series.
 
 
