@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import ambiguity
+from fringeflow.operators.network import cycle_basis
 
 
 def cycle_closures(ifgs: DataFrame, cycles: list[list[tuple[int, int]]]) -> DataFrame:
@@ -67,23 +69,106 @@ def least_correction(cycles: list[list[tuple[int, int]]], wanted: list[int], mos
     return best
 
 
-def sparse_corrections(patterns: DataFrame, cycles: list[list[tuple[int, int]]]) -> DataFrame:
+def least_network_correction(links: list[tuple[int, int]], wanted: list[int], most: int = 2) -> tuple[list[int], int] | None:
+    """``least_correction`` for all fundamental cycles of a network, and its total size, proven least by a flow of the same value.
+
+    Numbers whose cycle sums are given differ by what node potentials add, so the smallest total is a network program:
+    its dual is a circulation of at most one unit an edge, and more where an edge is at ``most``. Units are sent along
+    negative cycles until there is none; the flow then says of each edge whether its number is zero, positive or
+    negative in every best answer, and shortest paths give the range that is left to each, which edges take in order, the
+    smallest size first. No search is needed, whatever the number of edges.
+    """
+    basis = cycle_basis(links)
+    nodes = sorted({n for link in links for n in link})
+    place = {n: k for k, n in enumerate(nodes)}
+    tail, head = (np.array([place[link[k]] for link in links]) for k in (0, 1))
+    base = np.zeros(len(links), np.int64)
+    for cycle, w in zip(basis, wanted):
+        base[cycle[0][0]] = w  # a cycle's first edge is in no other cycle
+    flow, value = np.zeros(len(links), np.int64), 0
+    edges = np.arange(len(links))
+    source, target = np.concatenate([tail, head]), np.concatenate([head, tail])
+    while True:
+        # x - base = p[head] - p[tail]; what the flow allows x to be at most and at least.
+        upper = np.where(flow >= 1, most, np.where(flow <= -2, -most, 0))
+        lower = np.where(flow <= -1, -most, np.where(flow >= 2, most, 0))
+        length = np.concatenate([upper - base, base - lower])
+        cycle = _negative_cycle(len(nodes), source, target, length)
+        if cycle is None:
+            break
+        value -= int(length[cycle].sum())
+        if value > most * len(links):
+            return None  # no answer within the bound costs as much
+        np.add.at(flow, cycle % len(edges), np.where(cycle < len(edges), 1, -1))
+    far = np.full((len(nodes), len(nodes)), np.inf)
+    np.fill_diagonal(far, 0)
+    np.minimum.at(far, (source, target), length)
+    for k in range(len(nodes)):
+        far = np.minimum(far, far[:, k, None] + far[k])
+    out = []
+    for e in edges:
+        i, j = tail[e], head[e]
+        low, high = base[e] - far[j, i], base[e] + far[i, j]
+        x = int(min(max(0, low), high))
+        out.append(x)
+        step = x - base[e]
+        far = np.minimum(far, np.minimum(far[:, i, None] + step + far[j], far[:, j, None] - step + far[i]))
+    if sum(map(abs, out)) != value:
+        raise ValueError("the correction is not proven least")
+    return out, value
+
+
+def _negative_cycle(nodes: int, source: np.ndarray, target: np.ndarray, length: np.ndarray) -> np.ndarray | None:
+    """Numbers of the arcs of a cycle of negative length, or none (Bellman and Ford, all arcs at once)."""
+    dist, came = np.zeros(nodes, np.int64), np.full(nodes, -1)
+    for _ in range(nodes + 1):
+        through = dist[source] + length
+        best = dist.copy()
+        np.minimum.at(best, target, through)
+        moved = best < dist
+        if not moved.any():
+            return None
+        arcs = np.flatnonzero((through == best[target]) & moved[target])
+        came[target[arcs]] = arcs
+        dist = best
+    # Walking back from a node that still moved ends in a cycle of arcs that shortened each other.
+    at = int(np.flatnonzero(moved)[0])
+    for _ in range(nodes):
+        at = int(source[came[at]])
+    cycle, node = [], at
+    while not cycle or node != at:
+        cycle.append(int(came[node]))
+        node = int(source[came[node]])
+    return np.array(cycle)
+
+
+def sparse_corrections(patterns: DataFrame, cycles: list[list[tuple[int, int]]], links: list[tuple[int, int]] | None = None) -> DataFrame:
     """``pattern, pair_id, correction`` for each distinct pattern of cycle sums that is not all zero.
 
-    Each pattern is solved once, however many points share it, within two turns or, where that fails, within the larger
-    of four and twice its largest sum and two. A pattern that stays unsolved is a row with nulls.
+    Each pattern is solved once, in whichever task it falls to and however many points share it, within two turns or, where that
+    fails, within the larger of four and twice its largest sum and two. A pattern that stays unsolved is a row with nulls.
+    Where ``cycles`` are the ``cycle_basis`` of ``links``, any number of edges is solved as a network program; other
+    cycles, a few edges, are searched.
     """
-    edges = sorted({e for cycle in cycles for e, _ in cycle})
+    if links is not None and cycles != cycle_basis(links):
+        raise ValueError("the cycles are not the basis of these links")
+
+    def least(wanted: list[int], most: int) -> list[tuple[int, int]] | None:
+        if links is None:
+            found = least_correction(cycles, wanted, most)
+            return None if found is None else list(zip(sorted({e for cycle in cycles for e, _ in cycle}), found))
+        solved = least_network_correction(links, wanted, most)
+        return None if solved is None else list(enumerate(solved[0]))
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for pattern in batch["pattern"]:
                 wanted = [-int(v) for v in pattern.split(",")]
-                found = least_correction(cycles, wanted)
+                found = least(wanted, 2)
                 if found is None:
-                    found = least_correction(cycles, wanted, max(4, 2 * max(map(abs, wanted)) + 2))
-                rows += [(pattern, e, v) for e, v in zip(edges, found) if v] if found is not None else [(pattern, None, None)]
+                    found = least(wanted, max(4, 2 * max(map(abs, wanted)) + 2))
+                rows += [(pattern, e, v) for e, v in found if v] if found is not None else [(pattern, None, None)]
             yield pd.DataFrame(rows, columns=["pattern", "pair_id", "correction"]).astype({"pattern": object, "pair_id": "Int32", "correction": "Int32"})
 
     return patterns.select("pattern").distinct().mapInPandas(solve, "pattern string, pair_id int, correction int")

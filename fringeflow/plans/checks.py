@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import glrt_threshold, nonzero_sample, tidy
-from fringeflow.operators import amplitude, audits, coherence, forests, linking, network, series, similarity, spatial, support, unwrap
+from fringeflow.operators import amplitude, audits, coherence, corrections, forests, linking, network, series, similarity, spatial, support, unwrap
 from fringeflow.plans import oracle, registry, temporal
 from fringeflow.plans import scene as S
 from fringeflow.plans.lineage import settle, shared_path
@@ -88,6 +88,20 @@ def wide_prior_counts(spark, d):
     return similarity.prior_counts(S.wide_samples(spark, d), S.WIDE_EPOCHS, 5, 5)
 
 
+_WIDE_PAIRS = [(i, j) for i in range(S.WIDE_EPOCHS) for j in (i + 1, i + 2, i + 3) if j < S.WIDE_EPOCHS]
+
+
+@query()
+def wide_sparse_corrections(spark, d):
+    """The least corrections of 38 epochs in 108 pairs, for every pattern of turns around their 71 cycles."""
+    samples = S.wide_samples(spark, d)
+    whole = samples.groupBy("point_id").agg(F.count("*").alias("n")).where(F.col("n") == S.WIDE_EPOCHS).select("point_id")
+    ifgs = unwrap.virtual_ifgs(samples.join(whole, "point_id", "left_semi").select("point_id", "t", "phase"), unwrap.pair_table(spark, _WIDE_PAIRS))
+    cycles = network.cycle_basis(_WIDE_PAIRS)
+    turns = unwrap.integer_closures(corrections.cycle_closures(ifgs, cycles))
+    return corrections.sparse_corrections(unwrap.correction_patterns(turns), cycles, _WIDE_PAIRS)
+
+
 # Rasters.
 
 _SINGLE = "round(CAST(CAST({0} AS FLOAT) AS DOUBLE), 3) + 0.0 AS {0}"

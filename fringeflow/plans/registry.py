@@ -532,7 +532,7 @@ def integer_gauge(spark, d):
 
 @query()
 def sparse_corrections(spark, d):
-    return corrections.sparse_corrections(unwrap.correction_patterns(_cycle_integers(spark, d)), CYCLES)
+    return corrections.sparse_corrections(unwrap.correction_patterns(_cycle_integers(spark, d)), CYCLES, PAIRS)
 
 
 @query(build(f"""{_CYCLE_SQL},

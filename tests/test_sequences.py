@@ -2,9 +2,11 @@
 
 import math
 import random
+import time
 from itertools import product
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from fringeflow.operators import coherence, corrections, network, sequential, series, similarity
@@ -50,6 +52,37 @@ def test_history_distance(spark):
     assert similarity.ks_probability(1.0, 50) < 1e-9
 
 
+@pytest.mark.parametrize("links", [[(0, 1), (1, 2), (0, 2), (2, 3), (1, 3)], [(0, 1), (0, 2), (1, 2), (1, 3), (2, 3), (2, 4), (3, 4), (5, 6), (6, 7), (5, 7)], [(3, 0), (0, 1), (2, 1), (2, 3), (0, 2), (4, 0)]])
+def test_network_corrections_are_those_of_the_search(links):
+    rng = random.Random(len(links))
+    cycles = network.cycle_basis(links)
+    for _ in range(60):
+        wanted = [rng.randint(-3, 3) for _ in cycles]
+        for most in (1, 2, 4):
+            best, got = corrections.least_correction(cycles, wanted, most), corrections.least_network_correction(links, wanted, most)
+            if best is None:
+                assert got is None
+                continue
+            assert got[1] == sum(map(abs, best)) == sum(map(abs, got[0]))
+            edges = sorted({e for c in cycles for e, _ in c})
+            assert [got[0][e] for e in edges] == best and not any(v for e, v in enumerate(got[0]) if e not in edges)
+
+
+def test_network_corrections_of_production_size():
+    links = [(i, j) for i in range(38) for j in (i + 1, i + 2, i + 3) if j < 38]
+    cycles = network.cycle_basis(links)
+    assert len(links) == 108 and len(cycles) == 71
+    rng = random.Random(6)
+    began = time.perf_counter()
+    for n in range(20):
+        planted = [rng.choice([-2, -1, 1, 2]) if rng.random() < (n + 1) / 60 else 0 for _ in links]
+        wanted = [sum(s * planted[e] for e, s in c) for c in cycles]
+        x, total = corrections.least_network_correction(links, wanted)
+        assert [sum(s * x[e] for e, s in c) for c in cycles] == wanted
+        assert total == sum(map(abs, x)) <= sum(map(abs, planted))
+    assert time.perf_counter() - began < 20
+
+
 def test_least_corrections():
     cycles = [[(0, 1), (1, 1), (2, -1)], [(2, 1), (3, 1), (4, -1)], [(1, 1), (3, 1), (5, -1)]]
     for wanted in product((-1, 0, 1), repeat=3):
