@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,15 +91,120 @@ def occupancy_degrees(points: DataFrame) -> DataFrame:
     return points.select("point_id").join(counts, "point_id", "left").select("point_id", F.coalesce("degree4", F.lit(0)).alias("degree4"), F.coalesce("degree8", F.lit(0)).alias("degree8"))
 
 
-def nearest_in_main(points: DataFrame, labels: DataFrame, most_radius: int) -> DataFrame:
-    """``p, q, chebyshev``: for each point outside the main component the nearest point in it by the larger cell offset."""
+_STEP = 1 << 40  # a cell's value is its distance and then the point it leads to, so the smaller of two is the nearer, ties by point
+_FAR = 1 << 62
+_SIDES = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0)]
+_OWN = len(_SIDES)
+
+
+def _sweep(cells: np.ndarray) -> np.ndarray:
+    """Values carried down, up and along the rows, a step for each cell to any of eight neighbours.
+
+    A shortest way never turns back in its rows, so both directions once are exact; it ends at every nearest point, as
+    the nearest points of a cell are those of its neighbours that are one step nearer.
+    """
+    ramp = np.arange(cells.shape[1]) * _STEP
+    for order in (range(len(cells)), range(len(cells) - 1, -1, -1)):
+        last = None
+        for i in order:
+            row = cells[i]
+            if last is not None:
+                row = np.minimum(row, last + _STEP)
+                row[1:] = np.minimum(row[1:], last[:-1] + _STEP)
+                row[:-1] = np.minimum(row[:-1], last[1:] + _STEP)
+            row = np.minimum.accumulate(row - ramp) + ramp
+            row = (np.minimum.accumulate((row + ramp)[::-1]))[::-1] - ramp
+            last = cells[i] = np.minimum(row, _FAR)
+    return cells
+
+
+def _edge(size: int, side: int) -> slice:
+    return slice(0, 1) if side < 0 else slice(size - 1, size) if side > 0 else slice(0, size)
+
+
+def _step_of(tile: tuple[int, int]):
+    """A tile's cells brought up to date with the borders of its neighbours."""
+
+    def step(rows: pd.DataFrame) -> pd.DataFrame:
+        held = np.full((tile[0] + 2, tile[1] + 2), _FAR)
+        inner = held[1:-1, 1:-1]
+        for side, data in zip(rows["side"], rows["data"]):
+            if side == _OWN:
+                inner[:] = np.frombuffer(data, np.int64).reshape(tile)
+            else:
+                a, b = _SIDES[side]
+                place = held[slice(1, -1) if a == 0 else _edge(tile[0] + 2, a), slice(1, -1) if b == 0 else _edge(tile[1] + 2, b)]
+                place[:] = np.frombuffer(data, np.int64).reshape(place.shape)
+        before = inner.copy()
+        _sweep(held)
+        changed = any((inner[_edge(tile[0], a), _edge(tile[1], b)] != before[_edge(tile[0], a), _edge(tile[1], b)]).any() for a, b in _SIDES)
+        return pd.DataFrame({"tr": [rows["tr"].iloc[0]], "tc": [rows["tc"].iloc[0]], "data": [inner.tobytes()], "changed": [changed]})
+
+    return step
+
+
+def _start_of(tile: tuple[int, int]):
+    def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for points in batch["points"]:
+                cells = np.full(tile, _FAR)
+                if points is not None:
+                    for p in points:
+                        at = (p["r"] % tile[0], p["c"] % tile[1])
+                        cells[at] = min(cells[at], p["point_id"])
+                out.append(_sweep(cells).tobytes())
+            yield batch[["tr", "tc"]].assign(data=out, changed=[x is not None for x in batch["points"]])
+
+    return start
+
+
+def _borders_of(tile: tuple[int, int]):
+    def borders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for tr, tc, data in zip(batch["tr"], batch["tc"], batch["data"]):
+                cells = np.frombuffer(data, np.int64).reshape(tile)
+                rows += [(tr + a, tc + b, _SIDES.index((-a, -b)), cells[_edge(tile[0], a), _edge(tile[1], b)].tobytes()) for a, b in _SIDES]
+            yield pd.DataFrame(rows, columns=["tr", "tc", "side", "data"])
+
+    return borders
+
+
+def nearest_in_main(points: DataFrame, labels: DataFrame, tile: tuple[int, int] = (128, 128)) -> DataFrame:
+    """``p, q, chebyshev``: for each point outside the main component the nearest point in it by the larger cell offset, however far.
+
+    Distances spread over all cells, tile by tile: each tile is swept by itself, then again with the borders that its
+    neighbours changed, until no border changes. A round costs the tiles beside a change, and the number of rounds is that of
+    tiles between a point and the component. Ties take the smallest point. Points are numbered below 2**40.
+    """
+    cell = [F.floor(F.col("r") / tile[0]).cast("int").alias("tr"), F.floor(F.col("c") / tile[1]).cast("int").alias("tc")]
     placed = points.join(labels, "point_id").crossJoin(F.broadcast(main_component(component_sizes(labels))))  # one row
-    size = most_radius + 1
-    cell = placed.withColumn("cr", F.expr(f"r div {size}")).withColumn("cc", F.expr(f"c div {size}"))
-    main = cell.where("component = main").select(F.col("point_id").alias("q"), F.col("r").alias("qr"), F.col("c").alias("qc"), "cr", "cc")
-    around = F.array(*[F.struct((F.col("cr") + a).alias("cr"), (F.col("cc") + b).alias("cc")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
-    rest = cell.where("component <> main").select(F.col("point_id").alias("p"), "r", "c", F.inline(around))
-    far = F.greatest(F.abs(F.col("r") - F.col("qr")), F.abs(F.col("c") - F.col("qc")))
-    met = rest.join(main, ["cr", "cc"]).withColumn("far", far).where(F.col("far") <= most_radius)
-    best = met.groupBy("p").agg(F.min(F.struct("far", "q")).alias("best"))
-    return best.select("p", F.col("best.q").alias("q"), F.col("best.far").alias("chebyshev"))
+    placed = settle(placed.select("point_id", F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), (F.col("component") == F.col("main")).alias("inside"), *cell), "distance-point")
+    box = placed.agg(*[f(k).alias(f"{n}_{k}") for k in ("tr", "tc") for n, f in (("low", F.min), ("high", F.max))], F.min("point_id").alias("least"), F.max("point_id").alias("most")).head()
+    if box["low_tr"] is None:
+        return placed.select(F.col("point_id").alias("p"), F.col("point_id").alias("q"), F.lit(0).alias("chebyshev"))
+    if box["least"] < 0 or box["most"] >= _STEP:
+        raise ValueError("a point is not numbered below 2**40")
+    across = box["high_tc"] - box["low_tc"] + 1
+    every = points.sparkSession.range((box["high_tr"] - box["low_tr"] + 1) * across)
+    every = every.select((F.floor(F.col("id") / across) + box["low_tr"]).cast("int").alias("tr"), (F.col("id") % across + box["low_tc"]).cast("int").alias("tc"))
+    own = placed.where("inside").groupBy("tr", "tc").agg(F.collect_list(F.struct("r", "c", "point_id")).alias("points"))  # at most a tile's cells
+    kept = "tr int, tc int, data binary, changed boolean"
+    state = settle(every.join(own, ["tr", "tc"], "left").mapInPandas(_start_of(tile), kept), "distance-tile")
+    inside = F.col("tr").between(box["low_tr"], box["high_tr"]) & F.col("tc").between(box["low_tc"], box["high_tc"])
+    while not state.where("changed").isEmpty():
+        told = settle(state.where("changed").mapInPandas(_borders_of(tile), "tr int, tc int, side int, data binary").where(inside), "distance-border")
+        beside = told.select("tr", "tc").distinct()
+        rows = told.unionByName(state.join(beside, ["tr", "tc"], "left_semi").select("tr", "tc", F.lit(_OWN).alias("side"), "data"))
+        rest = state.join(beside, ["tr", "tc"], "left_anti").withColumn("changed", F.lit(False))
+        state = settle(rows.groupBy("tr", "tc").applyInPandas(_step_of(tile), kept).unionByName(rest), "distance-tile")
+
+    def look(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(held):
+            return pd.DataFrame({"p": [], "q": [], "chebyshev": []}).astype("int64")
+        found = np.frombuffer(held["data"].iloc[0], np.int64).reshape(tile)[asked["r"].to_numpy() % tile[0], asked["c"].to_numpy() % tile[1]]
+        return pd.DataFrame({"p": asked["point_id"], "q": found % _STEP, "chebyshev": (found // _STEP).astype(np.int32)})
+
+    asked = placed.where("NOT inside").select("tr", "tc", "point_id", "r", "c")
+    return asked.groupBy("tr", "tc").cogroup(state.select("tr", "tc", "data").groupBy("tr", "tc")).applyInPandas(look, "p long, q long, chebyshev int")

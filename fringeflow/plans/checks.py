@@ -326,9 +326,9 @@ def epoch_fragments(spark, d):
     return audits.epoch_fragments(unwrap.safe_fragments(grads, phases))
 
 
-@query(build("SELECT a.point_id AS p, b.point_id AS q, greatest(abs(a.r - b.r), abs(a.c - b.c)) AS chebyshev FROM (SELECT point_id, r, c FROM comp JOIN chosen USING (point_id) WHERE component <> (SELECT main FROM main)) a JOIN (SELECT point_id, r, c FROM comp JOIN chosen USING (point_id) WHERE component = (SELECT main FROM main)) b ON abs(a.r - b.r) <= 30 AND abs(a.c - b.c) <= 30 QUALIFY row_number() OVER (PARTITION BY a.point_id ORDER BY greatest(abs(a.r - b.r), abs(a.c - b.c)), b.point_id) = 1", "comp", "chosen", "main"))
+@query(build("SELECT a.point_id AS p, b.point_id AS q, greatest(abs(a.r - b.r), abs(a.c - b.c)) AS chebyshev FROM (SELECT point_id, r, c FROM comp JOIN chosen USING (point_id) WHERE component <> (SELECT main FROM main)) a JOIN (SELECT point_id, r, c FROM comp JOIN chosen USING (point_id) WHERE component = (SELECT main FROM main)) b ON true QUALIFY row_number() OVER (PARTITION BY a.point_id ORDER BY greatest(abs(a.r - b.r), abs(a.c - b.c)), b.point_id) = 1", "comp", "chosen", "main"))
 def nearest_in_main(spark, d):
     """The nearest point of the main component for each point outside it."""
     points = settle(registry._some(spark, d), "points")
-    return spatial.nearest_in_main(points, spatial.grid_components(points, 1), 30)
+    return spatial.nearest_in_main(points, spatial.grid_components(points, 1), (32, 32))
 
