@@ -119,6 +119,13 @@ def safe_fragments(grads: DataFrame, ifgs: DataFrame) -> DataFrame:
     return pair_components(grads.where(F.abs("g") <= SAFE), ifgs)
 
 
+def safe_conflicts(grads: DataFrame, values: DataFrame) -> DataFrame:
+    """``pair_id, u, v, jump`` of the edges that are safe, yet across which ``values(pair_id, point_id, value)`` jump by whole turns."""
+    at = lambda name: values.select("pair_id", F.col("point_id").alias(name), F.col("value").alias(f"value_{name}"))
+    met = grads.where(F.abs("g") <= SAFE).join(at("u"), ["pair_id", "u"]).join(at("v"), ["pair_id", "v"])
+    return met.select("pair_id", "u", "v", ambiguity(F.col("value_v") - F.col("value_u") - F.col("g")).alias("jump")).where("jump <> 0")
+
+
 def unwrap_fragments(ifgs: DataFrame, grads: DataFrame, fragments: DataFrame, points: DataFrame, tile: tuple[int, int] = (128, 256)) -> DataFrame:
     """``pair_id, point_id, tile, root, unwrapped``: phase integrated along safe edges inside tiles of the grid.
 

@@ -622,11 +622,12 @@ def conflict_recurrence(spark, d):
     return amplitude.two_way_threshold_counts(hits, "hits", [2, 3, 4, 5, 6, 7, 8])
 
 
-@query("WITH RECURSIVE " + build("", "grad").removeprefix("WITH ").rstrip() + f", e AS (SELECT pair_id, u, v FROM grad WHERE abs(g) > 0.95::DOUBLE * {oracle.PI}::DOUBLE), b AS (SELECT pair_id, u, v FROM e UNION ALL SELECT pair_id, v, u FROM e), w AS (SELECT pair_id, u AS node, u AS root FROM b UNION SELECT w.pair_id, b.v, w.root FROM w JOIN b ON b.u = w.node AND b.pair_id = w.pair_id), l AS (SELECT pair_id, node, min(root) AS component FROM w GROUP BY 1, 2) SELECT pair_id, component, count(*) AS size FROM l GROUP BY 1, 2")
+@query("WITH RECURSIVE " + build("", "grad", "ifg").removeprefix("WITH ").rstrip() + f", e AS (SELECT g.pair_id, u, v FROM grad g JOIN ifg a ON a.pair_id = g.pair_id AND a.point_id = u JOIN ifg b ON b.pair_id = g.pair_id AND b.point_id = v WHERE abs(g) <= {oracle.PI}::DOUBLE / 2 AND round_even((b.phase - a.phase - g) / {oracle.TAU}::DOUBLE, 0) <> 0), b AS (SELECT pair_id, u, v FROM e UNION ALL SELECT pair_id, v, u FROM e), w AS (SELECT pair_id, u AS node, u AS root FROM b UNION SELECT w.pair_id, b.v, w.root FROM w JOIN b ON b.u = w.node AND b.pair_id = w.pair_id), l AS (SELECT pair_id, node, min(root) AS component FROM w GROUP BY 1, 2) SELECT pair_id, component, count(*) AS size FROM l GROUP BY 1, 2")
 def conflict_clusters(spark, d):
-    """Points joined by the steepest edges of each interferogram, all labelled in one run."""
-    steep = _grads(spark, d).where(F.abs("g") > 0.95 * 3.141592653589793)
-    return unwrap.fragment_sizes(unwrap.pair_components(steep))
+    """Points joined by safe edges across which the values jump by whole turns, each interferogram's phases taken as its values."""
+    ifgs = _ifgs(spark, d)
+    jumps = unwrap.safe_conflicts(unwrap.gradients(ifgs, _knn(spark, d)), ifgs.withColumnRenamed("phase", "value"))
+    return unwrap.fragment_sizes(unwrap.pair_components(jumps))
 
 
 _GRAD_STATS = f", gs AS (SELECT pair_id, count(*) AS edges, avg(abs(g)) AS mean_abs, avg(CAST(abs(g) > {oracle.PI}::DOUBLE / 2 AS INT)) AS frac_pi2, quantile_cont(abs(g), 0.9) AS p90 FROM grad GROUP BY 1)"
