@@ -13,9 +13,8 @@ tables each side would shift all lengths alike.
 
 A document's counts of words beyond each of ``LEVELS`` saved bytes and of passages beyond each of
 ``PASSAGE_LEVELS`` are weighed by a logistic model. It is fitted on documents scored with dictionaries that
-the other ``FOLDS - 1`` folds trained; the dictionaries that stay are trained on all folds. One ordinary document in
-``RESERVE`` trains no dictionary and no weight: on them the threshold is calibrated, so that at most
-``MOST_FALSE`` of them, one at least, pass it. Copies and near-copies are taken once in training, or their chance words
+the other ``FOLDS - 1`` folds trained, and on scores of all ordinary documents, by weights that leave out their fold too, the threshold is
+calibrated, so that ``MOST_FALSE`` of them at most pass it; the dictionaries that stay are trained on all folds. A fold is a task. Copies and near-copies are taken once in training, or their chance words
 would pass for toxic ones.
 
 Words are cut at ``WINDOW_BYTES``, with an overlap of half, and followed by a carrier that both sides
@@ -29,25 +28,29 @@ whole text.
 
 Defined results: null and empty texts get the score of a text without windows;
 equal texts get equal scores; a null doc_id is never learned from and is not held out; a label table
-without toxic or without ordinary rows gives every text the share of toxic labels; labels that repeat a doc_id count
-as often as they come; an empty table gives an empty result; extra columns are ignored by the scores
+without toxic or without ordinary rows, or with too few for ``FOLDS``, gives every text the share of toxic labels; labels that repeat a doc_id count
+as often as they come in that share and are learned from once; of rows that share a doc_id the shortest text is learned from; an empty table gives an empty result; extra columns are ignored by the scores
 and kept by ``drop_toxic``.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fringeflow.plans.lineage import settle
+
 CLASS_ROWS = 3000
 CLASS_BYTES = 24 << 20
 DICTIONARY_BYTES = 16384
@@ -60,9 +63,8 @@ CARRIER = b"\x01carrier of one framed window of text\x02"
 LEAST_Z = 6.0
 LEAST_SHARE = 0.01
 LEAST_RATE = 3.0
-MOST_FALSE = 0.01
-FOLDS = 3
-RESERVE = 4
+MOST_FALSE = 0.005
+FOLDS = 8
 SEGMENT = 24
 WORDS = 400_000
 PASSAGES = 100_000
@@ -259,30 +261,48 @@ def _dictionaries(toxic: list[bytes], plain: list[bytes], share: float) -> Model
     return model
 
 
-def learn(rows: list[tuple[bytes, int, int]], share: float) -> Model:
-    """A model from ``rows``: text, toxic 0/1, and a hash. share: of toxic labels."""
-    rows = _once(rows)
-    reserve = [t for t, x, h in rows if x == 0 and h % RESERVE == 0]
-    rest = [(t, x, h // RESERVE % FOLDS) for t, x, h in rows if x == 1 or h % RESERVE]
-    if not reserve or any({x for _, x, f in rest if f != fold} != {0, 1} for fold in range(FOLDS)):
-        return Model(base=share)
-    held, labels = [], []
-    for fold in range(FOLDS):
-        others = [[t for t, x, f in rest if f != fold and x == c] for c in (1, 0)]
-        distance = Distance(_dictionaries(*others, share))
-        held += [distance.features(t) for t, _, f in rest if f == fold]
-        labels += [x for _, x, f in rest if f == fold]
-    weights = _logistic(np.array(held), np.array(labels, float), share)
-    model = _dictionaries(*[[t for t, x, _ in rest if x == c] for c in (1, 0)], share)
+Row = tuple[bytes, int, int]
+
+
+def _fold(rows: list[Row], fold: int, share: float) -> tuple[Model | None, list[list[float]], list[int]]:
+    """Dictionaries of all folds but this, and features and labels of the documents of this; ``FOLDS`` is a fold of none."""
+    sides = [[t for t, x, h in rows if x == c and h % FOLDS != fold] for c in (1, 0)]
+    if not all(sides):
+        return None, [], []
+    model = _dictionaries(*sides, share)
     distance = Distance(model)
-    clean = np.sort(np.array([distance.features(t) for t in reserve]) @ weights)[::-1]
-    over = clean[math.ceil(MOST_FALSE * len(clean)) :]  # these must not pass
-    if len(over):  # the threshold goes up all the way, and down, where clean documents stay far below, a quarter of it
-        weights[0] -= float(max(over[0], over[0] / 4)) + 1e-6
+    own = [(t, x) for t, x, h in rows if h % FOLDS == fold]
+    return model, [distance.features(t) for t, _ in own], [x for _, x in own]
+
+
+def _weighed(model: Model, folds: list[tuple[list[list[float]], list[int]]], share: float) -> Model:
+    """The model with weights and threshold from features and labels of folds that trained none of their dictionaries.
+
+    The threshold comes from scores by weights that were not fitted on the document's own fold either.
+    """
+    folds = [(np.array(held), np.array(labels, float)) for held, labels in folds if labels]
+    join = lambda parts: (np.concatenate([h for h, _ in parts]), np.concatenate([y for _, y in parts]))
+    clean = []
+    for k, (held, labels) in enumerate(folds):
+        x, y = join(folds[:k] + folds[k + 1 :]) if len(folds) > 1 else (held, labels)
+        own = _logistic(x, y, share) if 0 < y.sum() < len(y) else np.zeros(x.shape[1])
+        clean += (held[labels == 0] @ own).tolist()
+    weights = _logistic(*join(folds), share)
+    clean = sorted(clean, reverse=True)
+    weights[0] -= clean[min(math.ceil(MOST_FALSE * len(clean)), len(clean) - 1)] + 1e-6
     model.weights = weights.tolist()
     return model
 
 
+def learn(rows: list[Row], share: float) -> Model:
+    """A model from ``rows``: text, toxic 0/1, and a hash. share: of toxic labels."""
+    rows = _once(rows)
+    found = [_fold(rows, fold, share) for fold in range(FOLDS + 1)]
+    if any(model is None for model, _, _ in found):
+        return Model(base=share)
+    return _weighed(found[FOLDS][0], [(held, own) for _, held, own in found], share)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, share: float, ridge: float = 0.3) -> np.ndarray:
     """Newton's method; classes are weighted back to their shares among all labels."""
     held = y.mean()
@@ -319,14 +339,39 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     draw = F.xxhash64("doc_id", F.lit(1))
     drawn = None
     for label in (0, 1):
-        one = marked.where(F.col("toxic") == label).withColumn("draw", draw).orderBy("draw", "doc_id").limit(CLASS_ROWS)
+        one = marked.where(F.col("toxic") == label).distinct().withColumn("draw", draw).orderBy("draw", "doc_id").limit(CLASS_ROWS)
         drawn = one if drawn is None else drawn.union(one)
-    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).join(F.broadcast(drawn), "doc_id")  # 2 x CLASS_ROWS ids
-    chosen = [r for label in (0, 1) for r in _within([(r["draw"], r["doc_id"], r["n"]) for r in sized.where(F.col("toxic") == label).collect()])]
-    chosen = docs.sparkSession.createDataFrame(chosen, "draw long, doc_id long, n long").select("doc_id", "draw")
-    texts = docs.select("doc_id", F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body")).join(F.broadcast(chosen), "doc_id").join(F.broadcast(drawn.select("doc_id", "toxic")), "doc_id")
-    rows = [(bytes(r["body"]), r["toxic"], r["draw"] >> 1) for r in texts.select("body", "toxic", "draw").toLocalIterator()]
-    return learn(sorted(rows, key=lambda r: (r[2], r[0])), share)
+    drawn = settle(drawn, "toxic-draw")
+    # Rows that share a doc_id are one document to learn from: the shortest text, the smallest of equals.
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    ids = F.broadcast(drawn.select("doc_id").distinct())  # at most 2 x CLASS_ROWS
+    sized = docs.select("doc_id", size.alias("n")).join(ids, "doc_id").groupBy("doc_id").agg(F.min("n").alias("n")).join(F.broadcast(drawn), "doc_id")
+    told = sized.select("toxic", "draw", "doc_id", "n").collect()
+    chosen = [(*r, label) for label in (0, 1) for r in _within([(r["draw"], r["doc_id"], r["n"]) for r in told if r["toxic"] == label])]
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(chosen, "draw long, doc_id long, n long, toxic int"))
+    body = F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("body")
+    texts = docs.select("doc_id", body).join(chosen, "doc_id").where(F.octet_length("body") == F.col("n"))
+    texts = settle(texts.groupBy("doc_id", "toxic", "draw").agg(F.min("body").alias("body")), "toxic-text")
+    return _learned(texts, share)
+
+
+def _learned(texts: DataFrame, share: float) -> Model:
+    """``learn`` with a task for each fold, to which all of the bounded sample goes; features and one model come back."""
+    folds = texts.select("body", "toxic", "draw", F.explode(F.sequence(F.lit(0), F.lit(FOLDS))).alias("fold"))
+
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = list(batches)
+        rows = pd.concat(whole) if whole else pd.DataFrame({"fold": []})
+        for fold, own in rows.groupby("fold"):
+            ordered = sorted(((bytes(b), int(x), int(d) >> 1) for b, x, d in zip(own["body"], own["toxic"], own["draw"])), key=lambda r: (r[2], r[0]))
+            model, held, labels = _fold(_once(ordered), int(fold), share)
+            yield pd.DataFrame({"fold": [fold], "model": [None if model is None or fold < FOLDS else pickle.dumps(model)], "held": [pickle.dumps((held, labels))], "some": [model is not None]})
+
+    # A fold for each partition: ranges of its number.
+    found = folds.repartitionByRange(FOLDS + 1, "fold").mapInPandas(parts, "fold int, model binary, held binary, some boolean").orderBy("fold").collect()
+    if len(found) <= FOLDS or not all(r["some"] for r in found):
+        return Model(base=share)
+    return _weighed(pickle.loads(found[-1]["model"]), [pickle.loads(r["held"]) for r in found], share)
 
 
 def _within(sized: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
