@@ -8,6 +8,8 @@ statistic is symmetric, so each pair is tested once and then told to both ends.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +121,62 @@ def state_core(support: DataFrame, counts: DataFrame, threshold: int, max_rounds
     raise RuntimeError(f"the state did not settle in {max_rounds} rounds")
 
 
+def _settled_cores(rows: pd.DataFrame) -> pd.DataFrame:
+    """Core numbers of a tile's centres while those of all other points stay as they are."""
+    centres, at = np.unique(rows["center_id"].to_numpy(), return_inverse=True)
+    near, value = rows["neighbor_id"].to_numpy(), rows["core"].to_numpy(np.int64).copy()
+    own = np.minimum(np.searchsorted(centres, near), len(centres) - 1)
+    inside = centres[own] == near
+    core = np.zeros(len(centres), np.int64)
+    core[at] = rows["own"].to_numpy(np.int64)
+    first = np.searchsorted(np.sort(at), np.arange(len(centres)))
+    while True:
+        value[inside] = core[own[inside]]
+        order = np.lexsort((-value, at))
+        found = np.zeros(len(centres), np.int64)
+        np.maximum.at(found, at[order], np.minimum(value[order], np.arange(len(order)) - first[at[order]] + 1))
+        found = np.minimum(found, core)
+        if (found == core).all():
+            return pd.DataFrame({"point_id": centres, "now": core})
+        core = found
+
+
+def core_numbers(support: DataFrame, counts: DataFrame, tiles: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """``point_id, core``: the largest threshold at which ``state_core`` holds the point, for every point of ``counts``.
+
+    A point's number starts as its count of neighbours and becomes, again and again, the largest h such that h of its
+    neighbours have h or more; it never falls below the answer, whatever the order, and stops there. So one run answers
+    all thresholds. ``tiles(point_id, tile)`` names groups of neighbouring points of bounded size: a tile is brought to rest by
+    itself, and a round looks again at the tiles beside a change.
+    """
+    edges = settle(support.select("center_id", "neighbor_id").join(tiles.withColumnRenamed("point_id", "center_id"), "center_id"), "core-edges")
+    core = settle(counts.select(F.col("center_id").alias("point_id"), F.col("k").cast("long").alias("core")), "core")
+    alone = core.join(edges.select(F.col("center_id").alias("point_id")).distinct(), "point_id", "left_anti").select("point_id", F.lit(0).cast("long").alias("core"))
+    core = settle(core.join(alone.select("point_id"), "point_id", "left_anti").union(alone), "core")
+    beside = edges.select("tile").distinct()
+    for _ in range(max_rounds):
+        at = lambda p, name: core.select(F.col("point_id").alias(p), F.col("core").alias(name))
+        values = edges.join(beside, "tile", "left_semi").join(at("neighbor_id", "core"), "neighbor_id", "left").join(at("center_id", "own"), "center_id")
+        found = values.select("tile", "center_id", "neighbor_id", F.coalesce("core", F.lit(0).cast("long")).alias("core"), "own").groupBy("tile").applyInPandas(_settled_cores, "point_id long, now long")
+        told = settle(core.join(found, "point_id", "left").select("point_id", "core", F.coalesce("now", "core").alias("now")), "core-round")
+        changed = told.where("now < core").select(F.col("point_id").alias("neighbor_id"))
+        core = told.select("point_id", F.col("now").alias("core"))
+        if changed.isEmpty():
+            return core
+        beside = settle(edges.join(changed, "neighbor_id", "left_semi").select("tile").distinct(), "core-tile")
+    raise RuntimeError(f"the core numbers did not settle in {max_rounds} rounds")
+
+
+def safe_thresholds(support: DataFrame, cores: DataFrame, least: int) -> DataFrame:
+    """``center_id, k, safe_threshold``: the largest threshold whose state leaves a centre ``least`` neighbours; null if none does.
+
+    That is the core number of its neighbour at that rank.
+    """
+    values = support.select("center_id", "neighbor_id").join(cores.withColumnRenamed("point_id", "neighbor_id"), "neighbor_id")
+    lists = values.groupBy("center_id").agg(F.sort_array(F.collect_list("core"), asc=False).alias("held"))
+    return lists.select("center_id", F.size("held").cast("long").alias("k"), F.nullif(F.get("held", F.lit(least - 1)), F.lit(0)).alias("safe_threshold"))
+
+
 def routing(stats: DataFrame, counts: DataFrame, effective: DataFrame, formal_k: int) -> DataFrame:
     """``point_id, route``: formal points with enough neighbours of the state are sequential, other formal ones fall back."""
     known = stats.join(counts.withColumnRenamed("center_id", "point_id"), "point_id", "left").join(effective.withColumnRenamed("center_id", "point_id"), "point_id", "left")

@@ -233,6 +233,32 @@ def pair_tags(spark, d):
     return audits.pair_tags(unwrap.pair_table(spark, PAIRS), epochs)
 
 
+_CORE_ROUNDS = 200
+_CORES = ", h0 AS (SELECT center_id AS point_id, k AS core FROM counts)" + "".join(
+    f", h{i} AS MATERIALIZED (SELECT c.point_id, least(c.core, coalesce(n.h, c.core)) AS core FROM h{i - 1} c LEFT JOIN (SELECT center_id AS point_id, max(least(core, place)) AS h FROM (SELECT e.center_id, p.core, row_number() OVER (PARTITION BY e.center_id ORDER BY p.core DESC) AS place FROM support e JOIN h{i - 1} p ON p.point_id = e.neighbor_id) GROUP BY 1) n USING (point_id))"
+    for i in range(1, _CORE_ROUNDS + 1)
+)
+
+
+def _cores(spark, d):
+    stats = settle(registry._stats(spark, d), "stats")
+    near = settle(registry._support(stats), "support")
+    tiles = stats.select("point_id", F.concat_ws("/", F.expr("r div 32").cast("string"), F.expr("c div 32").cast("string")).alias("tile"))
+    return near, settle(support.core_numbers(near, support.shp_count(stats, near), tiles), "cores")
+
+
+@query(build(f"{_CORES} SELECT point_id, CAST(core AS BIGINT) AS core FROM h{_CORE_ROUNDS}", "support", "counts"))
+def core_numbers(spark, d):
+    """For every point the largest threshold whose state holds it."""
+    return _cores(spark, d)[1]
+
+
+@query(build(f"{_CORES}, t AS (SELECT e.center_id, c.core, row_number() OVER (PARTITION BY e.center_id ORDER BY c.core DESC) AS place FROM support e JOIN h{_CORE_ROUNDS} c ON c.point_id = e.neighbor_id) SELECT center_id, count(*) AS k, CAST(nullif(max(core) FILTER (place = {S.FORMAL_K}), 0) AS BIGINT) AS safe_threshold FROM t GROUP BY 1", "support", "counts"))
+def state_rescue(spark, d):
+    """The largest threshold of the state that leaves each centre as many neighbours as linking asks for."""
+    return support.safe_thresholds(*_cores(spark, d), S.FORMAL_K)
+
+
 # Forests.
 
 _PARENTS = """, par AS (SELECT a.point_id AS v, min(b.point_id) AS u FROM chosen a JOIN chosen b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND b.point_id < a.point_id GROUP BY 1),

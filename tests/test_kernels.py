@@ -271,3 +271,28 @@ def test_piece_shifts_take_the_surest_forest(spark):
                 against = sum(at[b][1] + k != at[a][1] for a, b, k, *_ in own if p in (a, b))
                 want[pair, p] = (held[0], at[p][1] - at[held[0]][1], against)
     assert got == want
+
+
+def test_core_numbers_answer_every_threshold(spark):
+    rng = np.random.default_rng(21)
+    edges = {(int(a), int(b)) for a, b in rng.integers(0, 45, (330, 2)) if a != b}
+    edges |= {(b, a) for a, b in edges if (a + b) % 9}  # most ways, not all, go both ways
+    frame = spark.createDataFrame(sorted(edges), "center_id long, neighbor_id long")
+    degree = {p: sum(a == p for a, _ in edges) for p in range(46)}
+    counts = spark.createDataFrame(sorted(degree.items()), "center_id long, k long")
+    tiles = spark.createDataFrame([(p, f"{p % 4}") for p in degree], "point_id long, tile string")
+    cores = support.core_numbers(frame, counts, tiles)
+    got = {r.point_id: r.core for r in cores.collect()}
+    for threshold in range(1, max(degree.values()) + 1):
+        state = {p for p, k in degree.items() if k >= threshold}
+        while True:
+            kept = {p for p in state if sum(b in state for a, b in edges if a == p) >= threshold}
+            if kept == state:
+                break
+            state = kept
+        assert {p for p, c in got.items() if c >= threshold} == state
+    assert {r.point_id for r in support.state_core(frame, counts, 5).collect()} == {p for p, c in got.items() if c >= 5}
+    safe = {r.center_id: r.safe_threshold for r in support.safe_thresholds(frame, cores, 4).collect()}
+    for p in safe:
+        most = max((t for t in range(1, 30) if sum(got[b] >= t for a, b in edges if a == p) >= 4), default=None)
+        assert safe[p] == most
