@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fringeflow.operators.quantiles import medians, quantiles
@@ -59,8 +59,8 @@ def robust_sigma(values: DataFrame, key: str, y: str) -> DataFrame:
     return middle.join(medians(off, [key], "off", "mad"), key).select(key, "middle", (F.lit(1.4826) * F.col("mad")).alias("mad_sigma"))
 
 
-def reference_candidates(points: DataFrame, noise: str, network: str, half: int, top: int) -> DataFrame:
-    """``rank, r, c, score``: cells by 0.85 noise + 0.15 network, each scaled between its 5th and 95th percentile and averaged over a box."""
+def reference_scores(points: DataFrame, noise: str, network: str, half: int) -> DataFrame:
+    """``r, c, score`` of cells with a full box: 0.85 noise + 0.15 network, each scaled between its 5th and 95th percentile and averaged over the box."""
     points = settle(points, "candidate-point")
     ends = lambda x, name: quantiles(points, [], x, [0.05, 0.95]).select(F.col("p").alias(name))
     lim = ends(noise, "a").crossJoin(ends(network, "b"))  # one row each
@@ -68,10 +68,40 @@ def reference_candidates(points: DataFrame, noise: str, network: str, half: int,
     scored = points.crossJoin(F.broadcast(lim)).select("r", "c", (0.85 * scaled(noise, "a") + 0.15 * scaled(network, "b")).alias("own"))  # one row
     moves = F.array(*[F.struct((F.col("r") + a).alias("r"), (F.col("c") + b).alias("c")) for a in range(-half, half + 1) for b in range(-half, half + 1)])
     box = scored.select("own", F.inline(moves)).groupBy("r", "c").agg(F.avg("own").alias("score"), F.count("*").alias("n"))
-    full = box.where(F.col("n") == (2 * half + 1) ** 2).orderBy(F.round("score", 9), "r", "c").limit(top)
+    return box.where(F.col("n") == (2 * half + 1) ** 2).select("r", "c", "score")
+
+
+def reference_candidates(points: DataFrame, noise: str, network: str, half: int, top: int) -> DataFrame:
+    """``rank, r, c, score`` of the best cells by ``reference_scores``."""
+    full = reference_scores(points, noise, network, half).orderBy(F.round("score", 9), "r", "c").limit(top)
     return full.withColumn("rank", F.row_number().over(Window.orderBy(F.round("score", 9), "r", "c"))).select("rank", "r", "c", "score")
 
 
+def distinct_regions(scores: DataFrame, apart: int, top: int) -> DataFrame:
+    """``rank, r, c, score``: the best cells, of which any two are ``apart`` rows or columns away; what choosing one by one gives.
+
+    In each round the best cell left of each square of that size is taken if no better one left is too near, and what is too
+    near to those taken goes. Two cells of one square are too near, so a square gives one cell a round, and a round
+    compares it with the cells of nine squares.
+    """
+    cell = lambda k: F.floor(F.col(k) / apart)
+    order = F.struct(F.round("score", 9).alias("s"), "r", "c")
+    left = settle(scores.select("r", "c", "score", cell("r").alias("cr"), cell("c").alias("cc"), order.alias("order")), "region-left")
+    taken = left.select("r", "c", "score").where("false")
+    around = F.array(*[F.struct((F.col("cr") + a).alias("cr"), (F.col("cc") + b).alias("cc")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    near = F.greatest(F.abs(F.col("r") - F.col("own.r")), F.abs(F.col("c") - F.col("own.c"))) < apart
+    while not left.isEmpty():
+        best = settle(left.groupBy("cr", "cc").agg(F.min(F.struct("order", "score")).alias("best")).select("cr", "cc", F.col("best.order").alias("own"), F.col("best.score").alias("own_score")), "region-best")
+        beside = best.select("own", F.inline(around))
+        beaten = left.join(beside, ["cr", "cc"]).where(near & (F.col("order") < F.col("own"))).select("own").distinct()
+        now = settle(best.join(beaten, "own", "left_anti"), "region-taken")
+        taken = taken.union(now.select("own.r", "own.c", "own_score"))
+        gone = left.join(now.select("own", F.inline(around)), ["cr", "cc"]).where(near).select("order").distinct()
+        left = settle(left.join(gone, "order", "left_anti").select("r", "c", "score", "cr", "cc", "order"), "region-left")
+    first = taken.orderBy(F.round("score", 9), "r", "c").limit(top)
+    return first.withColumn("rank", F.row_number().over(Window.orderBy(F.round("score", 9), "r", "c"))).select("rank", "r", "c", "score")
+
+
 def vector_similarity(vectors: DataFrame, reach: int) -> DataFrame:
     """``vec_id, neighbors, median_similarity``: median cosine of a vector with those up to ``reach`` ids away."""
     unit = vectors.withColumn("norm", F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))))
@@ -96,6 +126,40 @@ def partial_fit(values: DataFrame, key: str, x: str, s: str, y: str) -> DataFram
     return m.select(key, "n", "k", F.sqrt(F.col("after") / (F.col("n") - 3) / F.col("rs")).alias("k_se"), F.sqrt("before").alias("rms_before"), F.sqrt("after").alias("rms_after"))
 
 
+def cross_validated_fit(values: DataFrame, key: str, x: str, s: str, y: str, part: Column) -> DataFrame:
+    """``key, n, corr, retained, vif, cv_reduced, cv_full``: can s be told from a trend over x, and does it help on rows held out?
+
+    ``corr`` is that of s and x, ``retained`` the share of s (as a root mean square) that the trend leaves, ``vif`` the
+    variance inflation. ``part`` deals rows to folds; the two errors are root mean squares over all held-out rows
+    of fits to the rest, by x alone and with s. One aggregation has the moments of each fold; a fit's are the total less its
+    fold, and a fold's error follows from its own moments. Null where a fit has too few rows or s is no more than the trend; rows all in one fold are left out.
+    """
+    names = {"1": F.lit(1.0), "x": F.col(x).cast("double"), "s": F.col(s).cast("double"), "y": F.col(y).cast("double")}
+    pairs = [(a, b) for i, a in enumerate(names) for b in list(names)[i:]]
+    moments = values.groupBy(key, part.alias("fold")).agg(*[F.sum(names[a] * names[b]).alias(f"g{a}{b}") for a, b in pairs])
+    total = moments.groupBy(key).agg(F.collect_list(F.struct("fold", *[f"g{a}{b}" for a, b in pairs])).alias("parts"), *[F.sum(f"g{a}{b}").alias(f"t{a}{b}") for a, b in pairs])
+
+    def centred(rows: DataFrame, head: str, to: str) -> DataFrame:
+        mean = {f"{to}m{a}": F.col(f"{head}1{a}") / F.col(f"{head}11") for a in "xsy"}
+        about = {f"{to}{a}{b}": F.col(f"{head}{a}{b}") - F.col(f"{head}1{a}") * F.col(f"{to}m{b}") for a, b in (("x", "x"), ("s", "s"), ("x", "s"), ("x", "y"), ("s", "y"))}
+        return rows.withColumns(mean).withColumns(about)
+
+    whole = centred(total, "t", "c").withColumn("rho", F.col("cxs") / F.sqrt(F.nullif(F.col("cxx") * F.col("css"), F.lit(0.0))))
+    fits = whole.select(key, "t11", "rho", *[f"t{a}{b}" for a, b in pairs], F.inline("parts")).withColumns({f"r{a}{b}": F.col(f"t{a}{b}") - F.col(f"g{a}{b}") for a, b in pairs})
+    fits = centred(fits.where("r11 > 0"), "r", "c").withColumn("left", F.col("css") - F.col("cxs") * F.col("cxs") / F.nullif(F.col("cxx"), F.lit(0.0)))
+    able = F.coalesce((F.col("r11") >= 3) & (F.col("cxx") > 0) & (F.col("left") > 1e-9), F.lit(False))
+    fits = fits.withColumn("able", able).withColumn("k", F.when(F.col("able"), (F.col("csy") - F.col("cxs") * F.col("cxy") / F.col("cxx")) / F.col("left")))
+    for name, slope in (("reduced", F.lit(0.0)), ("full", F.col("k"))):
+        fits = fits.withColumn("vs", slope).withColumn("vx", (F.col("cxy") - F.col("vs") * F.col("cxs")) / F.nullif(F.col("cxx"), F.lit(0.0)))
+        fits = fits.withColumn("v1", F.col("cmy") - F.col("vx") * F.col("cmx") - F.col("vs") * F.col("cms")).withColumn("vy", F.lit(-1.0))
+        # The squared errors of the held-out rows, from their own moments.
+        fits = fits.withColumn(name, sum((F.lit(1.0 if a == b else 2.0) * F.col(f"v{a}") * F.col(f"v{b}") * F.col(f"g{a}{b}") for a, b in pairs), F.lit(0.0)))
+    rms = lambda c: F.when(F.bool_and("able"), F.sqrt(F.greatest(F.sum(c), F.lit(0.0)) / F.first("t11")))
+    out = fits.groupBy(key).agg(F.first("t11").cast("long").alias("n"), F.first("rho").alias("corr"), rms("reduced").alias("cv_reduced"), rms("full").alias("cv_full"))
+    apart = F.greatest(1 - F.col("corr") * F.col("corr"), F.lit(0.0))
+    return out.select(key, "n", "corr", F.sqrt(apart).alias("retained"), (1 / F.nullif(apart, F.lit(0.0))).alias("vif"), "cv_reduced", "cv_full")
+
+
 def agreement(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
     """``key, agreement, median_abs``: length of the mean unit vector of phase differences, and their median size."""
     off = F.col(a) - F.col(b)

@@ -259,6 +259,42 @@ def state_rescue(spark, d):
     return support.safe_thresholds(*_cores(spark, d), S.FORMAL_K)
 
 
+# Reference regions and held-out fits.
+
+_APART, _TOP = 5, 12
+
+
+@query(_recursive("stats") + f"""
+, lim AS (SELECT quantile_cont(adi, [0.05, 0.95]) AS a, quantile_cont(scale2, [0.05, 0.95]) AS b FROM stats),
+own AS (SELECT r, c, 0.85::DOUBLE * least(greatest((adi - a[1]) / (a[2] - a[1]), 0), 1) + 0.15::DOUBLE * least(greatest((scale2 - b[1]) / (b[2] - b[1]), 0), 1) AS own FROM stats, lim),
+box AS (SELECT x.r + dr AS r, x.c + dc AS c, avg(own) AS score FROM own x, (SELECT unnest([-1, 0, 1]) AS dr) p, (SELECT unnest([-1, 0, 1]) AS dc) q GROUP BY 1, 2 HAVING count(*) = 9),
+ord AS MATERIALIZED (SELECT row_number() OVER (ORDER BY round(score, 9), r, c) AS k, r, c, score FROM box),
+g AS (SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS ks, CAST([] AS INT[]) AS rs, CAST([] AS INT[]) AS cs UNION ALL
+  SELECT o.k, CASE WHEN ok THEN list_append(ks, o.k) ELSE ks END, CASE WHEN ok THEN list_append(rs, o.r) ELSE rs END, CASE WHEN ok THEN list_append(cs, o.c) ELSE cs END
+  FROM (SELECT g.*, o.k AS k1, o.r AS r1, o.c AS c1, len(list_filter(list_zip(rs, cs), lambda x: greatest(abs(x[1] - o.r), abs(x[2] - o.c)) < {_APART})) = 0 AS ok FROM g JOIN ord o ON o.k = g.k + 1 WHERE len(ks) < {_TOP}) q JOIN ord o ON o.k = q.k1)
+SELECT CAST(row_number() OVER (ORDER BY k) AS INT) AS rank, r, c, {x6('score')} AS score FROM ord WHERE k IN (SELECT unnest(ks) FROM (SELECT ks FROM g ORDER BY k DESC LIMIT 1))""")
+def reference_regions(spark, d):
+    """The best reference cells, no two of them near each other."""
+    rows = series.distinct_regions(series.reference_scores(registry._stats(spark, d), "adi", "scale2", 1), _APART, _TOP)
+    return rows.select("rank", "r", "c", tidy(F.col("score")).alias("score"))
+
+
+_FOLDS = 3
+
+
+@query(build(f"""
+, w AS (SELECT point_id, count(*) AS n, corr(amp, t) AS rho FROM full_z GROUP BY 1),
+m AS (SELECT point_id, f, count(*) AS n, avg(t) AS mt, avg(amp) AS ms, avg(phase) AS my, covar_pop(t, t) AS xx, covar_pop(amp, amp) AS ss, covar_pop(t, amp) AS xs, covar_pop(t, phase) AS xy, covar_pop(amp, phase) AS sy FROM full_z, (SELECT unnest(generate_series(0, {_FOLDS - 1})) AS f) WHERE t % {_FOLDS} <> f GROUP BY 1, 2),
+k AS (SELECT *, n >= 3 AND xx > 0 AND n * (ss - xs * xs / xx) > 1e-9 AS able, CASE WHEN n * (ss - xs * xs / xx) > 1e-9 THEN (sy - xs * xy / xx) / (ss - xs * xs / xx) END AS k FROM m),
+e AS (SELECT z.point_id, bool_and(able) AS able, sqrt(avg(pow(phase - my - xy / xx * (t - mt), 2))) AS reduced, sqrt(avg(pow(phase - my - k * (amp - ms) - (xy - k * xs) / xx * (t - mt), 2))) AS whole FROM full_z z JOIN k ON k.point_id = z.point_id AND k.f = z.t % {_FOLDS} GROUP BY 1)
+SELECT point_id, n, {x6('rho')} AS corr, {x6('sqrt(1 - rho * rho)')} AS retained, round(1 / (1 - rho * rho), 4) + 0.0 AS vif, CASE WHEN able THEN round(reduced, 4) + 0.0 END AS cv_reduced, CASE WHEN able THEN round(whole, 4) + 0.0 END AS cv_full FROM w JOIN e USING (point_id)""", "full_z"))
+def held_out_fit(spark, d):
+    """Whether a point's amplitude explains its phase beyond a trend, on epochs that the fit has not seen."""
+    full = registry._full(spark, d).select("point_id", "t", "phase", "amp")
+    rows = series.cross_validated_fit(full, "point_id", "t", "amp", "phase", F.col("t") % _FOLDS)
+    return rows.select("point_id", "n", *[tidy(F.col(x)).alias(x) for x in ("corr", "retained")], *[tidy(F.col(x), 4).alias(x) for x in ("vif", "cv_reduced", "cv_full")])
+
+
 # Forests.
 
 _PARENTS = """, par AS (SELECT a.point_id AS v, min(b.point_id) AS u FROM chosen a JOIN chosen b ON abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1 AND b.point_id < a.point_id GROUP BY 1),

@@ -296,3 +296,44 @@ def test_core_numbers_answer_every_threshold(spark):
     for p in safe:
         most = max((t for t in range(1, 30) if sum(got[b] >= t for a, b in edges if a == p) >= 4), default=None)
         assert safe[p] == most
+
+
+def test_distinct_regions_are_the_serial_choice(spark):
+    rng = np.random.default_rng(31)
+    cells = {(int(r), int(c)): float(v) for r, c, v in zip(rng.integers(-5, 30, 300), rng.integers(0, 40, 300), np.round(rng.uniform(0, 1, 300), 2))}
+    frame = spark.createDataFrame([(r, c, v) for (r, c), v in cells.items()], "r int, c int, score double")
+    for apart, top in ((1, 500), (4, 500), (7, 6)):
+        want = []
+        for (r, c), v in sorted(cells.items(), key=lambda x: (x[1], x[0])):
+            if all(max(abs(r - a), abs(c - b)) >= apart for a, b, _ in want) and len(want) < top:
+                want.append((r, c, v))
+        assert [(x.r, x.c, x.score) for x in series.distinct_regions(frame, apart, top).orderBy("rank").collect()] == want
+
+
+def test_held_out_fits_against_refitting(spark):
+    rng = np.random.default_rng(41)
+    rows, want = [], {}
+    for p in range(12):
+        n = int(rng.integers(5, 30))
+        x, s = np.sort(rng.uniform(0, 9, n)), rng.normal(3, 2, n)
+        if p == 3:
+            s = 2 * x + 1  # nothing but the trend
+        y = 0.4 * x + (p % 3) * s + rng.normal(0, 0.3, n)
+        rows += [(p, float(a), float(b), float(c), i) for i, (a, b, c) in enumerate(zip(x, s, y))]
+        errors = np.zeros(2)
+        for f in range(4):
+            test = np.arange(n) % 4 == f
+            for m, cols in enumerate(([np.ones(n), x], [np.ones(n), x, s])):
+                a = np.stack(cols, axis=1)
+                fit = np.linalg.lstsq(a[~test], y[~test], rcond=None)[0]
+                errors[m] += ((y[test] - a[test] @ fit) ** 2).sum()
+        rho = np.corrcoef(x, s)[0, 1]
+        want[p] = (n, rho, np.sqrt(max(0, 1 - rho**2)), 1 / (1 - rho**2) if p != 3 else None, *np.sqrt(errors / n))
+    frame = spark.createDataFrame(rows, "p int, x double, s double, y double, i int")
+    for r in series.cross_validated_fit(frame, "p", "x", "s", "y", F.col("i") % 4).collect():
+        w = want[r.p]
+        assert r.n == w[0] and np.allclose([r["corr"], r.retained], w[1:3], atol=1e-6)
+        if r.p == 3:
+            assert r.cv_full is None
+        else:
+            assert np.allclose([r.vif, r.cv_reduced, r.cv_full], w[3:], rtol=1e-6)
