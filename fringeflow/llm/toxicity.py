@@ -367,8 +367,9 @@ def _learned(texts: DataFrame, share: float) -> Model:
             model, held, labels = _fold(_once(ordered), int(fold), share)
             yield pd.DataFrame({"fold": [fold], "model": [None if model is None or fold < FOLDS else pickle.dumps(model)], "held": [pickle.dumps((held, labels))], "some": [model is not None]})
 
-    # A fold for each partition: ranges of its number.
-    found = folds.repartitionByRange(FOLDS + 1, "fold").mapInPandas(parts, "fold int, model binary, held binary, some boolean").orderBy("fold").collect()
+    # A fold for each partition: ranges of its number. Sorted here, as a sort in Spark would train twice.
+    found = folds.repartitionByRange(FOLDS + 1, "fold").mapInPandas(parts, "fold int, model binary, held binary, some boolean").collect()
+    found.sort(key=lambda r: r["fold"])
     if len(found) <= FOLDS or not all(r["some"] for r in found):
         return Model(base=share)
     return _weighed(pickle.loads(found[-1]["model"]), [pickle.loads(r["held"]) for r in found], share)
