@@ -8,6 +8,11 @@ candidate, and the words there are aligned with the template in a band of
 ``BAND`` words around that diagonal. Reported are the template's share of matched
 words and the span of the document that they cover.
 
+Words that are missing, and words of the span beyond the template's number, both count against a match. Names and versions tell licenses apart
+(``TELLING``, and words with a dot in a number or right after "version"): the span must have those of the
+template in the same order and no others, so a notice of another license or version matches nothing rather than the nearest
+template. A notice that a text speaks of ("not released under the MIT License") is a match like any other.
+
 The index depends on the templates alone, so it is small whatever the input; every
 gram of every document is looked up, and nothing is capped. Templates are notices and whole license texts; others
 come as a mapping, or as a table ``(license, text)`` of at most ``TEMPLATE_BYTES`` (an error beyond), which every task indexes.
@@ -38,6 +43,9 @@ SHORT = GRAM + WINDOW + 2
 BAND = 8
 COVERAGE = 0.8
 TEMPLATE_BYTES = 64 << 20
+# Words that tell licenses apart.
+TELLING = frozenset(b"affero agpl apache artistic attribution boost bsd by by-nc by-nc-nd by-nc-sa by-nd by-sa cc eclipse gfdl gnu gpl isc lesser lgpl mit mozilla mpl nc nd noncommercial noderivatives sa sharealike zlib".split())
+_NUMBER = re.compile(rb"v?\d+(?:\.\d+)*")
 _WORD = re.compile(rb"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
 MATCHES = "doc_id long, license string, coverage double, matched int, template_words int, start_word int, end_word int"
 
@@ -60,6 +68,18 @@ TEMPLATES = {
     "MIT-text": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
     "BSD-2-Clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "BSD": "Released under the BSD License.",
+    "ISC": "Released under the ISC License.",
+    "CC-BY-3.0": "Licensed under CC BY 3.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "BSD-3-Clause-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
@@ -69,6 +89,17 @@ def words(text: bytes) -> list[bytes]:
     return _WORD.findall(text.lower())
 
 
+def telling(found: list[bytes]) -> list[bytes]:
+    """Those of the words that tell licenses apart, in order; a version without its leading v."""
+    out = []
+    for before, w in zip([b"", *found], found):
+        if w in TELLING:
+            out.append(w)
+        elif _NUMBER.fullmatch(w) and (b"." in w or w[:1] == b"v" or before in (b"version", b"v")):
+            out.append(w.removeprefix(b"v"))
+    return out
+
+
 def winnow(hashes: np.ndarray, window: int = WINDOW) -> list[int]:
     """Places of the least hash of each window, the last one of equals."""
     if len(hashes) <= window:
@@ -83,9 +114,11 @@ class Index:
         own = TEMPLATES if templates is None else templates
         self.names = sorted(own)
         self.number: dict[bytes, int] = {}
-        self.texts = []
+        self.texts, self.telling = [], []
         for name in self.names:
-            self.texts.append(np.array([self.number.setdefault(w, len(self.number) + 1) for w in words(own[name].encode())], np.int64))
+            found = words(own[name].encode())
+            self.texts.append(np.array([self.number.setdefault(w, len(self.number) + 1) for w in found], np.int64))
+            self.telling.append(telling(found))
         self.places = {2: defaultdict(list), GRAM: defaultdict(list)}
         for t, ids in enumerate(self.texts):
             size = 2 if len(ids) < SHORT else GRAM
@@ -124,7 +157,7 @@ class Index:
             last = (t, start)
             template = self.texts[t]
             matched, a, b = align(template, ids, start)
-            if matched >= COVERAGE * len(template):
+            if matched and matched >= COVERAGE * max(len(template), b - a) and telling(found[a:b]) == self.telling[t]:
                 matches.append((self.names[t], matched / len(template), matched, len(template), a, b))
         taken: list[int] = []  # first words of the places that stay, in order
         by_start = {}
