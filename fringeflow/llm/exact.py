@@ -58,9 +58,10 @@ def _runs(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple
     ident, norm = F.col(names[id_col]), normalised(F.col(names[text_col]))
     hot = _hot(own, ident, norm)
     others = [F.col(c) for c in names.values() if c != names[text_col]]
-    keyed = own.withColumn("head", F.substring(norm, 1, HEAD_CHARS)).withColumn("mark", F.xxhash64(norm)).join(F.broadcast(hot), "mark", "left")
-    keyed = keyed.withColumn("sub_run", F.when(F.col("sub_runs").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(*others), F.col("sub_runs"))))
-    dealt = keyed.withColumn("part", F.pmod("mark", F.lit(PARTS))).drop("mark", "sub_runs").repartitionByRange(*_PLACE)
+    # The place of a row in the input parts rows of a hot text that are equal in all columns.
+    keyed = own.withColumn("place", F.monotonically_increasing_id()).withColumn("head", F.substring(norm, 1, HEAD_CHARS)).withColumn("mark", F.xxhash64(norm)).join(F.broadcast(hot), "mark", "left")
+    keyed = keyed.withColumn("sub_run", F.when(F.col("sub_runs").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(*others, "place"), F.col("sub_runs"))))
+    dealt = keyed.withColumn("part", F.pmod("mark", F.lit(PARTS))).drop("mark", "sub_runs", "place").repartitionByRange(*_PLACE)
     order = Window.partitionBy(*_PLACE).orderBy("norm", ident.asc_nulls_last())
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     near = dealt.withColumn("norm", norm).withColumn("at", F.row_number().over(order)).withColumn("before", F.lag("norm").over(order))

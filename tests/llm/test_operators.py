@@ -599,6 +599,15 @@ def test_held_out_accuracy(spark):
     assert share[1] >= 0.75 and share[0] <= 0.015
 
 
+def test_equal_rows_of_a_hot_text_are_parted(spark):
+    docs = spark.createDataFrame([(7, "the same row again")] * 3000 + [(i, f"text {i}") for i in range(100, 400)], "doc_id long, text string").repartition(6)
+    runs, hot = exact._runs(docs, "doc_id", "text", ["doc_id"])
+    sizes = [r["count"] for r in runs.where("sub_run >= 0").groupBy("sub_run").count().collect()]
+    assert hot and sum(sizes) == 3000 and max(sizes) < 600
+    same = exact.exact_duplicates(docs).where("row.doc_id = 7").groupBy("group_size", "keep_id", "kept").count().collect()
+    assert sorted((r["group_size"], r["keep_id"], r["kept"], r["count"]) for r in same) == [(3000, 7, False, 2999), (3000, 7, True, 1)]
+
+
 def test_toxicity_draw():
     assert toxicity._within([(3, 1, 5), (1, 2, toxicity.CLASS_BYTES + 1), (2, 3, 7)]) == [(1, 2, toxicity.CLASS_BYTES + 1)]
     assert [r[1] for r in toxicity._within([(1, 2, 10), (2, 3, toxicity.CLASS_BYTES), (3, 1, 5)])] == [2, 1]
