@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import glrt_threshold, nonzero_sample, tidy
-from fringeflow.operators import amplitude, audits, coherence, corrections, forests, linking, network, series, similarity, spatial, support, unwrap
+from fringeflow.operators import amplitude, audits, coherence, consistency, corrections, forests, linking, network, series, similarity, spatial, support, unwrap
 from fringeflow.plans import oracle, registry, temporal
 from fringeflow.plans import scene as S
 from fringeflow.plans.lineage import settle, shared_path
@@ -326,6 +326,12 @@ def piece_bottlenecks(spark, d):
     return unwrap.piece_bottlenecks(settle(votes, "votes"), pieces)
 
 
+@query()
+def piece_conflicts(spark, d):
+    """Votes between pieces of small tiles that the surest forest contradicts, with the cycle that shows it."""
+    return consistency.piece_conflicts(settle(registry._pieces(spark, d, (4, 4))[1], "votes"))
+
+
 # Gradients, closures and series.
 
 

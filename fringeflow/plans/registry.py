@@ -413,11 +413,11 @@ def fragment_votes(spark, d):
     return rows.select("pair_id", "frag_a", "frag_b", "edge_count", "mode_shift", "mode_count", tidy(F.col("ratio")).alias("ratio"), "exact", *[tidy(F.col(x)).alias(x) for x in ("median_abs", "min_abs", "median_dist")])
 
 
-def _pieces(spark, d) -> tuple[DataFrame, DataFrame]:
+def _pieces(spark, d, tile: tuple[int, int] = (128, 256)) -> tuple[DataFrame, DataFrame]:
     """Interferograms unwrapped inside fragments and tiles, and the votes between those pieces."""
     ifgs, points, edges = _ifgs(spark, d), _stats(spark, d).select("point_id", "r", "c"), settle(_knn(spark, d), "knn")
     grads = settle(unwrap.gradients(ifgs, edges), "gradients")
-    pieces = settle(unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points), "pieces")
+    pieces = settle(unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points, tile), "pieces")
     return pieces, unwrap.piece_votes(pieces, grads, edges)
 
 

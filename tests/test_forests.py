@@ -93,3 +93,47 @@ def test_nearest_point_however_far(spark, tile):
     assert len(inside) > 1 and got == want
     none = spatial.nearest_in_main(spark.createDataFrame([], "point_id long, r int, c int"), spark.createDataFrame([], "point_id long, component long"), tile)
     assert none.count() == 0
+
+
+def test_conflicts_and_the_cycles_that_show_them(spark):
+    from fringeflow.operators import consistency
+
+    rng = random.Random(17)
+    nodes = {n: rng.randint(-3, 3) for n in range(40)}
+    links = {}
+    while len(links) < 75:
+        u, v = sorted(rng.sample(range(30), 2)) if rng.random() < 0.8 else sorted(rng.sample(range(30, 40), 2))
+        links[u, v] = (nodes[u] - nodes[v] + rng.choice([0, 0, 0, 0, 1, -1, 2]), rng.randint(0, 5))
+    rows = [(u, v, k, o) for (u, v), (k, o) in links.items()]
+    got = {(r.u, r.v): (r.off, r.cycle) for r in consistency.shift_conflicts(spark.createDataFrame(rows, "u long, v long, shift int, order int")).collect()}
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    tree = set()
+    for u, v, k, o in sorted(rows, key=lambda r: (r[3], r[0], r[1])):
+        if root(u) != root(v):
+            parent[root(u)] = root(v)
+            tree.add((u, v))
+    add = lambda x, y: -links[x, y][0] if (x, y) in tree else links[y, x][0]
+    wrong = set()
+    for u, v, k, _ in rows:
+        todo, came = [u], {u: None}
+        for x in todo:
+            for a, b in tree:
+                y = b if a == x else a if b == x else None
+                if y is not None and y not in came:
+                    came[y] = x
+                    todo.append(y)
+        path = [v]
+        while path[-1] != u:
+            path.append(came[path[-1]])
+        path.reverse()
+        total = sum(add(x, y) for x, y in zip(path, path[1:]))
+        if total + k:
+            wrong.add((u, v))
+            assert got[u, v] == (total + k, path)
+    assert got.keys() == wrong and wrong
