@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import glrt_threshold, nonzero_sample, tidy
-from fringeflow.operators import amplitude, audits, coherence, consistency, corrections, forests, linking, network, series, similarity, spatial, support, unwrap
+from fringeflow.operators import amplitude, audits, bridges, coherence, consistency, corrections, forests, linking, network, series, similarity, spatial, support, unwrap
 from fringeflow.plans import oracle, registry, temporal
 from fringeflow.plans import scene as S
 from fringeflow.plans.lineage import settle, shared_path
@@ -201,6 +201,21 @@ def bridge_sides(spark, d):
     return audits.bridge_sides(registry._net(spark, d, 1).select("i", "j"))
 
 
+@query(
+    _recursive("net1", "cand") + _SIDES.format(net="net1")
+    + """, over AS (SELECT s.i AS ei, s.j AS ej, c.i, c.j, c.score FROM sides s JOIN cand c ON NOT EXISTS (SELECT 1 FROM net1 n WHERE n.i = c.i AND n.j = c.j)
+  AND EXISTS (SELECT 1 FROM w WHERE w.ei = s.i AND w.ej = s.j AND w.node = c.i) <> EXISTS (SELECT 1 FROM w WHERE w.ei = s.i AND w.ej = s.j AND w.node = c.j)
+  AND (EXISTS (SELECT 1 FROM x WHERE x.ei = s.j AND x.ej = s.i AND x.node = c.i) OR EXISTS (SELECT 1 FROM x WHERE x.ei = s.j AND x.ej = s.i AND x.node = c.j))),
+best AS (SELECT DISTINCT arg_min(i, struct_pack(s := score, i := i, j := j)) AS i, arg_min(j, struct_pack(s := score, i := i, j := j)) AS j FROM over GROUP BY ei, ej)
+SELECT i, j, 'chosen' AS why, EXISTS (SELECT 1 FROM sides s WHERE s.i = net1.i AND s.j = net1.j) AND NOT EXISTS (SELECT 1 FROM over o WHERE o.ei = net1.i AND o.ej = net1.j) AS bridge FROM net1
+UNION ALL SELECT i, j, 'doubles', false FROM best"""
+)
+def doubled_network(spark, d):
+    """A sparse network with the best candidate across each of its bridges."""
+    candidates = settle(registry._candidates(spark, d), "candidates")
+    return bridges.doubled_network(candidates, settle(network.directional(candidates, 1).select("i", "j"), "network"))
+
+
 _CYCLES = oracle.cycle_counts_sql()
 
 

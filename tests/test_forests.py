@@ -137,3 +137,51 @@ def test_conflicts_and_the_cycles_that_show_them(spark):
             wrong.add((u, v))
             assert got[u, v] == (total + k, path)
     assert got.keys() == wrong and wrong
+
+
+def _cuts(edges):
+    """The bridges of small networks, by leaving each edge out."""
+    nodes = {n for e in edges for n in e}
+
+    def parts(links):
+        label = {n: n for n in nodes}
+        for _ in nodes:
+            for a, b in links:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    whole = len(set(parts(edges).values()))
+    return {e for e in edges if len(set(parts(edges - {e}).values())) > whole}, parts
+
+
+def test_bridges_are_doubled_where_candidates_allow(spark):
+    from fringeflow.operators import bridges
+
+    rng = random.Random(23)
+    chosen = {tuple(sorted(rng.sample(range(14), 2))) for _ in range(13)} | {(k, k + 1) for k in range(20, 26)} | {(26, 27), (27, 28), (26, 28), (25, 26)}
+    candidates = {tuple(sorted(rng.sample(range(14), 2))): rng.random() for _ in range(12)} | {(21, 24): 0.5, (20, 24): 0.7, (22, 25): 0.6} | dict.fromkeys(sorted(chosen)[:4], 0.1)
+    frame = spark.createDataFrame([(i, j) for i, j in chosen], "i int, j int")
+    cuts, parts = _cuts(chosen)
+    found, labels = bridges.bridges_and_parts(frame.select(frame.i.alias("u"), frame.j.alias("v")))
+    assert {tuple(r) for r in found.collect()} == cuts
+    assert {r.node: r.part for r in labels.collect()} == parts(chosen - cuts)
+    rows = bridges.doubled_network(spark.createDataFrame([(i, j, s) for (i, j), s in candidates.items()], "i int, j int, score double"), frame).collect()
+    whole, want, still = parts(chosen), set(), set()
+    for e in cuts:
+        side = parts(chosen - {e})
+        across = [(s, *c) for c, s in candidates.items() if c not in chosen and c[0] in side and c[1] in side and whole.get(c[0]) == whole.get(c[1]) == whole[e[0]] and {side[c[0]], side[c[1]]} == {side[e[0]], side[e[1]]}]
+        if across:
+            want.add(min(across)[1:])
+        else:
+            still.add(e)
+    assert {(r.i, r.j) for r in rows if r.why == "chosen"} == chosen and {(r.i, r.j) for r in rows if r.why == "doubles"} == want
+    assert {(r.i, r.j) for r in rows if r.bridge} == still == _cuts(chosen | want)[0] and want and still
+
+
+def test_what_is_apart_is_joined(spark):
+    from fringeflow.operators import bridges
+
+    chosen = spark.createDataFrame([(0, 1), (2, 3), (4, 5)], "i int, j int")
+    candidates = spark.createDataFrame([(0, 2, 0.9), (1, 3, 0.2), (1, 2, 0.2), (3, 4, 0.5), (0, 5, 0.4), (0, 1, 0.0)], "i int, j int, score double")
+    got = {(r.i, r.j, r.why) for r in bridges.joined_network(candidates, chosen).collect()}
+    assert got == {(0, 1, "chosen"), (2, 3, "chosen"), (4, 5, "chosen"), (1, 2, "joins"), (0, 5, "joins")}
