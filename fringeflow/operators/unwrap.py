@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fringeflow.functions.phase import ambiguity, wrap
+from fringeflow.operators import forests
 from fringeflow.operators.components import connected_components
-from fringeflow.operators.forests import bottlenecks, spanning_forest
+from fringeflow.operators.forests import Potentials, bottlenecks, in_one_task, spanning_forest
 from fringeflow.operators.quantiles import quantiles
 from fringeflow.plans.lineage import settle
 
@@ -258,10 +259,30 @@ def antisymmetry(phases: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.groupBy("pair_id").agg(F.max(F.abs(wrap(F.col("phase") + F.col("reverse")))).alias("worst"))
 
 
+def _tied(votes: pd.DataFrame) -> pd.DataFrame:
+    """``piece_shifts`` of a bounded number of votes, the surest first."""
+    trees = Potentials()
+    rows = list(zip(votes["a"].tolist(), votes["b"].tolist(), votes["k"].tolist()))
+    for a, b, k in rows:
+        trees.link(a, b, k)
+    found = {n: trees.root(n) for n in sorted(trees.up)}
+    low: dict[int, int] = {}
+    for n, (root, _) in found.items():
+        low.setdefault(root, n)  # nodes come in order
+    against = dict.fromkeys(found, 0)
+    for a, b, k in rows:
+        if found[b][1] + k != found[a][1]:
+            against[a] += 1
+            against[b] += 1
+    mask = (1 << 40) - 1
+    told = [(n >> 40, n & mask, low[root] & mask, turns - found[low[root]][1], against[n]) for n, (root, turns) in found.items()]
+    return pd.DataFrame(told, columns=["pair_id", "piece", "root", "shift", "against"]).astype({"pair_id": "int32"})
+
+
 def piece_shifts(votes: DataFrame, least_ratio: float = 0.0) -> DataFrame:
     """``pair_id, piece, root, shift, against``: whole turns that bring each piece to its root, along the surest votes.
 
-    All interferograms are tied in one run of rounds over (pair, piece) nodes: every component takes its surest
+    All interferograms are tied in one run over (pair, piece) nodes, in a task while the votes are few (``ONE_TASK``) and in rounds beyond: every component takes its surest
     vote to another one, and steps to the end of those votes are doubled, so no group holds an interferogram.
     The root is the smallest piece. ``against`` counts the votes of a piece that the shifts do not obey.
     """
@@ -269,6 +290,8 @@ def piece_shifts(votes: DataFrame, least_ratio: float = 0.0) -> DataFrame:
     order = F.struct((-F.col("ratio")).alias("r"), (-F.col("edge_count")).alias("n"), "median_abs", "median_dist", "frag_a", "frag_b")
     own = votes.where(F.col("ratio") >= least_ratio)
     own = settle(own.select(node("frag_a").alias("a"), node("frag_b").alias("b"), F.col("mode_shift").cast("long").alias("k"), order.alias("order")), "votes")
+    if own.count() <= forests.ONE_TASK:
+        return in_one_task(own.coalesce(1).sortWithinPartitions("order").select("a", "b", "k"), _tied, "pair_id int, piece long, root long, shift long, against long")
     at = own.select(F.col("a").alias("node")).union(own.select(F.col("b").alias("node"))).distinct()
     at = settle(at.select("node", F.col("node").alias("root"), F.lit(0).cast("long").alias("shift")), "pieces")
 
