@@ -29,10 +29,14 @@ def residual_rms(series: DataFrame, ifgs: DataFrame, pairs: DataFrame) -> DataFr
     return met.groupBy("point_id").agg(F.sqrt(F.avg(off * off)).alias("rms"))
 
 
-def reference_window(values: DataFrame, row: int, col: int, half_rows: int, half_cols: int, least: int = 100) -> DataFrame:
-    """``t, points, ref_median, mad_sigma`` of the points in a window; epochs with fewer than ``least`` points are left out."""
+def reference_window(values: DataFrame, row: int, col: int, half_rows: int, half_cols: int, least: int = 100, strict: bool = False) -> DataFrame:
+    """``t, points, ref_median, mad_sigma`` of the points in a window; epochs with fewer than ``least`` points are left out, or an error if ``strict``."""
     inside = values.where((F.abs(F.col("r") - row) <= half_rows) & (F.abs(F.col("c") - col) <= half_cols))
-    middle = settle(medians(inside, ["t"], "phase", "ref_median").withColumnRenamed("n", "points").where(F.col("points") >= least), "epoch-median")
+    middle = settle(medians(inside, ["t"], "phase", "ref_median").withColumnRenamed("n", "points"), "epoch-median")
+    few = middle.where(F.col("points") < least).orderBy("t").head() if strict else None
+    if few:
+        raise ValueError(f"epoch {few['t']} has {few['points']} points in the window, fewer than {least}")
+    middle = middle.where(F.col("points") >= least)
     off = inside.join(F.broadcast(middle), "t").withColumn("off", F.abs(F.col("phase") - F.col("ref_median")))  # a row an epoch
     return middle.join(medians(off, ["t"], "off", "mad"), "t").select("t", "points", "ref_median", (F.lit(1.4826) * F.col("mad")).alias("mad_sigma"))
 

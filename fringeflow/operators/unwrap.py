@@ -71,7 +71,7 @@ def gradient_stats(grads: DataFrame) -> DataFrame:
     share = lambda limit: F.avg((size > limit).cast("double"))
     grads = settle(grads.select("pair_id", "g"), "gradient")
     sums = grads.groupBy("pair_id").agg(F.count("*").alias("edges"), F.avg(size).alias("mean_abs"), share(SAFE).alias("frac_pi2"), share(2 * math.pi / 3).alias("frac_2pi3"), share(0.9 * math.pi).alias("frac_09pi"))
-    ends = quantiles(grads.withColumn("size", size), ["pair_id"], "size", [0.9]).select("pair_id", F.col("p")[0].alias("p90"))
+    ends = quantiles(grads.withColumn("size", size), ["pair_id"], "size", [0.9, 0.95]).select("pair_id", F.col("p")[0].alias("p90"), F.col("p")[1].alias("p95"))
     return sums.join(F.broadcast(ends), "pair_id")  # a row a pair
 
 
@@ -249,7 +249,7 @@ def gates(stats: DataFrame, most_steep: float, most_middle: float) -> DataFrame:
 
 def worst_pair(stats: DataFrame) -> DataFrame:
     """The one pair with the largest share of steep edges, then the larger upper percentile, then the smaller number."""
-    return stats.orderBy(F.desc("frac_pi2"), F.desc("p90"), "pair_id").limit(1)
+    return stats.orderBy(F.desc("frac_pi2"), F.desc("p95"), "pair_id").limit(1)
 
 
 def antisymmetry(phases: DataFrame, pairs: DataFrame) -> DataFrame:

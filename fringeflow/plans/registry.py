@@ -630,7 +630,7 @@ def conflict_clusters(spark, d):
     return unwrap.fragment_sizes(unwrap.pair_components(jumps))
 
 
-_GRAD_STATS = f", gs AS (SELECT pair_id, count(*) AS edges, avg(abs(g)) AS mean_abs, avg(CAST(abs(g) > {oracle.PI}::DOUBLE / 2 AS INT)) AS frac_pi2, quantile_cont(abs(g), 0.9) AS p90 FROM grad GROUP BY 1)"
+_GRAD_STATS = f", gs AS (SELECT pair_id, count(*) AS edges, avg(abs(g)) AS mean_abs, avg(CAST(abs(g) > {oracle.PI}::DOUBLE / 2 AS INT)) AS frac_pi2, quantile_cont(abs(g), 0.9) AS p90, quantile_cont(abs(g), 0.95) AS p95 FROM grad GROUP BY 1)"
 
 
 @query(build(f"{_GRAD_STATS} SELECT pair_id, concat_ws('+', CASE WHEN frac_pi2 > 0.5 THEN 'steep' END, CASE WHEN mean_abs > 1.57 THEN 'rough' END) AS reasons, CASE WHEN frac_pi2 > 0.5 OR mean_abs > 1.57 THEN 'REVIEW' ELSE 'PASS' END AS verdict FROM gs", "grad"))
@@ -638,9 +638,9 @@ def ifg_gates(spark, d):
     return unwrap.gates(unwrap.gradient_stats(_grads(spark, d)), 0.5, 1.57)
 
 
-@query(build(f"{_GRAD_STATS} SELECT pair_id, {x6('frac_pi2')} AS frac_pi2, {x6('p90')} AS p90 FROM gs ORDER BY frac_pi2 DESC, p90 DESC, pair_id LIMIT 1", "grad"))
+@query(build(f"{_GRAD_STATS} SELECT pair_id, {x6('frac_pi2')} AS frac_pi2, {x6('p95')} AS p95 FROM gs ORDER BY frac_pi2 DESC, p95 DESC, pair_id LIMIT 1", "grad"))
 def worst_pair(spark, d):
-    return unwrap.worst_pair(unwrap.gradient_stats(_grads(spark, d))).select("pair_id", tidy(F.col("frac_pi2")).alias("frac_pi2"), tidy(F.col("p90")).alias("p90"))
+    return unwrap.worst_pair(unwrap.gradient_stats(_grads(spark, d))).select("pair_id", tidy(F.col("frac_pi2")).alias("frac_pi2"), tidy(F.col("p95")).alias("p95"))
 
 
 @query(build(f"SELECT pair_id, {x6('max(abs(atan2(sin(f + b), cos(f + b))))')} AS worst FROM (SELECT pair_id, atan2(sin(b.phase - a.phase), cos(b.phase - a.phase)) AS f, atan2(sin(a.phase - b.phase), cos(a.phase - b.phase)) AS b FROM pairs JOIN full_z a ON a.t = i JOIN full_z b ON b.t = j AND b.point_id = a.point_id) GROUP BY 1", "pairs", "full_z"))

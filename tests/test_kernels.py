@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fringeflow.functions import phase
-from fringeflow.operators import coherence, components, linking, network, series, support, unwrap
+from fringeflow.operators import coherence, components, forests, linking, network, series, support, unwrap
 from fringeflow.plans.temporal import sequential_plan
 
 
@@ -247,7 +247,10 @@ def test_pieces_are_tied_whatever_the_tile(spark):
     assert found[0] == found[1] and len(found[0]) == 2 * side * side
 
 
-def test_piece_shifts_take_the_surest_forest(spark):
+@pytest.mark.parametrize("one_task", [True, False])
+def test_piece_shifts_take_the_surest_forest(spark, monkeypatch, one_task):
+    if not one_task:
+        monkeypatch.setattr(forests, "ONE_TASK", -1)
     rng = np.random.default_rng(3)
     rows = []
     for pair in range(3):
@@ -337,3 +340,11 @@ def test_held_out_fits_against_refitting(spark):
             assert r.cv_full is None
         else:
             assert np.allclose([r.vif, r.cv_reduced, r.cv_full], w[3:], rtol=1e-6)
+
+
+def test_reference_window_with_too_few_points(spark):
+    rows = [(p, p // 20, p % 20, t, float(p % 7)) for p in range(200) for t in range(3) if t < 2 or p < 50]
+    values = spark.createDataFrame(rows, "point_id long, r int, c int, t int, phase double")
+    assert sorted(r.t for r in series.reference_window(values, 5, 10, 9, 10).collect()) == [0, 1]
+    with pytest.raises(ValueError, match="epoch 2 has 50"):
+        series.reference_window(values, 5, 10, 9, 10, strict=True)
