@@ -82,7 +82,7 @@ def wide_phase_linking(spark, d):
     return linked.join(centres, "center_id").select("center_id", "k", "estimator", "phase")
 
 
-@query()
+@query(_WIDE[: _WIDE.index(",\nwst AS")] + ", " + oracle.prior_sql("ws", S.WIDE_EPOCHS, 5, 5))
 def wide_prior_counts(spark, d):
     """Neighbours within five rows and columns whose amplitudes follow the same distribution."""
     return similarity.prior_counts(S.wide_samples(spark, d), S.WIDE_EPOCHS, 5, 5)

@@ -7,6 +7,7 @@ import math
 import numpy as np
 
 from fringeflow.functions.phase import glrt_threshold
+from fringeflow.operators.similarity import ks_probability
 from fringeflow.plans import scene as S
 
 _T = range(S.EPOCHS)
@@ -108,3 +109,12 @@ def cycle_counts_sql() -> str:
 def inversion_sql(weights: np.ndarray) -> str:
     rows = ", ".join(f"({e}, {t}, {float(weights[t, e])!r}::DOUBLE)" for e in range(weights.shape[1]) for t in range(weights.shape[0]))
     return build(f"SELECT point_id, t, {x6('sum(w * phase)')} AS phase FROM ifg JOIN (VALUES {rows}) v(pair_id, t, w) USING (pair_id) GROUP BY ALL", "ifg")
+
+
+def prior_sql(samples: str, epochs: int, rows: int, cols: int, p_max: float = 0.05) -> str:
+    """Neighbours by the largest gap of two counts over all values of both histories; gaps whose probability is small are told by number."""
+    hits = ", ".join(str(k) for k in range(epochs + 1) if ks_probability(k / epochs, epochs) < p_max) or "-1"
+    below = lambda h: f"len(list_filter({h}.h, lambda y: y <= x))"
+    return f"""hist AS MATERIALIZED (SELECT point_id, r, c, list(CAST(amp AS FLOAT)) AS h FROM {samples} GROUP BY ALL HAVING count(*) = {epochs}),
+gap AS (SELECT a.point_id, list_max(list_transform(list_concat(a.h, b.h), lambda x: abs({below('a')} - {below('b')}))) AS gap FROM hist a JOIN hist b ON abs(a.r - b.r) <= {rows} AND abs(a.c - b.c) <= {cols})
+SELECT point_id, count(*) FILTER (gap IN ({hits})) AS selected, count(*) AS available FROM gap GROUP BY 1"""

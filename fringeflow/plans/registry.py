@@ -497,7 +497,7 @@ def _cycle_integers(spark, d) -> DataFrame:
     return unwrap.integer_closures(corrections.cycle_closures(_ifgs(spark, d), CYCLES))
 
 
-@query()
+@query(build(", " + oracle.prior_sql("samples", S.EPOCHS, 1, 1), "samples"))
 def prior_counts(spark, d):
     return similarity.prior_counts(S.samples(spark, d), S.EPOCHS, 1, 1)
 
