@@ -39,8 +39,9 @@ import math
 import pickle
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -70,6 +71,7 @@ WORDS = 400_000
 PASSAGES = 100_000
 _MARKS = b".,;:!?\"'()[]*&%$#"
 _CACHE = 400_000
+_GRAMS = 1 << 20
 
 
 @dataclass
@@ -177,10 +179,31 @@ def _once(rows: list[tuple[bytes, int, int]]) -> list[tuple[bytes, int, int]]:
     return kept
 
 
+def _counted(sets: Iterable[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all sets, sorted, and how many sets hold each; at most ``_GRAMS`` and one set wait to be counted."""
+    values, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    parts, held = [], 0
+
+    def merged() -> tuple[np.ndarray, np.ndarray]:
+        new, times = np.unique(np.concatenate(parts), return_counts=True)
+        every = np.union1d(values, new)
+        total = np.zeros(len(every), np.int64)
+        total[np.searchsorted(every, values)] += counts
+        total[np.searchsorted(every, new)] += times
+        return every, total
+
+    for own in sets:
+        parts.append(own)
+        held += len(own)
+        if held >= _GRAMS:
+            values, counts = merged()
+            parts, held = [], 0
+    return merged() if parts else (values, counts)
+
+
 def _salient(toxic: list[bytes], plain: list[bytes]) -> np.ndarray:
     """Grams of which that holds."""
-    a, n_a = np.unique(np.concatenate([_gram_sets(t) for t in toxic]), return_counts=True)
-    b, n_b = np.unique(np.concatenate([_gram_sets(t) for t in plain]), return_counts=True)
+    (a, n_a), (b, n_b) = (_counted(map(_gram_sets, texts)) for texts in (toxic, plain))
     if not len(a):
         return a
     at = np.minimum(np.searchsorted(b, a), max(len(b) - 1, 0))
@@ -191,7 +214,8 @@ def _salient(toxic: list[bytes], plain: list[bytes]) -> np.ndarray:
 def _salient_words(toxic: list[bytes], plain: list[bytes]) -> list[bytes]:
     """Windows without outer punctuation of which that holds, the most frequent last."""
     bare = lambda t: {w.strip(_MARKS) for w in windows(t)}
-    a, b = Counter(w for t in toxic for w in bare(t)), Counter(w for t in plain for w in bare(t))
+    a = Counter(w for t in toxic for w in bare(t))
+    b = Counter(w for t in plain for w in bare(t) & a.keys())
     words = sorted((w for w, n in a.items() if n >= 3 and len(w) > 2), key=lambda w: (a[w], w))
     over = _over(np.array([a[w] for w in words], float), np.array([b[w] for w in words], float), len(toxic), len(plain)) if words else []
     return [w for w, ok in zip(words, over) if ok]
@@ -211,9 +235,10 @@ def _passages(text: bytes, salient: set[int]) -> Iterator[bytes]:
                 last = i
 
 
-def _spread(samples: list[bytes], most: int) -> list[bytes]:
-    """Less than twice ``most`` of the samples of learning, evenly spread."""
-    return samples[:: max(1, len(samples) // most)]
+def _spread(samples: Callable[[], Iterator[bytes]], most: int) -> list[bytes]:
+    """Less than twice ``most`` of the samples of learning, evenly spread; counted first, so that only these are held."""
+    step = max(1, sum(1 for _ in samples()) // most)
+    return list(islice(samples(), 0, None, step))
 
 
 def _dictionary(samples: list[bytes], size: int, together: int = 16) -> bytes:
@@ -250,12 +275,10 @@ def _segments(samples: list[bytes]) -> bytes:
 
 def _dictionaries(toxic: list[bytes], plain: list[bytes], share: float) -> Model:
     """The pairs of dictionaries of two classes of texts."""
-    ordinary = [w for t in plain for w in windows(t)]
-    content = _dictionary(_spread(ordinary, WORDS), DICTIONARY_BYTES)
+    content = _dictionary(_spread(lambda: (w for t in plain for w in windows(t)), WORDS), DICTIONARY_BYTES)
     model = Model(base=share, ordinary=content + b" " + CARRIER, toxic=content + b" " + _segments(_standing_out(toxic, plain)) + b" " + CARRIER)
-    sides = [[p for t in texts for p in passages(t)] for texts in (plain, toxic)]
-    size = max(LEAST_BYTES, sum(map(len, sides[1])) // 100)
-    trained = [_dictionary(_spread(side, PASSAGES), size, 1) for side in sides]
+    size = max(LEAST_BYTES, sum(len(p) for t in toxic for p in passages(t)) // 100)
+    trained = [_dictionary(_spread(lambda: (p for t in texts for p in passages(t)), PASSAGES), size, 1) for texts in (plain, toxic)]
     least = min(map(len, trained))  # neither side may save more by its size alone
     model.ordinary_passages, model.toxic_passages = (x[len(x) - least :] for x in trained)
     return model

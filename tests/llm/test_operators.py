@@ -5,6 +5,7 @@ import hashlib
 import io
 import math
 import random
+import tracemalloc
 import wave
 import zlib
 from itertools import combinations
@@ -679,6 +680,25 @@ def test_toxicity_lexicon_is_whole():
     assert all(w.encode() in model.toxic for w in bad)
 
 
+def test_toxicity_training_holds_little_beside_its_texts(monkeypatch):
+    """At many times more words than are trained on, the words of all texts are never held at once."""
+    for name in ("WORDS", "PASSAGES", "_GRAMS"):
+        monkeypatch.setattr(toxicity, name, 4096, raising=False)
+    rng = random.Random(7)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, k=400)).encode() for _ in range(400)]
+    toxic, plain = [t + b" horrid scoundrel vermin" for t in texts[:100]], texts[100:]
+    grams = [toxicity._gram_sets(t) for t in plain]
+    assert all(np.array_equal(a, b) for a, b in zip(toxicity._counted(grams), np.unique(np.concatenate(grams), return_counts=True)))
+    tracemalloc.start()
+    try:
+        model = toxicity._dictionaries(toxic, plain, 0.25)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert b"scoundrel" in model.toxic and peak < 3 * sum(map(len, texts)), peak / sum(map(len, texts))
+
+
 def test_toxicity_windows_overlap():
     unspaced = "".join(random.Random(6).choices("abcdefghij", k=500)).encode()
     assert all(any(unspaced[i : i + 24] in w for w in toxicity.windows(unspaced)) for i in range(477))
