@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
@@ -34,6 +35,7 @@ HOP = FRAME // 2
 PEAKS = 3
 REACH = 8
 _BLOCK = 4096
+_CHUNK = 1 << 20
 _TAPER = np.hanning(FRAME).astype(np.float32)
 FEATURES = StructType(
     [StructField("payload_bytes", LongType()), StructField("payload_sha256", StringType()), StructField("tail_crc32", LongType()), StructField("frames", IntegerType())]
@@ -102,10 +104,22 @@ def _describe(media: bytes) -> dict:
     return {"payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-UNIT:]), "frames": n, "codes": codes, "hashes": hashes}
 
 
+def _parts(batch: pa.Array) -> Iterator[pa.Array]:
+    """The batch in parts of at most ``_CHUNK`` bytes, or one row where that is larger: what a part gives is several times its size."""
+    sizes = np.array(pc.fill_null(pc.binary_length(batch), 0), np.int64)
+    ends, low = np.cumsum(sizes), 0
+    while low < len(batch):
+        begin = int(ends[low] - sizes[low])
+        high = max(low + 1, int(np.searchsorted(ends, begin + _CHUNK, side="right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 @F.arrow_udf(BinaryType())
 def _encode(raw: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in raw:
-        yield pa.array([to_wav(padded(x.as_py() or b"")) for x in batch], pa.binary())
+        for part in _parts(batch):
+            yield pa.array([to_wav(padded(x.as_py() or b"")) for x in part], pa.binary())
 
 
 _KINDS = pa.struct([("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("frames", pa.int32()), ("codes", pa.list_(pa.int32())), ("hashes", pa.list_(pa.int32()))])
@@ -114,7 +128,8 @@ _KINDS = pa.struct([("payload_bytes", pa.int64()), ("payload_sha256", pa.string(
 @F.arrow_udf(FEATURES)
 def _features(media: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in media:
-        yield pa.array([_describe(x.as_py()) for x in batch], _KINDS)
+        for part in _parts(batch):
+            yield pa.array([_describe(x.as_py()) for x in part], _KINDS)
 
 
 def wav(text: Column) -> Column:

@@ -11,6 +11,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -297,6 +298,19 @@ def test_media(docs, rows):
     assert got[4].heard != got[5].heard and got[80].heard == got[90].heard
 
 
+def test_media_in_parts(monkeypatch):
+    """What one batch of payloads gives leaves in parts of bounded size, all rows once and in order."""
+    rng = random.Random(3)
+    raws = [None, b""] + [rng.randbytes(rng.choice([0, 64, 700, 5000])) for _ in range(60)] + [rng.randbytes(9000), None]
+    monkeypatch.setattr(media, "_CHUNK", 8192, raising=False)
+    files = list(media._encode.func(iter([pa.array(raws, pa.binary()), pa.array([], pa.binary())])))
+    stored = [x for part in files for x in part.to_pylist()]
+    assert stored == [media.to_wav(media.padded(x or b"")) for x in raws] and len(files) > 5
+    heard = list(media._features.func(iter([pa.array(stored, pa.binary())])))
+    assert [h["payload_sha256"] for part in heard for h in part.to_pylist()] == [hashlib.sha256(media.padded(x or b"")).hexdigest() for x in raws]
+    assert all(len(part) == 1 or sum(h["payload_bytes"] for h in part.to_pylist()) <= 8192 for part in heard)
+
+
 def test_peaks_of_a_tone_pair():
     t = np.arange(4096)
     x = np.round(128 + 50 * np.sin(2 * np.pi * 20 * t / media.FRAME) + 40 * np.sin(2 * np.pi * 70 * t / media.FRAME)).astype(np.uint8)
