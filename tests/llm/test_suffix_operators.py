@@ -191,6 +191,18 @@ def test_op13_against_brute_force(spark, folder, rows):
     assert _answers(queries.op13_repeats(spark, folder).collect()) == _removed(rows)
 
 
+def test_passages_count_by_bytes_not_by_words(spark, tmp_path):
+    rng = random.Random(7)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(70))[:n]
+    passages = [words(399), words(400), "é" + words(398)]  # 399, 400 and 400 bytes, each in two documents
+    assert all(len(p.split()) > 50 for p in passages)
+    rows = [(i, t) for i, t in enumerate(t for p in passages for t in (f"one\t{p}\tone", f"two {p}\ntwo"))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op13_repeats(spark, str(tmp_path)).collect()
+    assert _answers(got) == _removed(rows)
+    assert [(r["n_bytes"], r["n_removed"]) for r in sorted(got)] == [(407, 0)] * 2 + [(408, 400)] * 4
+
+
 def test_large_groups_are_split_with_the_same_result(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     told = lambda df: {bytes(r["text_id"]): ([tuple(s) for s in r["spans"]], bytes(r["kept"])) for r in df.collect()}
