@@ -126,6 +126,8 @@ def _rotated(s: np.ndarray, at: int, period: int) -> int:
 
 def runs_of(texts: list[list[bytes]], times: int = TIMES, least: int = LEAST) -> list[list[Run]]:
     """``(start, length, period)`` of the runs of each text, by start, then period; at least ``least`` words and ``times`` periods."""
+    if not texts:  # a batch whose last text filled a chunk ends with an empty one
+        return []
     s, begins = _symbols(texts)
     merged: dict[tuple[int, int], int] = {}
     for at, period in _squares(s, begins, times).tolist():

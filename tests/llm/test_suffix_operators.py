@@ -98,6 +98,13 @@ def test_runs_of_several_texts(parts):
     assert [sorted(r) for r in periodic.runs_of(texts)] == [_runs(t) for t in texts]
 
 
+def test_a_batch_may_end_where_a_chunk_does(spark):
+    assert periodic.runs_of([]) == []
+    docs = spark.createDataFrame([(1, "a b"), (2, "one two " * (periodic.CHUNK // 2))], "doc_id long, text string").coalesce(1)
+    found = {r["row"].doc_id: ([tuple(x) for x in r["runs"]], bytes(r["collapsed"])) for r in periodic.periodic_runs(docs, keep=["doc_id"]).collect()}
+    assert found == {1: ([], b"a b"), 2: ([(0, periodic.CHUNK, 2)], b"one two")}
+
+
 def _planted(doc_id, text):
     words = (text or "").encode().split()
     h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
