@@ -1,7 +1,11 @@
-"""Connected components of large edge tables by alternating star contraction."""
+"""Connected components of large edge tables: chunks of near nodes are contracted first, alternating stars join what is left."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,17 +32,74 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["x"]
 
 
+#: Edges that are contracted at once, inside a task.
+CHUNK = 1 << 19
+
+
+def _lowest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each node of the edges and the smallest node that these edges join it to."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    up = np.arange(len(nodes))
+    while True:
+        a, b = up[a], up[b]
+        apart = a != b
+        a, b = a[apart], b[apart]
+        if not len(a):
+            return nodes, nodes[up]
+        np.minimum.at(up, np.maximum(a, b), np.minimum(a, b))
+        while (up != (over := up[up])).any():
+            up = over
+
+
+def _contract_by(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``node, root`` of ``size`` edges at a time."""
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count >= size:
+                yield _roots(held)
+                held, count = [], 0
+        if count:
+            yield _roots(held)
+
+    return contract
+
+
+def _roots(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    u, v = (np.concatenate([b.column(k).to_numpy(zero_copy_only=False) for b in batches]) for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in _lowest(u, v)], names=["node", "root"])
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """``(node, component)`` for every node of ``edges(u, v)``; component is the smallest reachable node.
 
-    Each round is two joins and aggregations with map-side combine and is cut
+    Edges are sorted and contracted by chunks, a bounded number at a time, so that where near nodes have near numbers only
+    links between chunks are left, and those are contracted again while that halves them. The rest takes
+    rounds of two joins and aggregations with map-side combine, each cut
     off through the shared folder, so neither lineage nor a hub's neighbour list
     grows in one task. An empty edge table gives an empty result. Self links
     give a node of its own.
     """
-    edges = settle(edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")), "edges")
-    nodes = edges.select(F.col("u").alias("node")).union(edges.select(F.col("v").alias("node"))).distinct()
-    links = edges.where("u <> v").distinct()
+    end = lambda one, other: F.coalesce(one, other).cast("long").alias(one)
+    edges = settle(edges.select(end("u", "v"), end("v", "u")).where("u IS NOT NULL"), "edges")
+    near = settle(edges.repartitionByRange("u", "v").sortWithinPartitions("u", "v").mapInArrow(_contract_by(CHUNK), "node long, root long"), "near")
+    low = settle(near.groupBy("node").agg(F.min("root").alias("root"), (F.min("root") != F.max("root")).alias("shared")), "low")
+    shared = low.where("shared").select("node", F.col("root").alias("v"))
+    links = settle(near.join(shared, "node").where("root <> v").select(F.col("root").alias("u"), "v").distinct(), "star")
+    left = links.count()
+    if not left:
+        return low.select("node", F.col("root").alias("component"))
+    stars = connected_components(links, max_rounds) if 2 * left <= edges.count() else _stars(links, max_rounds)
+    stars = stars.select(F.col("node").alias("root"), "component")
+    return low.join(stars, "root", "left").select("node", F.coalesce("component", "root").alias("component"))
+
+
+def _stars(links: DataFrame, max_rounds: int) -> DataFrame:
+    """``connected_components`` of links without repeats, except that a component's smallest node is left out."""
     before = None
     for _ in range(max_rounds):
         links = settle(_small_star(_large_star(links)), "star")
@@ -48,5 +109,4 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    stars = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.join(stars, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return links.select(F.col("u").alias("node"), F.col("v").alias("component"))

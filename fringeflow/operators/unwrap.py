@@ -60,10 +60,15 @@ def modal_closures(integers: DataFrame) -> DataFrame:
 
 
 def gradients(ifgs: DataFrame, edges: DataFrame) -> DataFrame:
-    """``pair_id, u, v, g``: wrapped phase difference along each edge ``(u, v)``."""
-    at = lambda name: ifgs.select("pair_id", F.col("point_id").alias(name), F.col("phase").alias(f"phase_{name}"))
-    met = edges.select("u", "v").join(at("u"), "u").join(at("v"), ["pair_id", "v"])
-    return met.select("pair_id", "u", "v", wrap(F.col("phase_v") - F.col("phase_u")).alias("g"))
+    """``pair_id, u, v, g``: wrapped phase difference along each edge ``(u, v)``.
+
+    A point's interferograms travel as one row, so that what is joined grows with the points and edges alone.
+    """
+    rows = ifgs.groupBy("point_id").agg(F.collect_list(F.struct("pair_id", "phase")).alias("at"))
+    met = edges.select("u", "v").join(rows.select(F.col("point_id").alias("u"), F.col("at").alias("at_u")), "u")
+    met = met.join(rows.select(F.col("point_id").alias("v"), F.map_from_entries("at").alias("at_v")), "v")
+    each = met.select("u", "v", "at_v", F.inline("at_u")).where(F.map_contains_key("at_v", F.col("pair_id")))
+    return each.select("pair_id", "u", "v", wrap(F.try_element_at("at_v", F.col("pair_id")) - F.col("phase")).alias("g"))
 
 
 def gradient_stats(grads: DataFrame) -> DataFrame:

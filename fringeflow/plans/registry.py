@@ -415,7 +415,7 @@ def fragment_votes(spark, d):
 
 def _pieces(spark, d, tile: tuple[int, int] = (128, 256)) -> tuple[DataFrame, DataFrame]:
     """Interferograms unwrapped inside fragments and tiles, and the votes between those pieces."""
-    ifgs, points, edges = _ifgs(spark, d), _stats(spark, d).select("point_id", "r", "c"), settle(_knn(spark, d), "knn")
+    ifgs, points, edges = settle(_ifgs(spark, d), "ifgs"), _stats(spark, d).select("point_id", "r", "c"), settle(_knn(spark, d), "knn")
     grads = settle(unwrap.gradients(ifgs, edges), "gradients")
     pieces = settle(unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points, tile), "pieces")
     return pieces, unwrap.piece_votes(pieces, grads, edges)
@@ -430,7 +430,7 @@ def unwrap_single_ifg(spark, d):
 
 @query()
 def safe_fragments(spark, d):
-    ifgs = _ifgs(spark, d)
+    ifgs = settle(_ifgs(spark, d), "ifgs")
     return unwrap.safe_fragments(unwrap.gradients(ifgs, _knn(spark, d)), ifgs)
 
 
