@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from fringeflow.operators import components
+from fringeflow.operators import components, consistency, forests
 from fringeflow.plans import lineage
 
 
@@ -17,7 +17,7 @@ def settled(monkeypatch):
         seen.append(label)
         return lineage.settle(df, label)
 
-    for module in (components,):
+    for module in (components, consistency, forests):
         monkeypatch.setattr(module, "settle", told)
     return seen
 
@@ -41,3 +41,32 @@ def test_components_of_small_chunks(spark, monkeypatch, chunk):
             label[a] = label[b] = min(label[a], label[b])
     got = components.connected_components(spark.createDataFrame(edges, "u long, v long").repartition(3)).collect()
     assert len(got) == len(label) and {r.node: r.component for r in got} == label
+
+
+@pytest.mark.parametrize("bits", [(1,), (5, 3), ()])
+def test_conflicts_of_long_paths(spark, settled, monkeypatch, bits):
+    """Ranges that hardly help, that help in two steps, and none, which is for rounds."""
+    monkeypatch.setattr(forests, "ONE_TASK", 6)
+    monkeypatch.setattr(forests, "RANGES", bits or (1,))
+    if not bits:
+        monkeypatch.setattr(forests, "IN_RANGE", 0)
+    long = 130 if len(bits) == 2 else 14
+    rows = [(k, k + 1, 1, 0) for k in range(long)] + [(0, long, long - 2, 9), (3, long - 4, long - 7, 9), (5, 9, 5, 9), (500, 501, 0, 0), (500, 502, 1, 0), (501, 502, 3, 1)]
+    got = {(r.u, r.v): (r.off, r.cycle) for r in consistency.shift_conflicts(spark.createDataFrame(rows, "u long, v long, shift long, order long")).collect()}
+    assert got == {(0, long): (-2, list(range(long + 1))), (5, 9): (1, list(range(5, 10))), (501, 502): (2, [501, 500, 502])}
+    if len(bits) == 2:
+        assert len(settled) < 60  # fewer than the nodes of a path
+
+
+@pytest.mark.parametrize("bits", [(2,), (9, 4)])
+def test_forests_of_small_ranges(spark, monkeypatch, bits):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(forests, "ONE_TASK", 10)
+    monkeypatch.setattr(forests, "RANGES", bits)
+    rng = random.Random(len(bits))
+    edges = {tuple(sorted((a, (a + rng.choice([1, 1, 2, 3, 7, 31])) % 300))): rng.randint(0, 30) for a in range(300) for _ in range(2)}
+    trees = forests.Potentials()
+    want = {e for e, _ in sorted(edges.items(), key=lambda x: (x[1], x[0])) if trees.link(*e)}
+    frame = spark.createDataFrame([(u, v, s) for (u, v), s in edges.items()], "u long, v long, s int")
+    assert {tuple(r) for r in forests.spanning_forest(frame, F.col("s")).collect()} == want
