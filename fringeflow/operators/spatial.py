@@ -93,8 +93,8 @@ def occupancy_degrees(points: DataFrame) -> DataFrame:
 
 _STEP = 1 << 40  # a cell's value is its distance and then the point it leads to, so the smaller of two is the nearer, ties by point
 _FAR = 1 << 62
-_SIDES = [(a, b) for a in (-1, 0, 1) for b in (-1, 0, 1) if (a, b) != (0, 0)]
-_OWN = len(_SIDES)
+#: Binary digits of a tile's number that one step of the search goes finer.
+_FINER = 2
 
 
 def _sweep(cells: np.ndarray) -> np.ndarray:
@@ -118,65 +118,94 @@ def _sweep(cells: np.ndarray) -> np.ndarray:
     return cells
 
 
-def _edge(size: int, side: int) -> slice:
-    return slice(0, 1) if side < 0 else slice(size - 1, size) if side > 0 else slice(0, size)
-
-
-def _step_of(tile: tuple[int, int]):
-    """A tile's cells brought up to date with the borders of its neighbours."""
-
-    def step(rows: pd.DataFrame) -> pd.DataFrame:
-        held = np.full((tile[0] + 2, tile[1] + 2), _FAR)
-        inner = held[1:-1, 1:-1]
-        for side, data in zip(rows["side"], rows["data"]):
-            if side == _OWN:
-                inner[:] = np.frombuffer(data, np.int64).reshape(tile)
-            else:
-                a, b = _SIDES[side]
-                place = held[slice(1, -1) if a == 0 else _edge(tile[0] + 2, a), slice(1, -1) if b == 0 else _edge(tile[1] + 2, b)]
-                place[:] = np.frombuffer(data, np.int64).reshape(place.shape)
-        before = inner.copy()
-        _sweep(held)
-        changed = any((inner[_edge(tile[0], a), _edge(tile[1], b)] != before[_edge(tile[0], a), _edge(tile[1], b)]).any() for a, b in _SIDES)
-        return pd.DataFrame({"tr": [rows["tr"].iloc[0]], "tc": [rows["tc"].iloc[0]], "data": [inner.tobytes()], "changed": [changed]})
-
-    return step
-
-
 def _start_of(tile: tuple[int, int]):
     def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for points in batch["points"]:
                 cells = np.full(tile, _FAR)
-                if points is not None:
-                    for p in points:
-                        at = (p["r"] % tile[0], p["c"] % tile[1])
-                        cells[at] = min(cells[at], p["point_id"])
-                out.append(_sweep(cells).tobytes())
-            yield batch[["tr", "tc"]].assign(data=out, changed=[x is not None for x in batch["points"]])
+                for p in points:
+                    at = (p["r"] % tile[0], p["c"] % tile[1])
+                    cells[at] = min(cells[at], p["point_id"])
+                out.append(_sweep(cells))
+            rings = [_border(cells).tobytes() for cells in out]
+            yield batch[["tr", "tc"]].assign(data=[cells.tobytes() for cells in out], ring=rings)
 
     return start
 
 
-def _borders_of(tile: tuple[int, int]):
-    def borders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for tr, tc, data in zip(batch["tr"], batch["tc"], batch["data"]):
-                cells = np.frombuffer(data, np.int64).reshape(tile)
-                rows += [(tr + a, tc + b, _SIDES.index((-a, -b)), cells[_edge(tile[0], a), _edge(tile[1], b)].tobytes()) for a, b in _SIDES]
-            yield pd.DataFrame(rows, columns=["tr", "tc", "side", "data"])
+def _border(cells: np.ndarray) -> np.ndarray:
+    return np.concatenate([cells[0], cells[-1], cells[1:-1, 0], cells[1:-1, -1]])
+
 
-    return borders
+def _ring(tile: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of a tile's border cells."""
+    high, wide = np.indices(tile)
+    return _border(high), _border(wide)
+
+
+def _look_of(tile: tuple[int, int]):
+    """The nearest points of a tile's asked cells, from its own cells and the borders of the tiles that can matter.
+
+    Every way into a tile and out of another one passes their borders, so values at borders are all that has to be
+    brought across; the inside is swept.
+    """
+    rows, cols = _ring(tile)
+
+    def look(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        if not len(asked) or not len(held):
+            return pd.DataFrame({"p": [], "q": [], "chebyshev": []}).astype("int64")
+        cells = np.full(tile, _FAR)
+        tr, tc = asked["tr"].iloc[0], asked["tc"].iloc[0]
+        for r, c, data, ring in zip(held["sr"], held["sc"], held["data"], held["ring"]):
+            if r == tr and c == tc:
+                cells = np.minimum(cells, np.frombuffer(data, np.int64).reshape(tile))
+                continue
+            far = np.maximum(np.abs(rows[:, None] - rows - (r - tr) * tile[0]), np.abs(cols[:, None] - cols - (c - tc) * tile[1]))
+            best = (np.frombuffer(ring, np.int64) + far * _STEP).min(axis=1)
+            np.minimum.at(cells, (rows, cols), best)
+        found = _sweep(cells)[asked["r"].to_numpy() % tile[0], asked["c"].to_numpy() % tile[1]]
+        return pd.DataFrame({"p": asked["point_id"], "q": found % _STEP, "chebyshev": (found // _STEP).astype(np.int32)})
+
+    return look
+
+
+def _tiles_that_matter(asked: DataFrame, main: DataFrame, digits: int) -> DataFrame:
+    """``tr, tc, sr, sc``: for each tile of ``asked(tr, tc, r, c)`` those of ``main(tr, tc, r, c)`` that may hold a nearest point.
+
+    Both are searched from coarse to fine: of the boxes of ``main`` those stay that begin no farther from the asked box than
+    another one ends.
+    """
+
+    def boxes(points: DataFrame, name: str, bits: int) -> DataFrame:
+        at = [F.shiftright(f"t{k}", bits).alias(f"{name}{k}") for k in "rc"]
+        ends = [f(k).alias(f"{name}_{n}_{k}") for k in "rc" for n, f in (("low", F.min), ("high", F.max))]
+        return points.groupBy(*at).agg(*ends)
+
+    pairs, bits = None, digits
+    while True:
+        a, b = boxes(asked, "a", bits), boxes(main, "b", bits)
+        if pairs is None:
+            met = a.crossJoin(b)  # of four boxes each at most
+        else:
+            up = lambda x, name: x.withColumns({f"{name}{k}_up": F.shiftright(f"{name}{k}", last - bits) for k in "rc"})  # noqa: E731, B023
+            met = pairs.join(up(a, "a"), ["ar_up", "ac_up"]).join(up(b, "b"), ["br_up", "bc_up"])
+        apart = [F.greatest(F.col(f"a_low_{k}") - F.col(f"b_high_{k}"), F.col(f"b_low_{k}") - F.col(f"a_high_{k}"), F.lit(0)) for k in "rc"]
+        most = [F.greatest(F.col(f"a_high_{k}") - F.col(f"b_low_{k}"), F.col(f"b_high_{k}") - F.col(f"a_low_{k}")) for k in "rc"]
+        met = settle(met.select("ar", "ac", "br", "bc", F.greatest(*apart).alias("least"), F.greatest(*most).alias("most")), "distance-pair")
+        bound = met.groupBy("ar", "ac").agg(F.min("most").alias("bound"))
+        kept = met.join(bound, ["ar", "ac"]).where("least <= bound").select("ar", "ac", "br", "bc")
+        if not bits:
+            return kept.toDF("tr", "tc", "sr", "sc")
+        pairs, last, bits = kept.toDF("ar_up", "ac_up", "br_up", "bc_up"), bits, max(0, bits - _FINER)
 
 
 def nearest_in_main(points: DataFrame, labels: DataFrame, tile: tuple[int, int] = (128, 128)) -> DataFrame:
     """``p, q, chebyshev``: for each point outside the main component the nearest point in it by the larger cell offset, however far.
 
-    Distances spread over all cells, tile by tile: each tile is swept by itself, then again with the borders that its
-    neighbours changed, until no border changes. A round costs the tiles beside a change, and the number of rounds is that of
-    tiles between a point and the component. Ties take the smallest point. Points are numbered below 2**40.
+    Which tiles of the main component can matter to a tile is searched from coarse boxes to fine ones; each tile is then swept
+    with the borders of those. The number of rounds is that of the binary digits of the scene's size in tiles, halved. Ties
+    take the smallest point. Points are numbered below 2**40.
     """
     cell = [F.floor(F.col("r") / tile[0]).cast("int").alias("tr"), F.floor(F.col("c") / tile[1]).cast("int").alias("tc")]
     placed = points.join(labels, "point_id").crossJoin(F.broadcast(main_component(component_sizes(labels))))  # one row
@@ -186,25 +215,11 @@ def nearest_in_main(points: DataFrame, labels: DataFrame, tile: tuple[int, int]
         return placed.select(F.col("point_id").alias("p"), F.col("point_id").alias("q"), F.lit(0).alias("chebyshev"))
     if box["least"] < 0 or box["most"] >= _STEP:
         raise ValueError("a point is not numbered below 2**40")
-    across = box["high_tc"] - box["low_tc"] + 1
-    every = points.sparkSession.range((box["high_tr"] - box["low_tr"] + 1) * across)
-    every = every.select((F.floor(F.col("id") / across) + box["low_tr"]).cast("int").alias("tr"), (F.col("id") % across + box["low_tc"]).cast("int").alias("tc"))
-    own = placed.where("inside").groupBy("tr", "tc").agg(F.collect_list(F.struct("r", "c", "point_id")).alias("points"))  # at most a tile's cells
-    kept = "tr int, tc int, data binary, changed boolean"
-    state = settle(every.join(own, ["tr", "tc"], "left").mapInPandas(_start_of(tile), kept), "distance-tile")
-    inside = F.col("tr").between(box["low_tr"], box["high_tr"]) & F.col("tc").between(box["low_tc"], box["high_tc"])
-    while not state.where("changed").isEmpty():
-        told = settle(state.where("changed").mapInPandas(_borders_of(tile), "tr int, tc int, side int, data binary").where(inside), "distance-border")
-        beside = told.select("tr", "tc").distinct()
-        rows = told.unionByName(state.join(beside, ["tr", "tc"], "left_semi").select("tr", "tc", F.lit(_OWN).alias("side"), "data"))
-        rest = state.join(beside, ["tr", "tc"], "left_anti").withColumn("changed", F.lit(False))
-        state = settle(rows.groupBy("tr", "tc").applyInPandas(_step_of(tile), kept).unionByName(rest), "distance-tile")
-
-    def look(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        if not len(asked) or not len(held):
-            return pd.DataFrame({"p": [], "q": [], "chebyshev": []}).astype("int64")
-        found = np.frombuffer(held["data"].iloc[0], np.int64).reshape(tile)[asked["r"].to_numpy() % tile[0], asked["c"].to_numpy() % tile[1]]
-        return pd.DataFrame({"p": asked["point_id"], "q": found % _STEP, "chebyshev": (found // _STEP).astype(np.int32)})
-
-    asked = placed.where("NOT inside").select("tr", "tc", "point_id", "r", "c")
-    return asked.groupBy("tr", "tc").cogroup(state.select("tr", "tc", "data").groupBy("tr", "tc")).applyInPandas(look, "p long, q long, chebyshev int")
+    main, asked = placed.where("inside"), placed.where("NOT inside").select("tr", "tc", "point_id", "r", "c")
+    own = main.groupBy("tr", "tc").agg(F.collect_list(F.struct("r", "c", "point_id")).alias("points"))  # at most a tile's cells
+    state = settle(own.mapInPandas(_start_of(tile), "tr int, tc int, data binary, ring binary"), "distance-tile")
+    digits = max(abs(box[k]) for k in ("low_tr", "low_tc", "high_tr", "high_tc")).bit_length()
+    pairs = _tiles_that_matter(asked, main, digits)
+    near = (F.col("tr") == F.col("sr")) & (F.col("tc") == F.col("sc"))
+    told = pairs.join(state.toDF("sr", "sc", "data", "ring"), ["sr", "sc"]).select("tr", "tc", "sr", "sc", F.when(near, F.col("data")).alias("data"), F.when(~near, F.col("ring")).alias("ring"))
+    return asked.groupBy("tr", "tc").cogroup(told.groupBy("tr", "tc")).applyInPandas(_look_of(tile), "p long, q long, chebyshev int")

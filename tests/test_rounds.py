@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from fringeflow.operators import components, consistency, forests
+from fringeflow.operators import components, consistency, forests, spatial
 from fringeflow.plans import lineage
 
 
@@ -17,7 +17,7 @@ def settled(monkeypatch):
         seen.append(label)
         return lineage.settle(df, label)
 
-    for module in (components, consistency, forests):
+    for module in (components, consistency, forests, spatial):
         monkeypatch.setattr(module, "settle", told)
     return seen
 
@@ -70,3 +70,18 @@ def test_forests_of_small_ranges(spark, monkeypatch, bits):
     want = {e for e, _ in sorted(edges.items(), key=lambda x: (x[1], x[0])) if trees.link(*e)}
     frame = spark.createDataFrame([(u, v, s) for (u, v), s in edges.items()], "u long, v long, s int")
     assert {tuple(r) for r in forests.spanning_forest(frame, F.col("s")).collect()} == want
+
+
+@pytest.mark.parametrize("tile", [(1, 3), (6, 4)])
+def test_far_points_take_few_rounds(spark, settled, tile):
+    """The nearest point a thousand tiles away, where a border would have been passed on a thousand times."""
+    rng = random.Random(tile[0])
+    cells = rng.sample([(r, c) for r in range(-20, 20) for c in range(-9, 9)], 150)
+    cells += rng.sample([(r, c) for r in range(3000, 3020) for c in range(30)], 40) + [(-900, 40), (1500, -700)]
+    points = [(k * 37 % 1009, r, c) for k, (r, c) in enumerate(cells)]
+    main = {p for p, r, c in points if -6 < r < 9 and -6 < c < 5}
+    labels = [(p, 7 if p in main else 2000 + p) for p, _, _ in points]
+    found = spatial.nearest_in_main(spark.createDataFrame(points, "point_id long, r int, c int"), spark.createDataFrame(labels, "point_id long, component long"), tile)
+    want = {p: min((max(abs(r - a), abs(c - b)), q) for q, a, b in points if q in main) for p, r, c in points if p not in main}
+    assert {r.p: (r.chebyshev, r.q) for r in found.collect()} == want
+    assert len(settled) < 14
