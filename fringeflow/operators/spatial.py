@@ -15,21 +15,52 @@ from fringeflow.operators.support import half_window, neighbour_pairs
 from fringeflow.plans.lineage import settle
 
 
+#: Rows and columns of the tiles in which nearest neighbours are looked up.
+_TILE = 256
+
+
 def nearest(points: DataFrame, radius: int, k: int, azimuth: float, ground_range: float) -> DataFrame:
     """``u, v, dist`` of undirected edges to the k nearest points within a square of cells.
 
-    Neighbours are ranked by distance, then the larger cell offset, then row and column offset. With
-    a window around each point there are at most ``(2 radius + 1)**2 - 1`` rows a group.
+    Neighbours are ranked by distance, then the larger cell offset, then row and column offset, then point. A
+    tile is given all points within two radii of it, so that it knows what both ends of its edges choose; an edge is told by the
+    tile of its smaller point.
     """
-    pairs = neighbour_pairs(points, half_window(radius, radius), ["point_id"])
-    pairs = pairs.withColumn("dist", metres(F.col("dr"), F.col("dc"), azimuth, ground_range)).withColumn("cheb", F.greatest(F.abs("dr"), F.abs("dc")))
-    ends = F.array(
-        F.struct(F.col("a_point_id").alias("own"), F.col("b_point_id").alias("other"), F.col("dr").alias("odr"), F.col("dc").alias("odc")),
-        F.struct(F.col("b_point_id").alias("own"), F.col("a_point_id").alias("other"), (-F.col("dr")).alias("odr"), (-F.col("dc")).alias("odc")),
-    )
-    order = Window.partitionBy("own").orderBy("dist", "cheb", "odr", "odc")
-    best = pairs.select("dist", "cheb", F.inline(ends)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return best.groupBy(F.least("own", "other").alias("u"), F.greatest("own", "other").alias("v")).agg(F.min("dist").alias("dist"))
+    spark, span = points.sparkSession, range(-radius, radius + 1)
+    offsets = spark.createDataFrame([(dr, dc) for dr in span for dc in span if (dr, dc) != (0, 0)], "dr int, dc int")
+    dist, wide = metres(F.col("dr"), F.col("dc"), azimuth, ground_range), F.greatest(F.abs("dr"), F.abs("dc"))
+    order = [(r["dr"], r["dc"], r["dist"]) for r in offsets.withColumn("dist", dist).orderBy("dist", wide, "dr", "dc").collect()]  # the cells of a window
+    near = lambda of: F.explode(F.sequence(F.floor((F.col(of) - 2 * radius) / _TILE), F.floor((F.col(of) + 2 * radius) / _TILE)))
+    dealt = points.select("point_id", "r", "c", near("r").alias("tr")).withColumn("tc", near("c"))
+    kind = points.schema["point_id"].dataType.simpleString()
+    return dealt.groupBy("tr", "tc").applyInPandas(_nearest_of(order, radius, k), f"u {kind}, v {kind}, dist double")
+
+
+def _nearest_of(order: list[tuple[int, int, float]], radius: int, k: int):
+    def told(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("point_id")
+        ids = rows["point_id"].to_numpy()
+        tr, tc = rows["tr"].iloc[0] * _TILE, rows["tc"].iloc[0] * _TILE
+        r, c = rows["r"].to_numpy().astype("int64"), rows["c"].to_numpy().astype("int64")
+        core = (r >= tr) & (r < tr + _TILE) & (c >= tc) & (c < tc + _TILE)
+        r, c = r - r.min() + radius, c - c.min() + radius
+        shape = (r.max() + radius + 1, c.max() + radius + 1)
+        layer = pd.Series(r * shape[1] + c).groupby(r * shape[1] + c).cumcount().to_numpy()  # points of one cell
+        cells = np.full((layer.max() + 1, *shape), -1)
+        cells[layer, r, c] = np.arange(len(ids))
+        count, found = np.zeros(len(ids), np.int64), []
+        for n, (dr, dc, _) in enumerate(order):
+            for held in cells:
+                other = held[r + dr, c + dc]
+                own = np.flatnonzero((other >= 0) & (count < k))
+                count[own] += 1
+                found.append(np.stack([np.minimum(own, other[own]), np.maximum(own, other[own]), np.full(len(own), n)]))
+        u, v, n = np.concatenate(found, axis=1)
+        _, first = np.unique(u * len(ids) + v, return_index=True)
+        first = first[core[u[first]]]
+        return pd.DataFrame({"u": ids[u[first]], "v": ids[v[first]], "dist": np.array([x for *_, x in order])[n[first]]})
+
+    return told
 
 
 def shell_edges(points: DataFrame, radii: int) -> DataFrame:

@@ -69,7 +69,11 @@ def _ifgs(spark, d) -> DataFrame:
 
 
 def _knn(spark, d) -> DataFrame:
-    return spatial.nearest(_stats(spark, d).select("point_id", "r", "c"), 4, 8, S.AZIMUTH_M, S.RANGE_M)
+    return _near(_stats(spark, d).select("point_id", "r", "c"))
+
+
+def _near(points: DataFrame) -> DataFrame:
+    return spatial.nearest(points, 4, 8, S.AZIMUTH_M, S.RANGE_M)
 
 
 def _grads(spark, d) -> DataFrame:
@@ -415,7 +419,8 @@ def fragment_votes(spark, d):
 
 def _pieces(spark, d, tile: tuple[int, int] = (128, 256)) -> tuple[DataFrame, DataFrame]:
     """Interferograms unwrapped inside fragments and tiles, and the votes between those pieces."""
-    ifgs, points, edges = settle(_ifgs(spark, d), "ifgs"), _stats(spark, d).select("point_id", "r", "c"), settle(_knn(spark, d), "knn")
+    ifgs, points = settle(_ifgs(spark, d), "ifgs"), settle(_stats(spark, d).select("point_id", "r", "c"), "points")
+    edges = settle(_near(points), "knn")
     grads = settle(unwrap.gradients(ifgs, edges), "gradients")
     pieces = settle(unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points, tile), "pieces")
     return pieces, unwrap.piece_votes(pieces, grads, edges)

@@ -85,3 +85,32 @@ def test_far_points_take_few_rounds(spark, settled, tile):
     want = {p: min((max(abs(r - a), abs(c - b)), q) for q, a, b in points if q in main) for p, r, c in points if p not in main}
     assert {r.p: (r.chebyshev, r.q) for r in found.collect()} == want
     assert len(settled) < 14
+
+
+def test_nearest_across_tiles(spark, monkeypatch):
+    """Edges near borders of tiles are told once, and two points of a cell are both neighbours."""
+    monkeypatch.setattr(spatial, "_TILE", 7)
+    rng = random.Random(5)
+    cells = rng.sample([(r, c) for r in range(-6, 25) for c in range(-4, 20)], 330)
+    points = [(k * 13 % 1009, r, c) for k, (r, c) in enumerate([*cells, cells[0], cells[9]])]
+    want = {}
+    for p, r, c in points:
+        near = [((2.0 * (a - r)) ** 2 + (1.5 * (b - c)) ** 2, max(abs(a - r), abs(b - c)), a - r, b - c, q) for q, a, b in points if (a, b) != (r, c) and max(abs(a - r), abs(b - c)) <= 3]
+        want |= {(min(p, q), max(p, q)): d**0.5 for d, *_, q in sorted(near)[:5]}
+    rows = spatial.nearest(spark.createDataFrame(points, "point_id long, r int, c int"), 3, 5, 2.0, 1.5).collect()
+    assert len(rows) == len(want) and {(r.u, r.v): r.dist for r in rows} == pytest.approx(want)
+
+
+def test_piece_shifts_by_ranges(spark, settled, monkeypatch):
+    """A chain of pieces whose last ones are numbered lowest, as in one task."""
+    from fringeflow.operators import unwrap
+
+    names = [*range(400, 0, -1)]
+    rows = [(1, min(a, b), max(a, b), 3, (k % 5) - 2, 2, 0.5 + (k * 7 % 11) / 30, 0.1, 1.0) for k, (a, b) in enumerate(zip(names, names[1:]))]
+    rows += [(1, 3, 300, 1, 1, 1, 0.1, 0.1, 1.0), (2, 7, 9, 1, 1, 1, 0.9, 0.1, 1.0)]
+    votes = spark.createDataFrame(rows, "pair_id int, frag_a long, frag_b long, edge_count long, mode_shift long, mode_count long, ratio double, median_abs double, median_dist double")
+    want = sorted(map(tuple, unwrap.piece_shifts(votes).collect()))
+    monkeypatch.setattr(forests, "ONE_TASK", 20)
+    monkeypatch.setattr(forests, "RANGES", (7, 5))
+    assert sorted(map(tuple, unwrap.piece_shifts(votes).collect())) == want and len(want) == 402
+    assert len(settled) < 30
