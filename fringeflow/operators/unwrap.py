@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fringeflow.functions.phase import ambiguity, wrap
 from fringeflow.operators import forests
 from fringeflow.operators.components import connected_components
+from fringeflow.operators.consistency import levels, turns_of
 from fringeflow.operators.forests import Potentials, bottlenecks, in_one_task, spanning_forest
 from fringeflow.operators.quantiles import quantiles
 from fringeflow.plans.lineage import settle
@@ -291,8 +292,8 @@ def _tied(votes: pd.DataFrame) -> pd.DataFrame:
 def piece_shifts(votes: DataFrame, least_ratio: float = 0.0) -> DataFrame:
     """``pair_id, piece, root, shift, against``: whole turns that bring each piece to its root, along the surest votes.
 
-    All interferograms are tied in one run over (pair, piece) nodes, in a task while the votes are few (``ONE_TASK``) and in rounds beyond: every component takes its surest
-    vote to another one, and steps to the end of those votes are doubled, so no group holds an interferogram.
+    All interferograms are tied in one run over (pair, piece) nodes, in a task while the votes are few (``ONE_TASK``) and beyond by
+    ranges of their numbers (``spanning_forest``, ``levels``), so no group holds an interferogram.
     The root is the smallest piece. ``against`` counts the votes of a piece that the shifts do not obey.
     """
     node = lambda p: F.call_function("shiftleft", F.col("pair_id").cast("long"), F.lit(40)) + F.col(p)
@@ -301,37 +302,11 @@ def piece_shifts(votes: DataFrame, least_ratio: float = 0.0) -> DataFrame:
     own = settle(own.select(node("frag_a").alias("a"), node("frag_b").alias("b"), F.col("mode_shift").cast("long").alias("k"), order.alias("order")), "votes")
     if own.count() <= forests.ONE_TASK:
         return in_one_task(own.coalesce(1).sortWithinPartitions("order").select("a", "b", "k"), _tied, "pair_id int, piece long, root long, shift long, against long")
-    at = own.select(F.col("a").alias("node")).union(own.select(F.col("b").alias("node"))).distinct()
-    at = settle(at.select("node", F.col("node").alias("root"), F.lit(0).cast("long").alias("shift")), "pieces")
-
-    def ends() -> DataFrame:
-        end = lambda name: at.select(F.col("node").alias(name), F.col("root").alias(f"root_{name}"), F.col("shift").alias(f"shift_{name}"))
-        return own.join(end("a"), "a").join(end("b"), "b")
-
-    while True:
-        # k more turns in b than in a, so b's component moves by that much against a's.
-        move = F.col("shift_a") - F.col("k") - F.col("shift_b")
-        met = ends().where("root_a <> root_b").select("root_a", "root_b", move.alias("move"), "order")
-        both = met.select(F.col("root_b").alias("c"), F.col("root_a").alias("p"), F.col("move").alias("add"), "order")
-        both = both.union(met.select(F.col("root_a").alias("c"), F.col("root_b").alias("p"), (-F.col("move")).alias("add"), "order"))
-        best = settle(both.groupBy("c").agg(F.min_by(F.struct("p", "add"), "order").alias("to")).select("c", "to.p", "to.add"), "best")
-        if best.isEmpty():
-            break
-        back = best.select(F.col("c").alias("p"), F.col("p").alias("back"))
-        top = (F.col("back") == F.col("c")) & (F.col("c") < F.col("p"))  # the lower of two that chose each other
-        up = settle(best.join(back, "p").select("c", F.when(top, F.col("c")).otherwise(F.col("p")).alias("p"), F.when(top, 0).otherwise(F.col("add")).cast("long").alias("add")), "up")
-        while True:
-            over = up.select(F.col("c").alias("p"), F.col("p").alias("q"), F.col("add").alias("more"))
-            far = settle(up.join(over, "p").select("c", F.col("q").alias("p"), (F.col("add") + F.col("more")).alias("add"), (F.col("q") != F.col("p")).alias("moved")), "far")
-            up = far.drop("moved")
-            if far.where("moved").isEmpty():
-                break
-        moved = at.join(up, F.col("root") == F.col("c"), "left")
-        at = settle(moved.select("node", F.coalesce("p", "root").alias("root"), (F.col("shift") + F.coalesce("add", F.lit(0))).alias("shift")), "pieces")
-
-    low = at.groupBy("root").agg(F.min("node").alias("low"), F.min_by("shift", "node").alias("base"))
-    at = settle(at.join(low, "root").select("node", F.col("low").alias("root"), (F.col("shift") - F.col("base")).alias("shift")), "pieces")
-    off = ends().where("shift_b + k <> shift_a")
+    links = own.select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("k").alias("shift"), "order")
+    tree = links.join(spanning_forest(links, F.col("order")), ["u", "v"]).select("u", "v", "shift")
+    at = settle(turns_of(levels(tree)).select("node", "root", F.col("turns").alias("shift")), "pieces")
+    end = lambda name: at.select(F.col("node").alias(name), F.col("shift").alias(f"shift_{name}"))
+    off = own.join(end("a"), "a").join(end("b"), "b").where("shift_b + k <> shift_a")
     off = off.select(F.col("a").alias("node")).union(off.select(F.col("b").alias("node"))).groupBy("node").agg(F.count("*").alias("against"))
     mask = F.lit((1 << 40) - 1)
     piece = lambda name: F.col(name).bitwiseAND(mask)
