@@ -62,16 +62,16 @@ def modal_closures(integers: DataFrame) -> DataFrame:
     return counts.groupBy("triangle_id").agg(best.alias("modal_k"), (F.sum("n") - F.max("n")).alias("bad_points"))
 
 
-def gradients(ifgs: DataFrame, edges: DataFrame) -> DataFrame:
-    """``pair_id, u, v, g``: wrapped phase difference along each edge ``(u, v)``.
+def gradients(ifgs: DataFrame, edges: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``pair_id, u, v, g`` and ``keep``: wrapped phase difference along each edge ``(u, v)``.
 
     A point's interferograms travel as one row, so that what is joined grows with the points and edges alone.
     """
     rows = ifgs.groupBy("point_id").agg(F.collect_list(F.struct("pair_id", "phase")).alias("at"))
-    met = edges.select("u", "v").join(rows.select(F.col("point_id").alias("u"), F.col("at").alias("at_u")), "u")
+    met = edges.select("u", "v", *keep).join(rows.select(F.col("point_id").alias("u"), F.col("at").alias("at_u")), "u")
     met = met.join(rows.select(F.col("point_id").alias("v"), F.map_from_entries("at").alias("at_v")), "v")
-    each = met.select("u", "v", "at_v", F.inline("at_u")).where(F.map_contains_key("at_v", F.col("pair_id")))
-    return each.select("pair_id", "u", "v", wrap(F.try_element_at("at_v", F.col("pair_id")) - F.col("phase")).alias("g"))
+    each = met.select("u", "v", *keep, "at_v", F.inline("at_u")).where(F.map_contains_key("at_v", F.col("pair_id")))
+    return each.select("pair_id", "u", "v", wrap(F.try_element_at("at_v", F.col("pair_id")) - F.col("phase")).alias("g"), *keep)
 
 
 def gradient_stats(grads: DataFrame) -> DataFrame:
@@ -135,21 +135,33 @@ def safe_conflicts(grads: DataFrame, values: DataFrame) -> DataFrame:
     return met.select("pair_id", "u", "v", ambiguity(F.col("value_v") - F.col("value_u") - F.col("g")).alias("jump")).where("jump <> 0")
 
 
-def unwrap_fragments(ifgs: DataFrame, grads: DataFrame, fragments: DataFrame, points: DataFrame, tile: tuple[int, int] = (128, 256)) -> DataFrame:
-    """``pair_id, point_id, tile, root, unwrapped``: phase integrated along safe edges inside tiles of the grid.
+def tiles(points: DataFrame, tile: tuple[int, int]) -> DataFrame:
+    """``point_id, tile, block``: the tile of each point, and the group of small tiles that it is integrated in."""
+    high, wide = (n * max(1, most // n) for n, most in zip(tile, BLOCK))
+    block = F.struct(F.expr(f"r div {high}").alias("r"), F.expr(f"c div {wide}").alias("c"))
+    return points.select("point_id", F.concat_ws("_", F.expr(f"r div {tile[0]}"), F.expr(f"c div {tile[1]}")).alias("tile"), block.alias("block"))
+
+
+def inner_blocks(edges: DataFrame, points: DataFrame, tile: tuple[int, int]) -> DataFrame:
+    """``edges`` with the ``block`` that both ends lie in, null where an edge leaves its tile."""
+    cell = tiles(points, tile)
+    near = edges.join(cell.select(F.col("point_id").alias("u"), F.col("tile").alias("tile_u"), "block"), "u").join(cell.select(F.col("point_id").alias("v"), F.col("tile").alias("tile_v")), "v")
+    return near.withColumn("block", F.when(F.col("tile_u") == F.col("tile_v"), F.col("block"))).drop("tile_u", "tile_v")
+
+
+def unwrap_fragments(ifgs: DataFrame, grads: DataFrame, fragments: DataFrame | None, points: DataFrame, tile: tuple[int, int] = (128, 256)) -> DataFrame:
+    """``pair_id, point_id, tile, root, unwrapped, phase``: phase integrated along safe edges inside tiles of the grid, with ``fragments`` if given.
 
     A group is one interferogram's tile, or as many small tiles as make up a ``BLOCK``, so its size is bounded; pieces of a fragment that
-    lie in several tiles have roots of their own and are tied together by ``fragment_votes``.
+    lie in several tiles have roots of their own and are tied together by ``fragment_votes``. ``grads`` may have the
+    ``block`` of ``inner_blocks``.
     """
-    high, wide = (n * max(1, most // n) for n, most in zip(tile, BLOCK))
-    block = F.struct(F.expr(f"r div {high}").alias("r"), F.expr(f"c div {wide}").alias("c"))
-    cell = points.select("point_id", F.concat_ws("_", F.expr(f"r div {tile[0]}"), F.expr(f"c div {tile[1]}")).alias("tile"), block.alias("block"))
-    nodes = ifgs.join(cell, "point_id").select("pair_id", "block", F.col("point_id").alias("u"), F.lit(None).cast("long").alias("v"), F.col("phase").alias("g"), "tile")
-    at = lambda name, *more: cell.select(F.col("point_id").alias(name), F.col("tile").alias(f"tile_{name}"), *more)
-    near = grads.where(F.abs("g") <= SAFE).select("pair_id", "u", "v", "g").join(at("u", "block"), "u").join(at("v"), "v").where("tile_u = tile_v")
-    rows = nodes.union(near.select("pair_id", "block", "u", "v", "g", F.lit(None).cast("string")))
-    out = rows.groupBy("pair_id", "block").applyInPandas(_integrate, "pair_id int, tile string, point_id long, root long, unwrapped double")
-    return out.join(fragments, ["pair_id", "point_id"])
+    nodes = ifgs.join(tiles(points, tile), "point_id").select("pair_id", "block", F.col("point_id").alias("u"), F.lit(None).cast("long").alias("v"), F.col("phase").alias("g"), "tile")
+    safe = grads.where(F.abs("g") <= SAFE)
+    safe = safe if "block" in grads.columns else inner_blocks(safe, points, tile)
+    rows = nodes.union(safe.where("block IS NOT NULL").select("pair_id", "block", "u", "v", "g", F.lit(None).cast("string")))
+    out = rows.groupBy("pair_id", "block").applyInPandas(_integrate, "pair_id int, tile string, point_id long, root long, unwrapped double, phase double")
+    return out if fragments is None else out.join(fragments, ["pair_id", "point_id"])
 
 
 def _integrate(rows: pd.DataFrame) -> pd.DataFrame:
@@ -186,7 +198,7 @@ def _integrate(rows: pd.DataFrame) -> pd.DataFrame:
     low = np.full(len(point), len(point))
     np.minimum.at(low, root, np.arange(len(point)))
     low = low[root]
-    return pd.DataFrame({"pair_id": np.int32(rows["pair_id"].iloc[0]), "tile": nodes["tile"].to_numpy(), "point_id": point, "root": point[low], "unwrapped": start[low] + above - above[low]})
+    return pd.DataFrame({"pair_id": np.int32(rows["pair_id"].iloc[0]), "tile": nodes["tile"].to_numpy(), "point_id": point, "root": point[low], "unwrapped": start[low] + above - above[low], "phase": start})
 
 
 def fragment_votes(grads: DataFrame, labelled: DataFrame, edges: DataFrame) -> DataFrame:
@@ -197,6 +209,11 @@ def fragment_votes(grads: DataFrame, labelled: DataFrame, edges: DataFrame) -> D
     """
     at = lambda name: labelled.select("pair_id", F.col("point_id").alias(name), F.col("piece").alias(f"piece_{name}"), F.col("value").alias(f"value_{name}"))
     met = grads.join(edges.select("u", "v", "dist"), ["u", "v"]).join(at("u"), ["pair_id", "u"]).join(at("v"), ["pair_id", "v"]).where("piece_u <> piece_v")
+    return _tallied(met)
+
+
+def _tallied(met: DataFrame) -> DataFrame:
+    """``fragment_votes`` of edges ``pair_id, piece_u, value_u, piece_v, value_v, g, dist`` between pieces."""
     jump = ambiguity(F.col("value_v") - F.col("value_u") - F.col("g"))
     flip = F.col("piece_u") > F.col("piece_v")
     votes = met.select("pair_id", F.least("piece_u", "piece_v").alias("frag_a"), F.greatest("piece_u", "piece_v").alias("frag_b"), F.when(flip, -jump).otherwise(jump).alias("shift"), F.abs("g").alias("size"), "dist")
@@ -329,6 +346,16 @@ def piece_votes(pieces: DataFrame, grads: DataFrame, edges: DataFrame) -> DataFr
     return fragment_votes(grads, pieces.select("pair_id", "point_id", F.col("root").alias("piece"), F.col("unwrapped").alias("value")), edges)
 
 
+def phase_votes(pieces: DataFrame, edges: DataFrame) -> DataFrame:
+    """``piece_votes`` by the pieces' own phases. A point's interferograms travel as one row, and edges inside a piece go no further."""
+    rows = pieces.groupBy("point_id").agg(F.collect_list(F.struct("pair_id", F.struct("root", "unwrapped", "phase").alias("own"))).alias("at"))
+    met = edges.select("u", "v", "dist").join(rows.select(F.col("point_id").alias("u"), F.col("at").alias("at_u")), "u")
+    met = met.join(rows.select(F.col("point_id").alias("v"), F.map_from_entries("at").alias("at_v")), "v")
+    each = met.select("dist", "at_v", F.inline("at_u")).select("pair_id", "dist", F.col("own").alias("a"), F.try_element_at("at_v", F.col("pair_id")).alias("b")).where("a.root <> b.root")
+    g = wrap(F.col("b.phase") - F.col("a.phase"))
+    return _tallied(each.select("pair_id", F.col("a.root").alias("piece_u"), F.col("a.unwrapped").alias("value_u"), F.col("b.root").alias("piece_v"), F.col("b.unwrapped").alias("value_v"), g.alias("g"), "dist"))
+
+
 def tie_pieces(pieces: DataFrame, shifts: DataFrame) -> DataFrame:
     """``pieces`` with the whole turns of ``piece_shifts`` added and the root they lead to."""
     turns = shifts.select("pair_id", F.col("piece").alias("root"), F.col("root").alias("tied"), "shift")

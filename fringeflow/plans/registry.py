@@ -417,19 +417,20 @@ def fragment_votes(spark, d):
     return rows.select("pair_id", "frag_a", "frag_b", "edge_count", "mode_shift", "mode_count", tidy(F.col("ratio")).alias("ratio"), "exact", *[tidy(F.col(x)).alias(x) for x in ("median_abs", "min_abs", "median_dist")])
 
 
-def _pieces(spark, d, tile: tuple[int, int] = (128, 256)) -> tuple[DataFrame, DataFrame]:
-    """Interferograms unwrapped inside fragments and tiles, and the votes between those pieces."""
+def _pieces(spark, d, tile: tuple[int, int] = (128, 256), labelled: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Interferograms unwrapped inside tiles, with their fragments if ``labelled``, and the votes between those pieces."""
     ifgs, points = settle(_ifgs(spark, d), "ifgs"), settle(_stats(spark, d).select("point_id", "r", "c"), "points")
-    edges = settle(_near(points), "knn")
-    grads = settle(unwrap.gradients(ifgs, edges), "gradients")
-    pieces = settle(unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs), points, tile), "pieces")
-    return pieces, unwrap.piece_votes(pieces, grads, edges)
+    edges = settle(unwrap.inner_blocks(_near(points), points, tile), "knn")
+    grads = settle(unwrap.gradients(ifgs, edges, ("block",)), "gradients")
+    pieces = unwrap.unwrap_fragments(ifgs, grads, unwrap.safe_fragments(grads, ifgs) if labelled else None, points, tile)
+    pieces = settle(pieces, "pieces")
+    return pieces, unwrap.phase_votes(pieces, edges)
 
 
 @query()
 def unwrap_single_ifg(spark, d):
     """Every interferogram unwrapped along safe edges inside fragments and tiles, whose pieces are tied by votes."""
-    pieces, votes = _pieces(spark, d)
+    pieces, votes = _pieces(spark, d, labelled=True)
     return unwrap.tie_pieces(pieces, unwrap.piece_shifts(votes)).select("pair_id", "point_id", "fragment", "root", "unwrapped")
 
 

@@ -114,3 +114,21 @@ def test_piece_shifts_by_ranges(spark, settled, monkeypatch):
     monkeypatch.setattr(forests, "RANGES", (7, 5))
     assert sorted(map(tuple, unwrap.piece_shifts(votes).collect())) == want and len(want) == 402
     assert len(settled) < 30
+
+
+def test_votes_need_no_gradients_inside_pieces(spark):
+    """Votes by the phases that pieces carry, blocks carried by edges, and the general form give the same."""
+    from fringeflow.operators import unwrap
+
+    rng = random.Random(31)
+    points = spark.createDataFrame([(r * 9 + c, r, c) for r in range(11) for c in range(9)], "point_id long, r int, c int")
+    ifgs = spark.createDataFrame([(k, p, rng.uniform(-3, 3)) for k in range(3) for p in range(99) if rng.random() < 0.95], "pair_id int, point_id long, phase double")
+    edges = unwrap.inner_blocks(spatial.nearest(points, 1, 4, 1.0, 1.0), points, (4, 3)).localCheckpoint()
+    grads = unwrap.gradients(ifgs, edges, ("block",)).localCheckpoint()
+    fragments = unwrap.safe_fragments(grads, ifgs)
+    carried = unwrap.unwrap_fragments(ifgs, grads, None, points, (4, 3)).localCheckpoint()
+    plain = unwrap.unwrap_fragments(ifgs, grads.drop("block"), fragments, points, (4, 3)).localCheckpoint()
+    assert sorted(map(tuple, plain.select(carried.columns).collect())) == sorted(map(tuple, carried.collect()))
+    votes = unwrap.phase_votes(carried, edges)
+    want = unwrap.piece_votes(plain, grads, edges).select(votes.columns).collect()
+    assert want and sorted(map(tuple, votes.collect())) == sorted(map(tuple, want))
